@@ -69,11 +69,12 @@ def exact_quantiles(df: DataFrame, column: str, fractions: dict[str, float], gro
     order = [F.col(c) for c in [*group, "_v"]]
     counted = running_totals(histogram, order, _upto="_c")
     spans = counted.groupBy(*group).agg(
-        F.sum("_c").alias("_size"), F.min(F.col("_upto") - F.col("_c")).alias("_before")
+        F.sum("_c").alias("_size"),
+        F.min(F.col("_upto") - F.col("_c")).alias("_before"),
+        F.count(F.lit(1)).alias("_values"),
     )
     if group:
-        per_group = counted.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-        placed = salted_join(counted, spans, group, counts=per_group)
+        placed = salted_join(counted, spans, group, count="_values")
     else:
         placed = counted.withColumn("_span", one_row(spans)).select("*", "_span.*")
     hi = F.col("_upto") - F.col("_before")
@@ -95,8 +96,8 @@ QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 def describe(df: DataFrame, columns: list[str], group: list[str] | None = None) -> DataFrame:
     """count, mean, standard deviation, minimum, exact quartiles, maximum: one row per column (and group)."""
     group = group or []
-    long = df.unpivot(
-        group, [F.col(c).cast("double").alias(c) for c in columns], "column_name", "_value"
+    long = df.select(*group, *(F.col(c).cast("double").alias(c) for c in columns)).unpivot(
+        group, columns, "column_name", "_value"
     )
     keys = [*group, "column_name"]
     moments = long.groupBy(*keys).agg(

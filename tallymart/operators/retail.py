@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallymart.functions.scalar import DAY_MICROS, half_even, span_micros, whole_days
 from tallymart.operators.skew import HOT_ROWS, attach_totals, one_row, salted_join
+from tallymart.session import write_through
 
 PAIR = ["cust_id", "product_id"]
 
@@ -76,15 +77,14 @@ def repeat_purchases(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     return attach_totals(rows, PAIR, hot_rows, counter=F.count(F.lit(1))).filter(F.col("counter") > 1)
 
 
-def pair_intervals(rows: DataFrame, floor_span_first: bool = True) -> DataFrame:
-    """Per repeated pair: row count and mean days between purchases, less one day, rounded down.
+def pair_summary(rows: DataFrame, with_time: bool = True) -> DataFrame:
+    """Row count per (customer, product), with first and last timestamp if asked for. Every report
+    below is worked out from this table; the rows are touched again only where they are the result."""
+    spans = [F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")] if with_time else []
+    return rows.groupBy(*PAIR).agg(F.count(F.lit(1)).alias("counter"), *spans)
 
-    ``floor_span_first`` is the transaction rule (whole days before dividing); otherwise the exact
-    span is divided (event rule).
-    """
-    pairs = rows.groupBy(*PAIR).agg(
-        F.count(F.lit(1)).alias("counter"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")
-    )
+
+def _intervals(pairs: DataFrame, floor_span_first: bool) -> DataFrame:
     gaps = F.col("counter") - 1
     if floor_span_first:
         interval = (whole_days("last_ts", "first_ts") - 1) / gaps
@@ -93,35 +93,68 @@ def pair_intervals(rows: DataFrame, floor_span_first: bool = True) -> DataFrame:
     return pairs.filter(F.col("counter") > 1).withColumn("repurchase_days", F.floor(interval).cast("long"))
 
 
+def _averages(intervals: DataFrame, weighting: str) -> DataFrame:
+    weight = F.col("counter") if weighting == "row" else F.lit(1)
+    return (
+        intervals.groupBy("product_id")
+        .agg(
+            F.sum(F.col("repurchase_days") * weight).alias("interval_total"),
+            F.count(F.lit(1)).alias("customers"),
+        )
+        .withColumn("average_repurchase_time", F.col("interval_total") / F.col("customers"))
+    )
+
+
+def _timing(pairs: DataFrame, floor_span_first: bool, hot_rows: int) -> DataFrame:
+    """Repeated pairs with their interval and their product's average."""
+    intervals = _intervals(pairs, floor_span_first)
+    averages = _averages(intervals, "row").drop("interval_total")
+    return salted_join(intervals, averages, ["product_id"], hot_rows=hot_rows, count="customers").drop("customers")
+
+
+def _judge(as_of: str) -> Column:
+    wait = F.coalesce(F.col("repurchase_days").cast("double"), "average_repurchase_time")
+    return F.when(_age(as_of) > wait, DUE).otherwise(NOT_DUE)
+
+
+def _age(as_of: str) -> Column:
+    return F.datediff(F.lit(as_of).cast("date"), F.to_date("ts"))
+
+
+def pair_intervals(rows: DataFrame, floor_span_first: bool = True) -> DataFrame:
+    """Per repeated pair: row count and mean days between purchases, less one day, rounded down.
+
+    ``floor_span_first`` is the transaction rule (whole days before dividing); otherwise the exact
+    span is divided (event rule).
+    """
+    return _intervals(pair_summary(rows), floor_span_first)
+
+
 def repurchase_interval(rows: DataFrame, floor_span_first: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The pair's repurchase interval beside each of its purchase rows."""
-    pairs = pair_intervals(rows, floor_span_first)
-    return salted_join(
-        rows,
-        pairs.select(*PAIR, "counter", "repurchase_days"),
-        PAIR,
-        hot_rows=hot_rows,
-        counts=pairs.select(*PAIR, "counter"),
-        count_column="counter",
-    )
+    table = pair_intervals(rows, floor_span_first).select(*PAIR, "counter", "repurchase_days")
+    return salted_join(rows, table, PAIR, hot_rows=hot_rows, count="counter")
 
 
-def average_repurchase_time(
-    rows: DataFrame, floor_span_first: bool = True, weighting: str = "row"
-) -> DataFrame:
+def average_repurchase_time(rows: DataFrame, floor_span_first: bool = True, weighting: str = "row") -> DataFrame:
     """Per product: interval total over distinct customers.
 
     ``weighting='row'`` counts a pair once per purchase (the customary report), ``'pair'`` once.
     """
-    weight = F.col("counter") if weighting == "row" else F.lit(1)
-    return (
-        pair_intervals(rows, floor_span_first)
-        .groupBy("product_id")
-        .agg(
-            F.sum(F.col("repurchase_days") * weight).alias("interval_total"),
-            F.count(F.lit(1)).alias("customers"),
-        )
-        .withColumn("average_repurchase_time", F.col("interval_total") / F.col("customers"))
+    return _averages(pair_intervals(rows, floor_span_first), weighting)
+
+
+def _due(rows: DataFrame, timing: DataFrame, as_of: str, hot_rows: int, extra: list[str]) -> DataFrame:
+    table = timing.select(*PAIR, "counter", "repurchase_days", "average_repurchase_time", *extra)
+    judged = salted_join(rows.select(*PAIR, "ts"), table, PAIR, hot_rows=hot_rows, count="counter")
+    return judged.select(
+        *PAIR,
+        F.to_date("ts").alias("purchase_date"),
+        _age(as_of).alias("age_days"),
+        "repurchase_days",
+        "average_repurchase_time",
+        _judge(as_of).alias("recommendation"),
+        *extra,
     )
 
 
@@ -137,53 +170,27 @@ def repurchase_due(
     A missing timestamp falls back on the product's average. One pair can carry both labels;
     ``latest_only`` judges the pair by its last purchase.
     """
-    pairs = pair_intervals(rows, floor_span_first)
-    timing = salted_join(
-        pairs.select(*PAIR, "counter", "last_ts", "repurchase_days"),
-        average_repurchase_time(rows, floor_span_first).select("product_id", "average_repurchase_time"),
-        ["product_id"],
-        hot_rows=hot_rows,
-    )
+    timing = _timing(write_through(pair_summary(rows), "pairs"), floor_span_first, hot_rows)
     if latest_only:
-        judged = timing.withColumnRenamed("last_ts", "ts")
-    else:
-        judged = salted_join(
-            rows.select(*PAIR, "ts"),
-            timing.drop("last_ts"),
-            PAIR,
-            hot_rows=hot_rows,
-            counts=pairs.select(*PAIR, "counter"),
-            count_column="counter",
-        )
-    age = F.datediff(F.lit(as_of).cast("date"), F.to_date("ts"))
-    wait = F.coalesce(F.col("repurchase_days").cast("double"), "average_repurchase_time")
-    return judged.select(
-        *PAIR,
-        F.to_date("ts").alias("purchase_date"),
-        age.alias("age_days"),
-        "repurchase_days",
-        "average_repurchase_time",
-        F.when(age > wait, DUE).otherwise(NOT_DUE).alias("recommendation"),
+        rows = timing.select(*PAIR, F.col("last_ts").alias("ts"))
+    return _due(rows, timing, as_of, hot_rows, [])
+
+
+def _affinities(pairs: DataFrame, hot_rows: int) -> DataFrame:
+    visits = pairs.groupBy("cust_id").agg(
+        F.sum("counter").alias("visits"), F.count(F.lit(1)).alias("_pairs")
     )
+    several = visits.filter(F.col("visits") > 1)
+    joined = salted_join(pairs, several, ["cust_id"], hot_rows=hot_rows, count="_pairs").drop("_pairs")
+    share = F.col("counter") / F.col("visits") * 100
+    return joined.withColumn("affinity_round", half_even(share).cast("double"))
 
 
 def affinity(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Share of a customer's rows that fall on each product, in whole percent (half to even);
     customers with a single row are left out."""
-    pairs = rows.groupBy(*PAIR).agg(F.count(F.lit(1)).alias("combination"))
-    visits = pairs.groupBy("cust_id").agg(
-        F.sum("combination").alias("visits"), F.count(F.lit(1)).alias("_pairs")
-    )
-    joined = salted_join(
-        pairs,
-        visits.filter(F.col("visits") > 1).drop("_pairs"),
-        ["cust_id"],
-        hot_rows=hot_rows,
-        counts=visits,
-        count_column="_pairs",
-    )
-    share = F.col("combination") / F.col("visits") * 100
-    return joined.withColumn("affinity_round", half_even(share).cast("double"))
+    pairs = pair_summary(rows, with_time=False)
+    return _affinities(pairs, hot_rows).withColumnRenamed("counter", "combination")
 
 
 def affinity_distribution(affinities: DataFrame) -> DataFrame:
@@ -240,7 +247,12 @@ def affinity_class(affinities: DataFrame) -> DataFrame:
 def favourites(
     rows: DataFrame, as_of: str, floor_span_first: bool = True, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Repurchase label and affinity class of every repeat purchase."""
-    due = repurchase_due(rows, as_of, floor_span_first, hot_rows=hot_rows)
-    classes = affinity_class(affinity(rows, hot_rows)).select(*PAIR, "recommendation_class")
-    return salted_join(due, classes, PAIR, hot_rows=hot_rows)
+    """Repurchase label and affinity class of every repeat purchase.
+
+    Timing and class are both joined on the pair table, which is written once; the rows are read for
+    that table and for the result.
+    """
+    pairs = write_through(pair_summary(rows), "pairs")
+    classes = affinity_class(_affinities(pairs, hot_rows)).select(*PAIR, "recommendation_class")
+    timing = _timing(pairs, floor_span_first, hot_rows).join(classes, PAIR)
+    return _due(rows, timing, as_of, hot_rows, ["recommendation_class"])

@@ -14,37 +14,43 @@ from pyspark.sql import functions as F
 HOT_ROWS = 1_000_000
 
 
+def _parts(count: str, hot_rows: int) -> Column:
+    """Number of tasks a key with ``count`` rows is spread over; 1 unless the key is hot."""
+    return F.when(F.col(count) > hot_rows, F.ceil(F.col(count) / hot_rows)).otherwise(1).cast("int")
+
+
+def _spread(rows: DataFrame, counts: DataFrame, keys: list[str], count: str, hot_rows: int) -> DataFrame:
+    """Give every row of a hot key one of the key's salts. The salt is a hash of the whole row, so a
+    repeated task gives the same answer."""
+    hot = counts.filter(F.col(count) > hot_rows).select(*keys, _parts(count, hot_rows).alias("_parts"))
+    salt = F.pmod(F.xxhash64(*rows.columns), F.coalesce("_parts", F.lit(1))).cast("int")
+    return rows.join(F.broadcast(hot), keys, "left").withColumn("_salt", salt).drop("_parts")
+
+
 def salted_join(
     rows: DataFrame,
     table: DataFrame,
     keys: list[str],
     how: str = "inner",
     hot_rows: int = HOT_ROWS,
-    counts: DataFrame | None = None,
-    count_column: str = "_n",
+    count: str | None = None,
 ) -> DataFrame:
     """Join ``rows`` to ``table`` (one row per key), spreading every hot key over several tasks.
 
-    ``how`` is ``inner`` or ``left``. ``counts`` may hand in row counts per key that exist already.
-    The salt is a hash of the whole row: a repeated task gives the same answer.
+    ``how`` is ``inner`` or ``left``. ``count`` names a column of ``table`` that already holds the
+    number of ``rows`` per key; without it the keys are counted first.
     """
-    if counts is None:
-        counts, count_column = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), "_n"
-    hot = counts.filter(F.col(count_column) > hot_rows).select(
-        *keys, F.ceil(F.col(count_column) / hot_rows).cast("int").alias("_parts")
-    )
-    parts = F.coalesce("_parts", F.lit(1))
-    spread = (
-        rows.withColumn("_hash", F.xxhash64(*rows.columns))
-        .join(F.broadcast(hot), keys, "left")
-        .withColumn("_salt", F.pmod(F.col("_hash"), parts).cast("int"))
-        .drop("_hash", "_parts")
-    )
-    copies = (
-        table.join(F.broadcast(hot), keys, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1)))
-        .drop("_parts")
-    )
+    if count:
+        counts, known = table.select(*keys, count), table
+    else:
+        count = "_n"
+        counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(count))
+        hot = counts.filter(F.col(count) > hot_rows)
+        known = table.join(F.broadcast(hot), keys, "left")
+    copies = known.withColumn("_salt", F.explode(F.sequence(F.lit(0), _parts(count, hot_rows) - 1)))
+    if count == "_n":
+        copies = copies.drop("_n")
+    spread = _spread(rows, counts, keys, count, hot_rows)
     return spread.join(copies, [*keys, "_salt"], how).drop("_salt")
 
 
@@ -54,11 +60,9 @@ def attach_totals(
     """Put per-key aggregates beside every row: the aggregate is combined map-side and joined back,
     so no task ever holds a whole group (a window over the key would)."""
     table = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), *(column.alias(name) for name, column in totals.items())
+        F.count(F.lit(1)).alias("_rows"), *(column.alias(name) for name, column in totals.items())
     )
-    return salted_join(
-        rows, table, keys, "inner", hot_rows, counts=table.select(*keys, "_n")
-    ).drop("_n")
+    return salted_join(rows, table, keys, "inner", hot_rows, count="_rows").drop("_rows")
 
 
 def one_row(df: DataFrame) -> Column:

@@ -1 +1,289 @@
-"""To come."""
+"""Collaborative filtering over the ratings view. One-user reports take the most active user, which
+Spark finds in the table; they still score the whole table for that user."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallymart.operators import neighbours as cf
+from tallymart.operators.ordering import top_per_group
+from tallymart.operators.relational import modulus_split
+from tallymart.plans.registry import RATINGS, query
+from tallymart.sources import tables
+
+
+def _ratings(spark: SparkSession, folder: str) -> DataFrame:
+    return tables.ratings(spark, folder)
+
+
+TARGET = """tg AS (SELECT user_id AS target FROM ratings GROUP BY 1 ORDER BY count(*) DESC, user_id LIMIT 1)"""
+UU = """uu AS (SELECT p.user_id AS user_a, q.user_id AS user_b, count(*) AS n, sum(p.rating) AS sx, sum(q.rating) AS sy,
+    sum(p.rating * p.rating) AS sxx, sum(q.rating * q.rating) AS syy, sum(p.rating * q.rating) AS sxy,
+    sum(abs(p.rating - q.rating)) AS sad
+  FROM ratings p JOIN ratings q ON p.item_id = q.item_id AND p.user_id < q.user_id GROUP BY 1, 2)"""
+II = """ii AS (SELECT p.item_id AS item_a, q.item_id AS item_b, count(*) AS n, sum(p.rating) AS sx, sum(q.rating) AS sy,
+    sum(p.rating * q.rating) AS sxy
+  FROM ratings p JOIN ratings q ON p.user_id = q.user_id AND p.item_id < q.item_id GROUP BY 1, 2)"""
+PEARSON = """CASE WHEN n * sxx - sx * sx > 0 AND n * syy - sy * sy > 0
+    THEN (n * sxy - sx * sy) / (sqrt(n * sxx - sx * sx) * sqrt(n * syy - sy * sy)) ELSE 0.0 END"""
+ULEN = "ul AS (SELECT user_id, sqrt(sum(rating * rating)) AS len FROM ratings GROUP BY 1)"
+ILEN = "il AS (SELECT item_id, sqrt(sum(rating * rating)) AS len FROM ratings GROUP BY 1)"
+
+
+@query("self_join_coitems", f"WITH {RATINGS}, {II} SELECT item_a, item_b, n AS users FROM ii")
+def self_join_coitems(spark, folder):
+    return cf.co_items(_ratings(spark, folder))
+
+
+@query("self_join_cousers", f"WITH {RATINGS}, {UU} SELECT user_a, user_b, n AS items FROM uu")
+def self_join_cousers(spark, folder):
+    return cf.co_users(_ratings(spark, folder))
+
+
+@query("manhattan_users", f"WITH {RATINGS}, {UU} SELECT user_a, user_b, sad AS distance FROM uu")
+def manhattan_users(spark, folder):
+    return cf.manhattan_pairs(_ratings(spark, folder))
+
+
+MANHATTAN = f"""{TARGET}, md AS (SELECT tg.target, o.user_id, coalesce(sum(abs(p.rating - q.rating)), 0.0) AS distance
+  FROM tg JOIN (SELECT DISTINCT user_id FROM ratings) o ON o.user_id <> tg.target
+    LEFT JOIN ratings q ON q.user_id = o.user_id AND q.item_id IN (SELECT item_id FROM ratings WHERE user_id = (SELECT target FROM tg))
+    LEFT JOIN ratings p ON p.user_id = tg.target AND p.item_id = q.item_id GROUP BY 1, 2)"""
+
+
+@query("manhattan_nearest", f"WITH {RATINGS}, {MANHATTAN} SELECT target, user_id, distance FROM md ORDER BY distance, user_id")
+def manhattan_nearest(spark, folder):
+    ratings = _ratings(spark, folder)
+    return cf.manhattan_users(ratings, cf.most_active(ratings)).orderBy("distance", "user_id")
+
+
+@query("pearson_users", f"WITH {RATINGS}, {UU} SELECT user_a, user_b, n, round({PEARSON}, 9) AS similarity FROM uu")
+def pearson_users(spark, folder):
+    return cf.pearson_users(_ratings(spark, folder)).withColumn("similarity", F.round("similarity", 9))
+
+
+@query(
+    "cosine_users",
+    f"""WITH {RATINGS}, {UU}, {ULEN} SELECT user_a, user_b, round(sxy / (p.len * q.len), 9) AS similarity
+    FROM uu JOIN ul p ON p.user_id = user_a JOIN ul q ON q.user_id = user_b""",
+)
+def cosine_users(spark, folder):
+    return cf.cosine_users(_ratings(spark, folder)).withColumn("similarity", F.round("similarity", 9))
+
+
+COSINE_ITEMS = f"""{II}, {ILEN}, ci AS (SELECT item_a, item_b, round(sxy / (p.len * q.len), 9) AS similarity
+    FROM ii JOIN il p ON p.item_id = item_a JOIN il q ON q.item_id = item_b),
+  bi AS (SELECT item_a AS item_id, item_b AS neighbour, similarity FROM ci UNION ALL SELECT item_b, item_a, similarity FROM ci),
+  nb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY similarity DESC, neighbour) AS rank FROM bi) z
+    WHERE rank <= 10)"""
+
+
+@query("cosine_items", f"WITH {RATINGS}, {COSINE_ITEMS} SELECT item_id, neighbour, similarity, rank FROM nb")
+def cosine_items(spark, folder):
+    return cf.item_neighbours(_ratings(spark, folder), 10, places=9)
+
+
+SPREAD = """nu AS (SELECT count(DISTINCT user_id) AS users FROM ratings),
+  sp AS (SELECT item_id, sum(rating) AS total, sqrt(any_value(users) * sum(rating * rating) - sum(rating) * sum(rating)) AS spread
+    FROM ratings, nu GROUP BY 1)"""
+CORRELATION = f"""{II}, {SPREAD}, co AS (SELECT item_a, item_b, n AS users,
+    (nu.users * sxy - p.total * q.total) / (p.spread * q.spread) AS correlation
+  FROM ii JOIN sp p ON p.item_id = item_a JOIN sp q ON q.item_id = item_b, nu)"""
+
+
+@query(
+    "item_correlation",
+    f"WITH {RATINGS}, {CORRELATION} SELECT item_a, item_b, users, round(correlation, 9) AS correlation FROM co",
+)
+def item_correlation(spark, folder):
+    return cf.item_correlation(_ratings(spark, folder)).withColumn("correlation", F.round("correlation", 9))
+
+
+@query(
+    "similar_items_band",
+    f"""WITH {RATINGS}, {CORRELATION} SELECT item_a, item_b, users, round(correlation, 9) AS correlation FROM co
+    WHERE correlation > 0.1 AND correlation < 1""",
+)
+def similar_items_band(spark, folder):
+    band = cf.similar_items_band(_ratings(spark, folder), low=0.1)
+    return band.withColumn("correlation", F.round("correlation", 9))
+
+
+@query(
+    "item_corr_recs",
+    f"""WITH {RATINGS}, {TARGET}, {SPREAD}, ow AS (SELECT item_id FROM ratings, tg WHERE user_id = target),
+      dt AS (SELECT i.item_id, j.item_id AS own_id, coalesce(sum(p.rating * q.rating), 0) AS sxy
+        FROM sp i JOIN ow j ON true LEFT JOIN ratings q ON q.item_id = j.item_id
+          LEFT JOIN ratings p ON p.item_id = i.item_id AND p.user_id = q.user_id GROUP BY 1, 2),
+      sc AS (SELECT dt.item_id, round(sum((users * sxy - p.total * q.total) / (p.spread * q.spread)), 9) AS score
+        FROM dt JOIN sp p ON p.item_id = dt.item_id JOIN sp q ON q.item_id = own_id, nu
+        WHERE dt.item_id NOT IN (SELECT item_id FROM ow) GROUP BY 1)
+    SELECT target, item_id, score, row_number() OVER (ORDER BY score DESC, item_id) AS rank FROM sc, tg ORDER BY rank LIMIT 20""",
+)
+def item_corr_recs(spark, folder):
+    ratings = _ratings(spark, folder)
+    return cf.item_corr_recs(ratings, cf.most_active(ratings), 20)
+
+
+@query(
+    "knn_recs",
+    f"""WITH {RATINGS}, {UU}, pe AS (SELECT user_a, user_b, round({PEARSON}, 9) AS similarity FROM uu),
+      di AS (SELECT user_a AS target, user_b AS user_id, similarity FROM pe UNION ALL SELECT user_b, user_a, similarity FROM pe),
+      kn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY target ORDER BY similarity DESC, user_id) AS rn FROM di) z WHERE rn <= 3),
+      tt AS (SELECT target, sum(similarity) AS whole FROM kn GROUP BY 1 HAVING sum(similarity) <> 0),
+      sc AS (SELECT kn.target, r.item_id, round(sum(r.rating * kn.similarity / whole), 9) AS score
+        FROM kn JOIN tt ON tt.target = kn.target JOIN ratings r ON r.user_id = kn.user_id
+        WHERE NOT EXISTS (SELECT 1 FROM ratings o WHERE o.user_id = kn.target AND o.item_id = r.item_id) GROUP BY 1, 2)
+    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY target ORDER BY score DESC, item_id) AS rank FROM sc) z WHERE rank <= 10""",
+)
+def knn_recs(spark, folder):
+    return cf.knn_recs(_ratings(spark, folder), k=3, n=10)
+
+
+@query(
+    "nearest_recs",
+    f"""WITH {RATINGS}, {MANHATTAN}, ne AS (SELECT target, user_id FROM md ORDER BY distance, user_id LIMIT 1)
+    SELECT target, ne.user_id AS neighbour, item_id, rating FROM ne JOIN ratings r ON r.user_id = ne.user_id
+    WHERE item_id NOT IN (SELECT item_id FROM ratings, tg WHERE user_id = tg.target)""",
+)
+def nearest_recs(spark, folder):
+    ratings = _ratings(spark, folder)
+    return cf.nearest_recs(ratings, cf.most_active(ratings)).orderBy(F.desc("rating"), "item_id")
+
+
+SPLIT = """te AS (SELECT * FROM ratings WHERE (user_id * 31 + item_id) % 4 = 0),
+  tr AS (SELECT * FROM ratings WHERE (user_id * 31 + item_id) % 4 <> 0),
+  sz AS (SELECT count(DISTINCT user_id) AS nu, count(DISTINCT item_id) AS ni FROM ratings)"""
+USER_CF = f"""{SPLIT}, me AS (SELECT user_id, sum(rating) / any_value(ni) AS mean, sqrt(sum(rating * rating)) AS len FROM tr, sz GROUP BY 1),
+  us AS (SELECT p.user_id AS u, q.user_id AS v, sum(p.rating * q.rating) / any_value(a.len * b.len) AS s
+    FROM tr p JOIN tr q ON p.item_id = q.item_id JOIN me a ON a.user_id = p.user_id JOIN me b ON b.user_id = q.user_id GROUP BY 1, 2),
+  ut AS (SELECT u, sum(s) AS s_total, sum(s * mean) AS s_mean FROM us JOIN me ON me.user_id = v GROUP BY 1),
+  ct AS (SELECT item_id, sum(rating) AS column_total FROM tr GROUP BY 1),
+  pr AS (SELECT te.user_id, te.item_id, sum(s * tr.rating) AS near FROM te JOIN tr ON tr.item_id = te.item_id
+    JOIN us ON us.u = te.user_id AND us.v = tr.user_id GROUP BY 1, 2),
+  ux AS (SELECT te.user_id, te.item_id, te.rating, coalesce(mean, 0) +
+      (coalesce(column_total, 0) - (SELECT sum(mean) FROM me) - coalesce(near, 0) + coalesce(s_mean, 0)) / (nu - coalesce(s_total, 1)) AS prediction
+    FROM te LEFT JOIN me ON me.user_id = te.user_id LEFT JOIN ut ON ut.u = te.user_id LEFT JOIN ct ON ct.item_id = te.item_id
+      LEFT JOIN pr ON pr.user_id = te.user_id AND pr.item_id = te.item_id, sz)"""
+ITEM_CF = f"""{SPLIT}, le AS (SELECT item_id, sqrt(sum(rating * rating)) AS len FROM tr GROUP BY 1),
+  si AS (SELECT p.item_id AS i, q.item_id AS j, sum(p.rating * q.rating) / any_value(a.len * b.len) AS s
+    FROM tr p JOIN tr q ON p.user_id = q.user_id JOIN le a ON a.item_id = p.item_id JOIN le b ON b.item_id = q.item_id GROUP BY 1, 2),
+  it AS (SELECT i, sum(s) AS s_total FROM si GROUP BY 1),
+  rt AS (SELECT user_id, sum(rating) AS row_total FROM tr GROUP BY 1),
+  pr AS (SELECT te.user_id, te.item_id, sum(s * tr.rating) AS near FROM te JOIN tr ON tr.user_id = te.user_id
+    JOIN si ON si.i = te.item_id AND si.j = tr.item_id GROUP BY 1, 2),
+  ix AS (SELECT te.user_id, te.item_id, te.rating, (coalesce(row_total, 0) - coalesce(near, 0)) / (ni - coalesce(s_total, 1)) AS prediction
+    FROM te LEFT JOIN rt ON rt.user_id = te.user_id LEFT JOIN it ON it.i = te.item_id
+      LEFT JOIN pr ON pr.user_id = te.user_id AND pr.item_id = te.item_id, sz)"""
+
+
+def _split(spark: SparkSession, folder: str):
+    ratings = _ratings(spark, folder)
+    train, test = modulus_split(ratings, F.col("user_id") * 31 + F.col("item_id"), 4, 1)
+    users = ratings.agg(F.count_distinct("user_id")).scalar()
+    items = ratings.agg(F.count_distinct("item_id")).scalar()
+    return train, test, users, items
+
+
+def _user_based(spark, folder) -> DataFrame:
+    train, test, users, items = _split(spark, folder)
+    return cf.user_based_cf(train, test, users, items)
+
+
+def _item_based(spark, folder) -> DataFrame:
+    train, test, _, items = _split(spark, folder)
+    return cf.item_based_cf(train, test, items)
+
+
+@query("user_based_cf", f"WITH {RATINGS}, {USER_CF} SELECT user_id, item_id, rating, round(prediction, 8) AS prediction FROM ux")
+def user_based_cf(spark, folder):
+    return _user_based(spark, folder).withColumn("prediction", F.round("prediction", 8))
+
+
+@query("item_based_cf", f"WITH {RATINGS}, {ITEM_CF} SELECT user_id, item_id, rating, round(prediction, 8) AS prediction FROM ix")
+def item_based_cf(spark, folder):
+    return _item_based(spark, folder).withColumn("prediction", F.round("prediction", 8))
+
+
+@query(
+    "cf_rmse",
+    f"""SELECT 'user' AS method, n, mse, rmse FROM (WITH {RATINGS}, {USER_CF} SELECT count(*) AS n, round(avg(power(rating - prediction, 2)), 8) AS mse,
+      round(sqrt(avg(power(rating - prediction, 2))), 8) AS rmse FROM ux) a
+    UNION ALL SELECT 'item', n, mse, rmse FROM (WITH {RATINGS}, {ITEM_CF} SELECT count(*) AS n, round(avg(power(rating - prediction, 2)), 8) AS mse,
+      round(sqrt(avg(power(rating - prediction, 2))), 8) AS rmse FROM ix) b""",
+)
+def cf_rmse(spark, folder):
+    by_user = cf.cf_rmse(_user_based(spark, folder)).withColumn("method", F.lit("user"))
+    by_item = cf.cf_rmse(_item_based(spark, folder)).withColumn("method", F.lit("item"))
+    return by_user.unionByName(by_item).select(
+        "method", "n", F.round("mse", 8).alias("mse"), F.round("rmse", 8).alias("rmse")
+    )
+
+
+@query(
+    "slope_one_dev",
+    f"WITH {RATINGS}, {II} SELECT item_a, item_b, round((sx - sy) / n, 9) AS deviation, n AS users FROM ii",
+)
+def slope_one_dev(spark, folder):
+    return cf.slope_one_deviations(_ratings(spark, folder)).withColumn("deviation", F.round("deviation", 9))
+
+
+@query(
+    "slope_one_recs",
+    f"""WITH {RATINGS}, {TARGET}, ow AS (SELECT item_id, rating FROM ratings, tg WHERE user_id = target),
+      dv AS (SELECT p.item_id, q.item_id AS own_id, avg(p.rating - q.rating) AS dev, count(*) AS freq
+        FROM ratings q JOIN ratings p ON p.user_id = q.user_id AND p.item_id <> q.item_id
+        WHERE q.item_id IN (SELECT item_id FROM ow) GROUP BY 1, 2),
+      sc AS (SELECT dv.item_id, CAST(sum(freq) AS BIGINT) AS freq, round(sum((dev + rating) * freq) / sum(freq), 9) AS score
+        FROM dv JOIN ow ON ow.item_id = own_id WHERE dv.item_id NOT IN (SELECT item_id FROM ow) GROUP BY 1)
+    SELECT target, item_id, freq, score, row_number() OVER (ORDER BY score DESC, item_id) AS rank FROM sc, tg ORDER BY rank LIMIT 50""",
+)
+def slope_one_recs(spark, folder):
+    ratings = _ratings(spark, folder)
+    return cf.slope_one_recs(ratings, cf.most_active(ratings), 50)
+
+
+@query(
+    "content_score",
+    f"""WITH {RATINGS}, ge AS (SELECT DISTINCT p_partkey AS item_id, p_name AS title, unnest(string_split(p_name, ' ')) AS genre FROM part),
+      pf AS (SELECT genre, avg(rating) AS preference FROM ratings JOIN ge USING (item_id) GROUP BY 1)
+    SELECT item_id, title, round(sum(preference), 9) AS score FROM ge JOIN pf USING (genre) GROUP BY 1, 2
+    ORDER BY score DESC, item_id LIMIT 20""",
+)
+def content_score(spark, folder):
+    items = tables.item_names(spark, folder).withColumn("genres", F.split("title", " "))
+    flags = items.select("item_id", F.explode(F.array_distinct("genres")).alias("genre"))
+    preferences = (
+        _ratings(spark, folder).join(flags, "item_id").groupBy("genre").agg(F.avg("rating").alias("preference"))
+    )
+    scores = cf.content_scores(items, preferences).withColumn("score", F.round("score", 9))
+    return scores.orderBy(F.desc("score"), "item_id").limit(20)
+
+
+@query(
+    "weighted_history_score",
+    f"""WITH {RATINGS}, {COSINE_ITEMS}, wh AS (SELECT item_id, sum(similarity) AS whole FROM nb GROUP BY 1)
+    SELECT user_id, nb.item_id, round(sum(rating * similarity) / any_value(whole), 9) AS score
+    FROM nb JOIN wh ON wh.item_id = nb.item_id JOIN ratings r ON r.item_id = nb.neighbour GROUP BY 1, 2""",
+)
+def weighted_history_score(spark, folder):
+    ratings = _ratings(spark, folder)
+    near = cf.item_neighbours(ratings, 10, places=9)
+    return cf.weighted_history(ratings, near).withColumn("score", F.round("score", 9))
+
+
+@query(
+    "user_top_items",
+    f"""WITH {RATINGS}, r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY rating DESC, item_id) AS rank FROM ratings)
+    SELECT user_id, c_name AS user_label, item_id, CASE WHEN p_size > 25 THEN p_name ELSE CAST(item_id AS VARCHAR) END AS title, rating, rank
+    FROM r JOIN customer ON c_custkey = user_id JOIN part ON p_partkey = item_id WHERE rank <= 3""",
+)
+def user_top_items(spark, folder):
+    # names known for some items only, so that the fallback to the id shows
+    part = tables.table(spark, folder, "part").filter("p_size > 25")
+    names = part.select(F.col("p_partkey").alias("item_id"), F.col("p_name").alias("title"))
+    users = tables.table(spark, folder, "customer").select(
+        F.col("c_custkey").alias("user_id"), F.col("c_name").alias("user_label")
+    )
+    return cf.user_top_items(_ratings(spark, folder), names, users, 3)
