@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark import StorageLevel
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg.distributed import CoordinateMatrix
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.operators.ordering import top_per_group
@@ -136,10 +137,12 @@ def svd(cells: DataFrame, row: str, column: str, value: str, k: int) -> Factors:
     entries = cells.join(rows, row).join(columns, column).select(
         F.col("_i").alias("i"), F.col("_j").alias("j"), F.col(value).cast("double").alias("value")
     )
-    solved = CoordinateMatrix(entries).toIndexedRowMatrix().computeSVD(min(k, width), computeU=True)
+    height = rows.count()
+    matrix = CoordinateMatrix(callMLlibFunc("createCoordinateMatrix", entries, height, width), height, width)
+    solved = matrix.toIndexedRowMatrix().computeSVD(min(k, width), computeU=True)
     spark = cells.sparkSession
     indexed = callMLlibFunc("getIndexedRows", solved.U._java_matrix_wrapper._java_model)
-    left = indexed.select(F.col("index").alias("_i"), _to_array("vector").alias("u"))
+    left = indexed.select(F.col("index").alias("_i"), vector_to_array("vector").alias("u"))
     v = solved.V.toArray()
     right = spark.createDataFrame(
         [(j, v[j].tolist()) for j in range(v.shape[0])], "_j long, v array<double>"
@@ -151,12 +154,6 @@ def svd(cells: DataFrame, row: str, column: str, value: str, k: int) -> Factors:
     )
 
 
-def _to_array(column: str):
-    from pyspark.ml.functions import vector_to_array
-
-    return vector_to_array(F.col(column))
-
-
 def _dot(left, right, weights: list[float] | None = None):
     both = F.zip_with(left, right, lambda a, b: a * b)
     if weights is not None:

@@ -61,8 +61,8 @@ def most_common_words(spark, folder):
 
 
 def _loglog_sql(size: int) -> str:
-    return f"""WITH {KEPT}, rk AS (SELECT n, row_number() OVER (ORDER BY n DESC, token) - 1 AS at FROM fr),
-      gr AS (SELECT CAST(floor(at / {size}) AS BIGINT) AS group_no, sum(n) AS total FROM rk GROUP BY 1 HAVING count(*) = {size})
+    return f"""WITH {KEPT}, rk AS (SELECT n, row_number() OVER (ORDER BY n DESC, token) - 1 AS pos FROM fr),
+      gr AS (SELECT CAST(floor(pos / {size}) AS BIGINT) AS group_no, sum(n) AS total FROM rk GROUP BY 1 HAVING count(*) = {size})
     SELECT group_no, round(ln(group_no + 1), 9) AS log_rank, round(ln(total), 9) AS log_total FROM gr"""
 
 
