@@ -139,7 +139,11 @@ def svd(cells: DataFrame, row: str, column: str, value: str, k: int) -> Factors:
     )
     height = rows.count()
     matrix = CoordinateMatrix(callMLlibFunc("createCoordinateMatrix", entries, height, width), height, width)
-    solved = matrix.toIndexedRowMatrix().computeSVD(min(k, width), computeU=True)
+    by_row = matrix.toIndexedRowMatrix()
+    # the solver multiplies by the matrix many times: keep its rows, spilling to disk
+    vectors = by_row._java_matrix_wrapper._java_model.rows()
+    vectors.persist(cells.sparkSession.sparkContext._getJavaStorageLevel(StorageLevel.MEMORY_AND_DISK))
+    solved = by_row.computeSVD(min(k, width), computeU=True)
     spark = cells.sparkSession
     indexed = callMLlibFunc("getIndexedRows", solved.U._java_matrix_wrapper._java_model)
     left = indexed.select(F.col("index").alias("_i"), vector_to_array("vector").alias("u"))
@@ -147,11 +151,13 @@ def svd(cells: DataFrame, row: str, column: str, value: str, k: int) -> Factors:
     right = spark.createDataFrame(
         [(j, v[j].tolist()) for j in range(v.shape[0])], "_j long, v array<double>"
     )
-    return Factors(
+    factors = Factors(
         write_through(rows.join(left, "_i").select(row, "u"), "svd-left"),
         write_through(columns.join(right, "_j").select(column, "v"), "svd-right"),
         [float(s) for s in solved.s.toArray()],
     )
+    vectors.unpersist(False)
+    return factors
 
 
 def _dot(left, right, weights: list[float] | None = None):

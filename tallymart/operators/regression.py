@@ -80,7 +80,7 @@ def fstat_loglik(fit: DataFrame) -> DataFrame:
     f = (F.col("syy") - F.col("ssr")) / F.col("s2")
     loglik = -n / 2 * (F.log(F.lit(2 * math.pi) * F.col("ssr") / n) + 1)
     return _with_errors(fit).select("n", f.alias("f"), loglik.alias("loglik")).withColumn(
-        "p", dist.f_upper(F.col("f"), F.lit(1), F.col("n") - 2)
+        "p", dist.t_two_sided(F.sqrt("f"), F.col("n") - 2)
     )
 
 

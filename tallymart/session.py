@@ -16,6 +16,7 @@ def local_session(cpus: int | str = "*", name: str = "tallymart", **conf: str) -
         "spark.sql.shuffle.partitions": str(width),
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "12g",
         "spark.sql.adaptive.enabled": "true",
         **conf,
