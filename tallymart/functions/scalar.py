@@ -41,8 +41,8 @@ def strip_quotes(text: Column | str) -> Column:
 
 
 def words(text: Column | str) -> Column:
-    """Lower-cased word tokens of a text, in order."""
-    return F.transform(F.regexp_extract_all(as_column(text), F.lit(WORD_PATTERN), F.lit(1)), F.lower)
+    """Word tokens of a text, in order and in their own case."""
+    return F.regexp_extract_all(as_column(text), F.lit(WORD_PATTERN), F.lit(1))
 
 
 def pearson(n: Column, sx: Column, sy: Column, sxx: Column, syy: Column, sxy: Column) -> Column:

@@ -107,9 +107,9 @@ def cosine_items(ratings: DataFrame) -> DataFrame:
 def item_neighbours(ratings: DataFrame, n: int, places: int | None = None) -> DataFrame:
     """The ``n`` most similar items of every item (cosine, then item id). An item with fewer
     overlapping items has fewer neighbours."""
-    both = mirror(cosine_items(ratings).withColumnsRenamed({"item_a": "a", "item_b": "b"}))
     score = F.round("similarity", places) if places is not None else F.col("similarity")
-    both = both.select(F.col("a").alias(ITEM), F.col("b").alias("neighbour"), score.alias("similarity"))
+    pairs = cosine_items(ratings).select(F.col("item_a").alias("a"), F.col("item_b").alias("b"), score.alias("similarity"))
+    both = mirror(pairs).withColumnsRenamed({"a": ITEM, "b": "neighbour"})
     return top_per_group(both, [ITEM], [F.desc("similarity"), F.asc("neighbour")], n)
 
 

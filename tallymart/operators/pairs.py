@@ -100,14 +100,9 @@ def mirror(pairs: DataFrame, swap: list[tuple[str, str]] = (), negate: list[str]
     exchange = {"a": "b", "b": "a"}
     for first, second in swap:
         exchange[first], exchange[second] = second, first
-    forward = F.struct(*(F.col(c).alias(c) for c in pairs.columns))
-    backward = F.struct(
-        *(
-            (-F.col(c) if c in negate else F.col(exchange.get(c, c))).alias(c)
-            for c in pairs.columns
-        )
-    )
-    return pairs.select(F.explode(F.array(forward, backward)).alias("_p")).select("_p.*")
+    forward = [F.col(c) for c in pairs.columns]
+    backward = [-F.col(c) if c in negate else F.col(exchange.get(c, c)) for c in pairs.columns]
+    return pairs.select(F.stack(F.lit(2), *forward, *backward).alias(*pairs.columns))
 
 
 def target_pairs(

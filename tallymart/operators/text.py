@@ -26,8 +26,12 @@ POSITIVE_ABOVE, NEGATIVE_BELOW, DAMPING = 0.2, -0.2, 15.0
 
 
 def tokenize(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, position, token): every word of every document, lower-cased, in order."""
-    return docs.select(key, F.posexplode(words(text)).alias("position", "token"))
+    """(key, position, token): every word of every document, lower-cased, in order.
+
+    Tokens are lower-cased after they are split off: lower-casing may lengthen a text.
+    """
+    split = docs.select(key, F.posexplode(words(text)).alias("position", "token"))
+    return split.withColumn("token", F.lower("token"))
 
 
 def stopword_filter(tokens: DataFrame, stop_words: list[str] | None = None) -> DataFrame:
