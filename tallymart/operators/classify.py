@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -153,7 +154,11 @@ def cv_auc(
         foldCol="fold",
         parallelism=parallelism,
     )
-    found = search.fit(rows.select("features", label, "fold"))
+    kept = rows.select("features", label, "fold").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        found = search.fit(kept)
+    finally:
+        kept.unpersist()
     return df.sparkSession.createDataFrame(
         [(k, float(found.avgMetrics[0]), float(found.stdMetrics[0]))], "folds int, mean_auc double, sd_auc double"
     )

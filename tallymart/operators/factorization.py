@@ -26,10 +26,11 @@ EXPLICIT = {"rank": 5, "maxIter": 10, "regParam": 0.1, "seed": 1234}
 
 def fit_als(ratings: DataFrame, implicit: bool, **settings) -> ALSModel:
     """Block ALS. Pairs that occur several times are added up for implicit and averaged for explicit
-    feedback, so one (user, item) cell is one observation. The lineage of long runs is cut in the
-    shared folder."""
+    feedback, so one (user, item) cell is one observation. There are as many factor blocks as the
+    cluster has cores. The lineage of long runs is cut in the shared folder."""
     shared_folder(ratings.sparkSession)
-    options = {**(IMPLICIT if implicit else EXPLICIT), **settings}
+    blocks = max(10, ratings.sparkSession.sparkContext.defaultParallelism)
+    options = {**(IMPLICIT if implicit else EXPLICIT), "numUserBlocks": blocks, "numItemBlocks": blocks, **settings}
     weight = F.sum(RATING) if implicit else F.avg(RATING)
     cells = ratings.groupBy(USER, ITEM).agg(weight.cast("float").alias(RATING))
     cells = cells.persist(StorageLevel.MEMORY_AND_DISK)

@@ -50,8 +50,11 @@ def kmeans_clusters(edges: DataFrame, k: int = 2, seed: int = 1) -> DataFrame:
 
 
 def spectral_clusters(edges: DataFrame, k: int = 2, iterations: int = 20) -> DataFrame:
-    """Power iteration clustering of the weighted edge list."""
-    model = PowerIterationClustering(k=k, maxIter=iterations, weightCol="w", initMode="degree")
+    """Power iteration clustering of the weighted edge list.
+
+    The start vector is random (seeded by partition): degrees cannot tell apart clusters of equal shape.
+    """
+    model = PowerIterationClustering(k=k, maxIter=iterations, weightCol="w", initMode="random")
     clusters = model.assignClusters(
         edges.select(F.col("src").cast("long"), F.col("dst").cast("long"), F.col("w").cast("double"))
     )

@@ -60,9 +60,7 @@ def wilcoxon(df: DataFrame, first: str, second: str) -> DataFrame:
     rows = df.select(d.alias("d")).filter(F.col("d") != 0).select(
         F.abs("d").alias("size"), (F.col("d") > 0).cast("long").alias("up")
     )
-    signs = rows.groupBy("size").agg(F.sum("up").alias("up"))
-    ranks = tie_ranks(rows, "size")
-    sums = ranks.join(signs, "size").agg(
+    sums = tie_ranks(rows, "size", up=F.sum("up")).agg(
         F.sum("ties").alias("n"),
         F.sum(F.col("up") * F.col("avg_rank")).alias("w_plus"),
         F.sum((F.col("ties") - F.col("up")) * F.col("avg_rank")).alias("w_minus"),

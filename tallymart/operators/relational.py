@@ -254,11 +254,13 @@ def attach_group_count(df: DataFrame, keys: list[str], name: str = "counter", ho
     return attach_totals(df, keys, hot_rows, **{name: F.count(F.lit(1))})
 
 
-def tie_ranks(df: DataFrame, column: str) -> DataFrame:
-    """Distinct values with their row count and average rank. Equal values share one row, so the
-    ranks cost one running count over the distinct values."""
-    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("ties"))
-    ranked = running_totals(counts, [F.col(column)], _upto="ties")
-    return ranked.select(
-        column, "ties", (F.col("_upto") - (F.col("ties") - 1) / 2).alias("avg_rank")
+def tie_ranks(df: DataFrame, column: str, **sums: Column) -> DataFrame:
+    """Distinct values with their row count and average rank, and any further aggregates per value.
+
+    Equal values share one row, so the ranks cost one running count over the distinct values.
+    """
+    counts = df.groupBy(column).agg(
+        F.count(F.lit(1)).alias("ties"), *(total.alias(name) for name, total in sums.items())
     )
+    ranked = running_totals(counts, [F.col(column)], _upto="ties")
+    return ranked.withColumn("avg_rank", F.col("_upto") - (F.col("ties") - 1) / 2).drop("_upto")
