@@ -24,15 +24,22 @@ IMPLICIT = {"rank": 16, "maxIter": 10, "regParam": 0.1, "alpha": 80.0, "seed": 4
 EXPLICIT = {"rank": 5, "maxIter": 10, "regParam": 0.1, "seed": 1234}
 
 
-def fit_als(ratings: DataFrame, implicit: bool, **settings) -> ALSModel:
-    """Block ALS. Pairs that occur several times are added up for implicit and averaged for explicit
-    feedback, so one (user, item) cell is one observation. There are as many factor blocks as the
-    cluster has cores. The lineage of long runs is cut in the shared folder."""
+def fit_als(ratings: DataFrame, implicit: bool, merge_repeats: bool = False, **settings) -> ALSModel:
+    """Block ALS. Repeated (user, item) rows are separate observations, as in plain ALS; with
+    ``merge_repeats`` they become one (summed for implicit, averaged for explicit feedback), which
+    also takes their load off the shuffle.
+
+    There are as many factor blocks as the cluster has cores. The lineage of long runs is cut in the
+    shared folder.
+    """
     shared_folder(ratings.sparkSession)
     blocks = max(10, ratings.sparkSession.sparkContext.defaultParallelism)
     options = {**(IMPLICIT if implicit else EXPLICIT), "numUserBlocks": blocks, "numItemBlocks": blocks, **settings}
-    weight = F.sum(RATING) if implicit else F.avg(RATING)
-    cells = ratings.groupBy(USER, ITEM).agg(weight.cast("float").alias(RATING))
+    if merge_repeats:
+        weight = F.sum(RATING) if implicit else F.avg(RATING)
+        cells = ratings.groupBy(USER, ITEM).agg(weight.cast("float").alias(RATING))
+    else:
+        cells = ratings.select(USER, ITEM, F.col(RATING).cast("float"))
     cells = cells.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return ALS(

@@ -215,15 +215,14 @@ def knn_recs(
 
     Sorted before it is cut. Users whose chosen similarities sum to 0 get no rows.
     """
+    rounded = F.round("similarity", places).alias("similarity")
     if targets is None:
-        directed = mirror(
-            pearson_users(ratings).select(F.col("user_a").alias("a"), F.col("user_b").alias("b"), "similarity")
-        ).select(F.col("a").alias("target"), F.col("b").alias(USER), "similarity")
+        pairs = pearson_users(ratings).select(F.col("user_a").alias("a"), F.col("user_b").alias("b"), rounded)
+        directed = mirror(pairs).withColumnsRenamed({"a": "target", "b": USER})
         own = ratings.select(F.col(USER).alias("target"), ITEM)
     else:
-        directed = pearson_users(ratings, targets).select("target", USER, "similarity")
+        directed = pearson_users(ratings, targets).select("target", USER, rounded)
         own = _own(ratings, targets).select("target", ITEM)
-    directed = directed.withColumn("similarity", F.round("similarity", places))
     nearest = top_per_group(directed, ["target"], [F.desc("similarity"), F.asc(USER)], k)
     totals = nearest.groupBy("target").agg(F.sum("similarity").alias("whole")).filter(F.col("whole") != 0)
     weighted = nearest.join(totals, "target").select(

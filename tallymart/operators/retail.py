@@ -132,7 +132,8 @@ def pair_intervals(rows: DataFrame, floor_span_first: bool = True) -> DataFrame:
 
 def repurchase_interval(rows: DataFrame, floor_span_first: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The pair's repurchase interval beside each of its purchase rows."""
-    table = pair_intervals(rows, floor_span_first).select(*PAIR, "counter", "repurchase_days")
+    pairs = write_through(pair_summary(rows), "pairs")
+    table = _intervals(pairs, floor_span_first).select(*PAIR, "counter", "repurchase_days")
     return salted_join(rows, table, PAIR, hot_rows=hot_rows, count="counter")
 
 
@@ -144,9 +145,13 @@ def average_repurchase_time(rows: DataFrame, floor_span_first: bool = True, weig
     return _averages(pair_intervals(rows, floor_span_first), weighting)
 
 
-def _due(rows: DataFrame, timing: DataFrame, as_of: str, hot_rows: int, extra: list[str]) -> DataFrame:
+def _due(
+    rows: DataFrame, timing: DataFrame, pairs: DataFrame, as_of: str, hot_rows: int, extra: list[str]
+) -> DataFrame:
     table = timing.select(*PAIR, "counter", "repurchase_days", "average_repurchase_time", *extra)
-    judged = salted_join(rows.select(*PAIR, "ts"), table, PAIR, hot_rows=hot_rows, count="counter")
+    judged = salted_join(
+        rows.select(*PAIR, "ts"), table, PAIR, hot_rows=hot_rows, count="counter", counts=pairs
+    )
     return judged.select(
         *PAIR,
         F.to_date("ts").alias("purchase_date"),
@@ -170,10 +175,11 @@ def repurchase_due(
     A missing timestamp falls back on the product's average. One pair can carry both labels;
     ``latest_only`` judges the pair by its last purchase.
     """
-    timing = _timing(write_through(pair_summary(rows), "pairs"), floor_span_first, hot_rows)
+    pairs = write_through(pair_summary(rows), "pairs")
+    timing = _timing(pairs, floor_span_first, hot_rows)
     if latest_only:
-        rows = timing.select(*PAIR, F.col("last_ts").alias("ts"))
-    return _due(rows, timing, as_of, hot_rows, [])
+        rows = pairs.select(*PAIR, F.col("last_ts").alias("ts"))
+    return _due(rows, timing, pairs, as_of, hot_rows, [])
 
 
 def _affinities(pairs: DataFrame, hot_rows: int) -> DataFrame:
@@ -255,4 +261,4 @@ def favourites(
     pairs = write_through(pair_summary(rows), "pairs")
     classes = affinity_class(_affinities(pairs, hot_rows)).select(*PAIR, "recommendation_class")
     timing = _timing(pairs, floor_span_first, hot_rows).join(classes, PAIR)
-    return _due(rows, timing, as_of, hot_rows, ["recommendation_class"])
+    return _due(rows, timing, pairs, as_of, hot_rows, ["recommendation_class"])

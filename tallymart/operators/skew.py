@@ -34,14 +34,16 @@ def salted_join(
     how: str = "inner",
     hot_rows: int = HOT_ROWS,
     count: str | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``rows`` to ``table`` (one row per key), spreading every hot key over several tasks.
 
     ``how`` is ``inner`` or ``left``. ``count`` names a column of ``table`` that already holds the
-    number of ``rows`` per key; without it the keys are counted first.
+    number of ``rows`` per key; without it the keys are counted first. Where ``table`` is costly,
+    ``counts`` may name a cheaper source of the same numbers.
     """
     if count:
-        counts, known = table.select(*keys, count), table
+        counts, known = (table if counts is None else counts).select(*keys, count), table
     else:
         count = "_n"
         counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(count))

@@ -10,11 +10,13 @@ from tallymart.operators import neighbours as cf
 from tallymart.operators.ordering import top_per_group
 from tallymart.operators.relational import modulus_split
 from tallymart.plans.registry import RATINGS, query
+from tallymart.session import write_through
 from tallymart.sources import tables
 
 
 def _ratings(spark: SparkSession, folder: str) -> DataFrame:
-    return tables.ratings(spark, folder)
+    """The view is an aggregate over a join and is read several times below: written once."""
+    return write_through(tables.ratings(spark, folder), "ratings")
 
 
 TARGET = """tg AS (SELECT user_id AS target FROM ratings GROUP BY 1 ORDER BY count(*) DESC, user_id LIMIT 1)"""

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from tallymart.operators import text
 from tallymart.operators.relational import category_share
 from tallymart.plans.registry import query
-from tallymart.sources import tables
+from tallymart.session import scratch_path
+from tallymart.sources import sinks, tables
 
 TOKENS = r"""tk AS (SELECT doc_id, unnest(regexp_extract_all(text, '[\p{L}\p{N}_]+')) AS w FROM documents),
   lw AS (SELECT doc_id, lower(w) AS token FROM tk)"""
@@ -96,3 +97,16 @@ def polarity_share(spark, folder):
     docs = tables.documents(spark, folder)
     labelled = text.polarity(docs, text.lexicon_table(docs, PROSE_LEXICON))
     return category_share(labelled, "label").withColumn("percent", F.round("percent", 9))
+
+
+@query(
+    "polarity_text_sink",
+    rf"""WITH {POLARITY} SELECT label, regexp_replace(text, '[\r\n]+', ' ', 'g') AS value
+    FROM po JOIN documents USING (doc_id) WHERE label <> 'neutral'""",
+)
+def polarity_text_sink(spark, folder):
+    """Positive and negative documents in one text file set each, read back."""
+    docs = tables.documents(spark, folder)
+    path = scratch_path(spark, "polarity")
+    sinks.write_labelled_text(text.polarity_label(docs, text.lexicon_table(docs, PROSE_LEXICON)), path)
+    return spark.read.text(path).select("label", "value")

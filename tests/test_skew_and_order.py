@@ -123,3 +123,25 @@ def test_dense_codes_leave_nulls_out(spark):
 def test_histogram_closes_the_last_bin_and_keeps_empty_ones(spark):
     frame = spark.createDataFrame([(0.0,), (0.1,), (8.0,)], "v double")
     assert [r.n for r in relational.histogram(frame, "v", 8).orderBy("bin").collect()] == [2, 0, 0, 0, 0, 0, 0, 1]
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_top_per_group_is_limited_before_the_shuffle(df):
+    for ranked in (
+        ordering.top_per_group(df, ["k"], [F.desc("v"), F.asc("i")], 3),
+        relational.user_first_n(df, "k", [F.col("i")], 2, 4),
+    ):
+        text = plan(ranked)
+        assert "WindowGroupLimit" in text and "Partial" in text
+    got = {(r.k, r.i) for r in ordering.top_per_group(df, ["k"], [F.desc("v"), F.asc("i")], 3).collect()}
+    assert len(got) == sum(min(3, n) for n in Counter(r.k for r in df.collect()).values())
+
+
+def test_first_rows_of_each_user_and_the_cap(spark):
+    rows = spark.createDataFrame([(u, 10 * p + u) for p in range(6) for u in range(3)], "u int, at int")
+    test = relational.user_first_n(rows, "u", [F.col("at")], 2, 3, cap=4).orderBy("at")
+    assert [(r.u, r.user_row) for r in test.collect()] == [(0, 2), (1, 2), (2, 2), (0, 3)]
+    assert relational.complement(rows, test, ["at"]).count() == 14
