@@ -7,7 +7,7 @@ from tests.oracle import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
-# at the smallest scale no item pair lies in the band, and no event customer fills band A
+# at the smallest scale the band may hold no item pair
 MAY_BE_EMPTY = {"similar_items_band"}
 # the solver of the rank-100 model runs once
 SLOW = {"svd_latent_similarity", "svd_predict_recommend"}
