@@ -3,10 +3,17 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.llm import compression_rules, exact_dedup, vector_packing
+from tallymart.llm import (
+    char_language,
+    compression_rules,
+    count_vector_join,
+    exact_dedup,
+    secret_ownership,
+    vector_packing,
+)
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -42,9 +49,46 @@ def compression_bands(spark: SparkSession, folder: str) -> DataFrame:
     return docs.select("doc_id", compression_rules.quality("text").alias("q")).select("doc_id", "q.*")
 
 
+def count_vector_classes(spark: SparkSession, folder: str) -> DataFrame:
+    found = count_vector_join.near_duplicates(_documents(spark, folder), size=3, percent=90)
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+def secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_ownership.scan(_documents(spark, folder))
+    spans = F.coalesce("spans", F.array().cast(found.schema["spans"].dataType))
+    base = F.filter(spans, lambda s: s["strict"])
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *(count(kind.name) for kind in secret_ownership.STRICT),
+        F.sha2(secret_ownership.joined(base), 256).alias("base_sha256"),
+        secret_ownership.joined(spans).alias("spans"),
+        F.size(F.filter(spans, lambda s: s["live"])).cast("long").alias("n_live"),
+    )
+
+
+def _remainder(divisor: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
+
+
+def char_ngram_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _documents(spark, folder)
+    held_out = F.coalesce(_remainder(5) == 0, F.lit(True))
+    model = char_language.fit(docs.filter(~held_out), "doc_id", "text", "lang")
+    found = docs.select("doc_id", held_out.alias("held_out"), char_language.language("text", model).alias("found"))
+    return found.select("doc_id", "held_out", "found.*")
+
+
 QUERIES = {
+    "op3_count_vector_join": count_vector_classes,
     "op4_vector_packing": vector_pack,
+    "op5_secret_ownership": secret_scan,
     "op7_heavy_hitter_dedup": heavy_hitter_dedup,
     "op8_compression_bands": compression_bands,
+    "op10_char_language": char_ngram_language,
 }
 ORACLES = {"op7_heavy_hitter_dedup": HEAVY_HITTER_DEDUP}

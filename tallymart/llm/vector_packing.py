@@ -42,32 +42,40 @@ class Capacity:
     rule: str = "norm"
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path)
+class Encoder:
+    """Ids of a text as little-endian bytes. A part after a space is looked up in a cache that keeps its
+    short parts, which are the frequent ones, when it holds ``most`` parts."""
 
+    def __init__(self, path: str, most: int = 500_000):
+        from tokenizers import Tokenizer
 
-class Encoder:
-    """Ids of a text as little-endian bytes; parts seen before come from a cache of ``most`` parts."""
+        self.tokenizer, self.most, self.known = Tokenizer.from_file(path), most, {}
 
-    def __init__(self, path: str, most: int = 300_000):
-        self.tokenizer, self.most, self.known = _tokenizer(path), most, {}
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(one.ids, "<u4").tobytes() for one in found]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = []
-        for text in texts:
-            first, *rest = CUT.split(text)
-            cut.append([first, *[" " + part for part in rest]])
-        if len(self.known) > self.most:
-            self.known.clear()
-        new = list({part for parts in cut for part in parts} - self.known.keys())
+        known = self.known
+        if len(known) > self.most:
+            self.known = known = {part: ids for part, ids in known.items() if len(part) <= 6}
+        cut = [text.split(" ") for text in texts]
+        new = list({part for parts in cut for part in set(parts[1:]).difference(known)})
+        odd = {part for part in new if not part or part[0].isspace()}
+        if odd:  # a space before white space is no place to cut
+            cut = [CUT.split(text) if odd.intersection(parts[1:]) else parts for text, parts in zip(texts, cut)]
+            new = list({part for parts in cut for part in parts[1:] if part not in known})
         for at in range(0, len(new), 20_000):
             block = new[at : at + 20_000]
-            for part, found in zip(block, self.tokenizer.encode_batch(block, add_special_tokens=False)):
-                self.known[part] = np.array(found.ids, "<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, parts)) for parts in cut]
+            known.update(zip(block, self._ids([" " + part for part in block])))
+        firsts = self._ids([parts[0] for parts in cut])
+        return [first + b"".join(map(known.__getitem__, parts[1:])) for first, parts in zip(firsts, cut)]
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """One for each worker process, so that later tasks find its cache filled."""
+    return Encoder(path)
 
 
 def pieces(
@@ -85,12 +93,12 @@ def pieces(
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        coded = encoder(tokenizer)
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
                 rows: list[tuple] = []
-                for row, data in enumerate(encoder.encode(batch.column(1).to_pylist())):
+                for row, data in enumerate(coded.encode(batch.column(1).to_pylist())):
                     data += end
                     total = len(data) // 4
                     edges = [0, *range(total % tokens or tokens, total + 1, tokens)]
