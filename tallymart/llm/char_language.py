@@ -147,6 +147,11 @@ def fit(docs: DataFrame, id_col: str, text_col: str, label_col: str, settings: S
     ).filter("text IS NOT NULL AND label IS NOT NULL")
     seen, total = _frequencies(known.select("text"), settings)
     idf = np.log((1 + total) / (1 + seen)) + 1
+    # a label's texts are thinned out by their draw first, so that few more than needed are sorted
+    sizes = known.groupBy("label").count()
+    share = F.least(F.lit(1.0), F.lit(4.0 * settings.per_label) / F.col("count"))
+    drawn = F.pmod(F.col("draw"), F.lit(1_000_000)) < share * 1_000_000
+    known = known.join(sizes, "label").filter(drawn)
     window = Window.partitionBy("label").orderBy("draw", F.xxhash64("text"))
     sample = known.withColumn("n", F.row_number().over(window)).filter(F.col("n") <= settings.per_label)
 

@@ -13,8 +13,8 @@ Per bucket with several different sets:
 
 1. every set is compared with the smallest member of the buckets it shares most often, and the links
    found are contracted to components;
-2. buckets that still hold several components get an R-tree of their points; pairs of different
-   components that pass the bound are verified.
+2. buckets that still hold several components get an R-tree of their points; sets of different
+   components that pass the bound are verified and, where they link, merged at once.
 
 A pair inside one component needs no check, as it cannot change the classes. Hence a group of near copies
 costs about one comparison a member, and nothing is capped: what the first step leaves is searched by the second in full.
@@ -103,42 +103,46 @@ def count_vector(grams: np.ndarray, dims: int) -> bytes:
     return np.bincount(groups.astype(np.int64), minlength=dims).astype("<u4").tobytes()
 
 
-def boxed_pairs(
-    left: np.ndarray, left_class: np.ndarray, right: np.ndarray, right_class: np.ndarray, sizes: Sizes
-) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of different classes whose count vectors allow the threshold, by a packed R-tree over ``right``.
+def linked_pairs(
+    left: np.ndarray, right: np.ndarray, classes: np.ndarray, sets: list[np.ndarray], dims: int, sizes: Sizes
+) -> list[tuple[int, int]]:
+    """Links between different classes of the sets numbered ``left`` and ``right``, enough of them to join all classes
+    that any link joins; found by a packed R-tree of the count vectors of ``right``.
 
-    Points are sorted by size and packed into leaves with the largest count per coordinate and the least size as box.
+    Points are sorted by size and packed into leaves; the box of a leaf is its largest count per coordinate and its
+    range of sizes. A set visits the leaves, then the points, whose bound allows the threshold, and is
+    compared with those that are in another class at that time. ``classes`` is merged along the way.
     """
-    right_size, left_size = right.sum(1), left.sum(1)
-    order = np.lexsort((*right.T[:2], right_size))
+    points = np.array([np.frombuffer(count_vector(grams, dims), "<u4") for grams in sets], np.int64)
+    size = np.array([len(grams) for grams in sets])
+    order = right[np.argsort(size[right], kind="stable")]
     starts = np.arange(0, len(order), LEAF)
-    top = np.maximum.reduceat(right[order], starts, axis=0)
-    least = right_size[order][starts]
-    most = np.maximum.reduceat(right_size[order], starts)
-    a, b = [], []
-    for at in range(len(left)):
-        n = int(left_size[at])
-        needed = sizes.overlap(n, np.maximum(least, 1))
-        open_ = (least * sizes.t.numerator <= n * sizes.t.denominator) & (
-            most * sizes.t.denominator >= n * sizes.t.numerator
-        )
-        open_ &= np.minimum(top, left[at]).sum(1) >= needed
-        for leaf in np.flatnonzero(open_):
-            points = order[starts[leaf] : starts[leaf] + LEAF]
-            points = points[right_class[points] != left_class[at]]
-            bound = np.minimum(right[points], left[at]).sum(1)
-            hit = points[bound >= sizes.overlap(n, right_size[points])]
-            a.append(np.full(len(hit), at))
-            b.append(hit)
-    empty = np.empty(0, np.int64)
-    return (np.concatenate(a), np.concatenate(b)) if a else (empty, empty)
-
-
-def _describe(docs: DataFrame, size: int, dims: int) -> DataFrame:
-    """Row key, id, set size, hash of the set, count vector."""
+    top = np.maximum.reduceat(points[order], starts, axis=0)
+    least, most = size[order][starts], np.maximum.reduceat(size[order], starts)
+    low, high = sizes.t.numerator, sizes.t.denominator
+    links = []
+    for at in left:
+        n = int(size[at])
+        visit = (least * low <= n * high) & (most * high >= n * low)
+        visit &= np.minimum(top, points[at]).sum(1) >= sizes.overlap(n, least)
+        for leaf in np.flatnonzero(visit):
+            near = order[starts[leaf] : starts[leaf] + LEAF]
+            near = near[classes[near] != classes[at]]
+            near = near[np.minimum(points[near], points[at]).sum(1) >= sizes.overlap(n, size[near])]
+            for other in near:
+                if classes[other] == classes[at]:
+                    continue
+                shared = len(np.intersect1d(sets[at], sets[other], assume_unique=True))
+                if shared >= sizes.overlap(n, int(size[other])):
+                    links.append((int(at), int(other)))
+                    classes[classes == classes[other]] = classes[at]
+    return links
+
+
+def _describe(docs: DataFrame, size: int) -> DataFrame:
+    """Row key, id, set size, hash of the set."""
     id_kind = docs.schema["id"].dataType.simpleString()
-    schema = f"{ROW_KEY[0]} long, {ROW_KEY[1]} long, id {id_kind}, n_shingles long, node long, vector binary"
+    schema = f"{ROW_KEY[0]} long, {ROW_KEY[1]} long, id {id_kind}, n_shingles long, node long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -149,9 +153,8 @@ def _describe(docs: DataFrame, size: int, dims: int) -> DataFrame:
                     *batch.columns[:3],
                     pa.array([len(grams) for grams in sets], pa.int64()),
                     pa.array([set_hash(grams) for grams in sets], pa.int64()),
-                    pa.array([count_vector(grams, dims) for grams in sets], pa.binary()),
                 ],
-                names=[*ROW_KEY, "id", "n_shingles", "node", "vector"],
+                names=[*ROW_KEY, "id", "n_shingles", "node"],
             )
 
     return docs.select(*ROW_KEY, "id", "data").mapInArrow(run, schema)
@@ -224,8 +227,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, size: int, percent: int) -> Dat
     return joined.select("high", "low", linked("high_data", "low_data").alias("ok")).filter("ok").select("high", "low")
 
 
-def _crossing(shared: DataFrame, classes: DataFrame, vectors: DataFrame, dims: int, percent: int) -> DataFrame:
-    """Pairs of different components in one bucket that pass the bound. Of buckets with the same members one is searched."""
+def _crossing(shared: DataFrame, classes: DataFrame, sets: DataFrame, size: int, dims: int, percent: int) -> tuple:
+    """What the first step left: pairs (``high``, ``low``) that are alone in their buckets, still to be verified, and
+    verified links between components of larger buckets. Of buckets with the same members one is searched."""
     placed = shared.join(classes, "node", "left").withColumn("class", F.coalesce("component", "node")).drop("component")
     held = (F.count(F.lit(1)), F.sum(F.xxhash64("node").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("node", F.lit(1))))
     open_ = (
@@ -240,7 +244,7 @@ def _crossing(shared: DataFrame, classes: DataFrame, vectors: DataFrame, dims: i
         .agg(F.min("key").alias("key"))
         .select("key", "members", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
     )
-    members = write_through(placed.join(open_, "key").join(vectors, "node"), "members")
+    members = write_through(placed.join(open_, "key"), "members")
     twos = members.filter("members = 2").groupBy("key").agg(F.max("node").alias("high"), F.min("node").alias("low"))
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     dealt = members.filter("members > 2").withColumn("own", block)
@@ -248,19 +252,18 @@ def _crossing(shared: DataFrame, classes: DataFrame, vectors: DataFrame, dims: i
     dealt = dealt.withColumn("x", F.least("own", "other")).withColumn("y", F.greatest("own", "other"))
 
     def search(table: pa.Table) -> pa.Table:
-        sizes = Sizes(percent)
-        node, cls = table.column("node").to_numpy(), table.column("class").to_numpy()
-        points = np.frombuffer(b"".join(table.column("vector").to_pylist()), "<u4").reshape(-1, dims).astype(np.int64)
+        hashes = WordHashes()
+        node, own = table.column("node").to_numpy(), table.column("own").to_numpy()
+        found = [shingles(value.as_py(), size, hashes) for value in table.column("data")]
         x, y = table.column("x")[0].as_py(), table.column("y")[0].as_py()
-        own = table.column("own").to_numpy() == x
-        left, right = (np.arange(len(node)),) * 2 if x == y else (np.flatnonzero(own), np.flatnonzero(~own))
-        a, b = boxed_pairs(points[left], cls[left], points[right], cls[right], sizes)
-        a, b = node[left][a], node[right][b]
-        pairs = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)]), axis=1)
-        return pa.table({"high": pairs[0].astype(np.int64), "low": pairs[1].astype(np.int64)})
+        every = np.arange(len(node))
+        left, right = (every, every) if x == y else (np.flatnonzero(own == x), np.flatnonzero(own != x))
+        links = linked_pairs(left, right, table.column("class").to_numpy().copy(), found, dims, Sizes(percent))
+        a, b = node[[i for i, _ in links]], node[[j for _, j in links]]
+        return pa.table({"high": np.maximum(a, b).astype(np.int64), "low": np.minimum(a, b).astype(np.int64)})
 
-    found = dealt.select("key", "x", "y", "own", "node", "class", "vector").groupBy("key", "x", "y")
-    return twos.select("high", "low").unionByName(found.applyInArrow(search, "high long, low long")).distinct()
+    found = dealt.select("key", "x", "y", "own", "node", "class").join(sets, "node").groupBy("key", "x", "y")
+    return twos.select("high", "low").distinct(), found.applyInArrow(search, "high long, low long").distinct()
 
 
 def near_duplicates(
@@ -269,19 +272,18 @@ def near_duplicates(
     text_col: str = "text",
     size: int = 5,
     percent: int = 80,
-    dims: int = 64,
+    dims: int = 128,
 ) -> DataFrame:
     """One row per document: row key, ``id``, ``n_shingles`` and ``component_id``, the smallest id it
     reaches over links of at least ``percent`` percent Jaccard similarity."""
     keyed = with_row_key(docs.select(id_col, text_col))
     docs = keyed.select(*ROW_KEY, F.col(id_col).alias("id"), as_bytes(text_col).alias("data"))
-    rows = write_through(_describe(docs, size, dims), "sets")
+    rows = write_through(_describe(docs, size), "sets")
     shared = write_through(_shared_buckets(_keys(docs, size, percent)), "buckets")
     filled = rows.filter("n_shingles > 0")
     one = F.min(F.struct(*ROW_KEY)).alias("row")
     involved = shared.select("node").distinct()
-    chosen = filled.join(involved, "node", "left_semi").groupBy("node").agg(one, F.first("vector").alias("vector"))
-    vectors = chosen.select("node", "vector")
+    chosen = filled.join(involved, "node", "left_semi").groupBy("node").agg(one)
     sets = docs.join(chosen.select("node", "row.*"), ROW_KEY).select("node", "data")
     sets = write_through(sets, "texts")
 
@@ -290,8 +292,8 @@ def near_duplicates(
     star = star.groupBy("node").agg(F.max_by("low", F.struct("count", "low")).alias("low"))
     star = write_through(star.withColumnRenamed("node", "high"), "star")
     classes = components(_verified(star, sets, size, percent))
-    crossing = _crossing(shared, classes, vectors, dims, percent).join(star, ["high", "low"], "left_anti")
-    rest = _verified(crossing, sets, size, percent)
+    pairs, links = _crossing(shared, classes, sets, size, dims, percent)
+    rest = _verified(pairs.join(star, ["high", "low"], "left_anti"), sets, size, percent).unionByName(links)
     found = classes.select(F.col("node").alias("high"), F.col("component").alias("low"))
     classes = components(found.unionByName(rest))
 

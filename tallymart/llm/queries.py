@@ -11,10 +11,13 @@ from tallymart.llm import (
     compression_rules,
     count_vector_join,
     exact_dedup,
+    lattice_scoring,
     secret_ownership,
+    unigram_codec,
     vector_packing,
 )
 
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -83,7 +86,27 @@ def char_ngram_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "found.*")
 
 
+def lattice_likelihood(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = F.coalesce(_remainder(7) == 2, F.lit(True))
+    docs = _documents(spark, folder)
+    found = lattice_scoring.lattice_scores(docs, ~held_out, PIECES).withColumnRenamed("id", "doc_id")
+    return found.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "subword_score"
+    )
+
+
+def unigram_encoding(spark: SparkSession, folder: str) -> DataFrame:
+    """The ids of every text, how many of them are single bytes, and whether they decode to the text."""
+    docs = _documents(spark, folder)
+    coded = docs.select("doc_id", "text", unigram_codec.encode("text", PIECES).alias("ids"))
+    same = unigram_codec.decode("ids", PIECES) == F.replace(F.coalesce("text", F.lit("")), F.lit("▁"), F.lit(" "))
+    n_bytes = unigram_codec.byte_pieces("ids", PIECES).alias("n_bytes")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_ids"), n_bytes, same.alias("round_trip"), "ids")
+
+
 QUERIES = {
+    "op1_lattice_likelihood": lattice_likelihood,
+    "op2_unigram_codec": unigram_encoding,
     "op3_count_vector_join": count_vector_classes,
     "op4_vector_packing": vector_pack,
     "op5_secret_ownership": secret_scan,

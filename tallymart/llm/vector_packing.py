@@ -13,6 +13,7 @@ are packed each for itself; a piece too costly for an empty bin in some coordina
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -46,7 +47,9 @@ class Encoder:
     """Ids of a text as little-endian bytes. A part after a space is looked up in a cache that keeps its
     short parts, which are the frequent ones, when it holds ``most`` parts."""
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 800_000):
+        # Spark runs a worker on every core already; a second pool of threads costs more than it gives
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most, self.known = Tokenizer.from_file(path), most, {}
