@@ -11,7 +11,9 @@ from tallymart.llm import (
     compression_rules,
     count_vector_join,
     exact_dedup,
+    fm_substring,
     lattice_scoring,
+    path_templates,
     secret_ownership,
     unigram_codec,
     vector_packing,
@@ -104,14 +106,26 @@ def unigram_encoding(spark: SparkSession, folder: str) -> DataFrame:
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_ids"), n_bytes, same.alias("round_trip"), "ids")
 
 
+def path_verdicts(spark: SparkSession, folder: str) -> DataFrame:
+    found = path_templates.judge(spark.read.parquet(f"{folder}/pages.parquet"))
+    return found.withColumnRenamed("id", "page_id")
+
+
+def fm_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    found = fm_substring.repeated_words(_documents(spark, folder))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
 QUERIES = {
     "op1_lattice_likelihood": lattice_likelihood,
     "op2_unigram_codec": unigram_encoding,
     "op3_count_vector_join": count_vector_classes,
     "op4_vector_packing": vector_pack,
     "op5_secret_ownership": secret_scan,
+    "op6_path_templates": path_verdicts,
     "op7_heavy_hitter_dedup": heavy_hitter_dedup,
     "op8_compression_bands": compression_bands,
+    "op9_fm_substring": fm_substrings,
     "op10_char_language": char_ngram_language,
 }
 ORACLES = {"op7_heavy_hitter_dedup": HEAVY_HITTER_DEDUP}
