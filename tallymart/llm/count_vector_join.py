@@ -276,7 +276,7 @@ def near_duplicates(
 ) -> DataFrame:
     """One row per document: row key, ``id``, ``n_shingles`` and ``component_id``, the smallest id it
     reaches over links of at least ``percent`` percent Jaccard similarity."""
-    keyed = with_row_key(docs.select(id_col, text_col))
+    keyed = with_row_key(docs).select(*ROW_KEY, id_col, text_col)
     docs = keyed.select(*ROW_KEY, F.col(id_col).alias("id"), as_bytes(text_col).alias("data"))
     rows = write_through(_describe(docs, size), "sets")
     shared = write_through(_shared_buckets(_keys(docs, size, percent)), "buckets")
@@ -311,10 +311,11 @@ def drop_near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80
 ) -> DataFrame:
     """One document of each class stays, the one with the smallest id; documents without words stay as they are."""
-    found = near_duplicates(docs, id_col, text_col, size, percent).filter("n_shingles > 0")
+    keyed = with_row_key(docs)
+    found = near_duplicates(keyed, id_col, text_col, size, percent).filter("n_shingles > 0")
     best = F.struct(F.col("id").isNull(), "id", *ROW_KEY)
     first = found.filter("component_id IS NOT NULL").groupBy("component_id").agg(F.min(best).alias("best"))
     judged = found.join(first, "component_id")
     same = [F.col(f"best.{name}") == F.col(name) for name in ROW_KEY]
     gone = judged.filter(~(same[0] & same[1])).select(*ROW_KEY)
-    return with_row_key(docs).join(gone, ROW_KEY, "left_anti").drop(*ROW_KEY)
+    return keyed.join(gone, ROW_KEY, "left_anti").drop(*ROW_KEY)

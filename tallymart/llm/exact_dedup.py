@@ -36,7 +36,7 @@ def duplicate_groups(
 
     Of equal texts the one with the most code points stays, then the smallest id.
     """
-    keyed = with_row_key(docs.select(id_col, text_col))
+    keyed = with_row_key(docs).select(*ROW_KEY, id_col, text_col)
     text = F.col(text_col)
     rows = write_through(
         keyed.select(
@@ -79,5 +79,6 @@ def duplicate_groups(
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    gone = duplicate_groups(docs, id_col, text_col).filter("NOT kept").select(*ROW_KEY)
-    return with_row_key(docs).join(gone, ROW_KEY, "left_anti").drop(*ROW_KEY)
+    keyed = with_row_key(docs)
+    gone = duplicate_groups(keyed, id_col, text_col).filter("NOT kept").select(*ROW_KEY)
+    return keyed.join(gone, ROW_KEY, "left_anti").drop(*ROW_KEY)

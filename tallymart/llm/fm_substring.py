@@ -178,7 +178,7 @@ def repeated_words(
 ) -> DataFrame:
     """One row per document: row key, ``id``, ``n_words``, ``n_removed``, ``kept`` (the words left, joined by spaces, as
     UTF-8) and ``kept_sha256``. ``shard_rows``: about how many different segments one index holds."""
-    keyed = with_row_key(docs.select(id_col, text_col))
+    keyed = with_row_key(docs).select(*ROW_KEY, id_col, text_col)
     docs = keyed.select(*ROW_KEY, F.col(id_col).cast("long").alias("id"), as_bytes(text_col).alias("data"))
     seeds = write_through(_seeds(docs.filter("id IS NOT NULL"), size, seed), "seeds")
     shared = seeds.groupBy("seed").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.count(F.lit(1)).alias("n"))

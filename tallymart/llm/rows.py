@@ -17,8 +17,10 @@ def with_row_key(df: DataFrame) -> DataFrame:
     """Add a key that tells rows apart even where they are equal: file and position in it.
 
     Both survive a repeated task. A frame that does not come straight from Parquet files is written to
-    the shared folder first.
+    the shared folder first. A frame that has the key keeps it.
     """
+    if set(ROW_KEY) <= set(df.columns):
+        return df
     try:
         return _keyed(df)
     except AnalysisException:

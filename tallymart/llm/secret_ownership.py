@@ -100,7 +100,7 @@ def scan(
 
     A value is a copied example if at least ``copied_owners`` owners and ``copied_documents`` documents have it.
     """
-    keyed = with_row_key(docs.select(id_col, text_col, owner_col))
+    keyed = with_row_key(docs).select(*ROW_KEY, id_col, text_col, owner_col)
     text = F.coalesce(F.col(text_col), F.lit(""))
     parts = [spans_of(text, kind, rank) for rank, kind in enumerate(STRICT + LOOSE)]
     rows = keyed.select(
@@ -138,7 +138,8 @@ def redacted(
     mark: str = "[SECRET]",
 ) -> DataFrame:
     """``docs`` with every live-looking span replaced by ``mark``; copied examples and all other text stay."""
-    live = scan(docs, id_col, text_col, owner_col).select(
+    keyed = with_row_key(docs)
+    live = scan(keyed, id_col, text_col, owner_col).select(
         *ROW_KEY, F.filter("spans", lambda s: s["live"]).alias("_spans")
     )
     live = live.filter("size(_spans) > 0")
@@ -154,6 +155,6 @@ def redacted(
     cut = F.aggregate(
         "_spans", start, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text)))
     )
-    both = with_row_key(docs).join(live, ROW_KEY, "left")
+    both = keyed.join(live, ROW_KEY, "left")
     changed = both.withColumn(text_col, F.when(F.col("_spans").isNull(), text).otherwise(cut))
     return changed.select(*docs.columns)
