@@ -51,8 +51,8 @@ def roc_curve(df: DataFrame, label: str = "label", score: str = "score") -> Data
     totals = counts.agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n"))).scalar()
     points = running.withColumn("_t", totals).select(
         F.col("score").alias("threshold"),
-        (F.col("fp") / F.col("_t.n")).alias("fpr"),
-        (F.col("tp") / F.col("_t.p")).alias("tpr"),
+        F.try_divide("fp", "_t.n").alias("fpr"),
+        F.try_divide("tp", "_t.p").alias("tpr"),
     )
     start = df.sparkSession.range(1).select(
         F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")

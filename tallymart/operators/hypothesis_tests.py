@@ -15,7 +15,7 @@ def _one_sample(df: DataFrame, value: Column, against: float) -> DataFrame:
     sums = df.select(value.cast("double").alias("v")).agg(
         F.count("v").alias("n"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("sd")
     )
-    t = (F.col("mean") - against) / (F.col("sd") / F.sqrt("n"))
+    t = F.try_divide(F.col("mean") - against, F.try_divide(F.col("sd"), F.sqrt("n")))
     return sums.select("n", "mean", t.alias("t"), (F.col("n") - 1).alias("df"))
 
 

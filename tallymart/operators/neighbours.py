@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallymart.functions import scalar
 from tallymart.functions.scalar import pearson
 from tallymart.operators.ordering import top_per_group
 from tallymart.operators.pairs import BLOCK_ROWS, member_pairs, mirror, pair_sums, target_pairs, target_sums
@@ -88,7 +89,7 @@ def pearson_users(ratings: DataFrame, targets: DataFrame | None = None) -> DataF
 def _unit(ratings: DataFrame, key: str) -> DataFrame:
     """Ratings scaled so that each key's vector has length 1."""
     squares = {"_len": F.sqrt(F.sum(F.col(RATING) * F.col(RATING)))}
-    return attach_totals(ratings, [key], **squares).withColumn("unit", F.col(RATING) / F.col("_len")).drop("_len")
+    return attach_totals(ratings, [key], **squares).withColumn("unit", scalar.divide(F.col(RATING), F.col("_len"), 0.0)).drop("_len")
 
 
 def cosine_users(ratings: DataFrame) -> DataFrame:

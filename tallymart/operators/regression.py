@@ -32,11 +32,11 @@ def simple_fit(df: DataFrame, y: str, x: str, group: list[str] | None = None) ->
         F.regr_syy(F.col(y), F.col(x)).alias("syy"),
         F.regr_sxy(F.col(y), F.col(x)).alias("sxy"),
     )
-    slope = F.col("sxy") / F.col("sxx")
+    slope = F.try_divide("sxy", "sxx")  # null for a constant x
     return (
         sums.withColumn("slope", slope)
         .withColumn("intercept", F.col("mean_y") - F.col("slope") * F.col("mean_x"))
-        .withColumn("r2", F.col("sxy") * F.col("sxy") / (F.col("sxx") * F.col("syy")))
+        .withColumn("r2", F.try_divide(F.col("sxy") * F.col("sxy"), F.col("sxx") * F.col("syy")))
     )
 
 

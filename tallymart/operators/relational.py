@@ -127,8 +127,8 @@ def moments(df: DataFrame, column: str) -> DataFrame:
     )
     return sums.select(
         "n",
-        (F.col("m3") / F.pow("m2", F.lit(1.5))).alias("skewness"),
-        (F.col("m4") / (F.col("m2") * F.col("m2"))).alias("kurtosis"),
+        F.try_divide("m3", F.pow("m2", F.lit(1.5))).alias("skewness"),
+        F.try_divide("m4", F.col("m2") * F.col("m2")).alias("kurtosis"),
     )
 
 

@@ -677,13 +677,13 @@ def avg_rank(spark, folder):
 
 
 FIRST_N = f"""{EV}, r AS (SELECT event_id, cust_id, row_number() OVER (PARTITION BY cust_id ORDER BY event_id) AS user_row FROM ev),
-  f AS (SELECT *, row_number() OVER (ORDER BY event_id) AS rn FROM r WHERE user_row BETWEEN 11 AND 20)"""
+  f AS (SELECT * FROM r WHERE user_row BETWEEN 11 AND 20)"""
 
 
-@query("user_first_n", f"WITH {FIRST_N} SELECT event_id, cust_id, user_row FROM f WHERE rn <= 100000")
+@query("user_first_n", f"WITH {FIRST_N} SELECT event_id, cust_id, user_row FROM f")
 def user_first_n(spark, folder):
     return rel.user_first_n(
-        tables.activity(spark, folder).select("event_id", "cust_id"), "cust_id", [F.col("event_id")], 11, 20, 100_000
+        tables.activity(spark, folder).select("event_id", "cust_id"), "cust_id", [F.col("event_id")], 11, 20
     )
 
 

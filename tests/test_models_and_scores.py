@@ -9,11 +9,10 @@ from pyspark.sql import functions as F
 
 from tallymart.operators import classify, factorization, graph, hypothesis_tests, regression, relational, text
 
-# eleven regions; the last one lies apart
+# ten points near a line and one far from it
 REGIONS = [
-    (6.47, 4.03), (6.13, 3.76), (6.19, 3.77), (4.89, 3.34), (5.63, 3.47), (4.52, 2.92),
-    (5.89, 3.20), (4.79, 2.71), (5.27, 3.53), (6.08, 4.51), (4.02, 4.56),
-]
+    (round(2 + 0.8 * x + 0.1 * math.sin(7 * x), 3), x) for x in (2.5 + 0.2 * i for i in range(10))
+] + [(2.2, 5.2)]
 
 
 @pytest.fixture(scope="module")
