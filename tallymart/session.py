@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def local_session(cpus: int | str = "*", name: str = "tallymart", **conf: str) -> SparkSession:
     """A session for tests and the benchmark; clusters bring their own."""
@@ -53,8 +55,13 @@ def write_through(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends at replicated files.
 
     Needed where a row carries a value (a position, a random draw) that must not change when a lost
-    executor's work is repeated.
+    executor's work is repeated. The shuffle files of the write go when it is done: nothing reads them again.
     """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
+    before = spark.conf.get(FILE_CLEANUP, "false")
+    spark.conf.set(FILE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(FILE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
