@@ -9,7 +9,8 @@ segment. Seeds that occur in one document only cannot lie in a shared window, he
 around shared seeds are indexed.
 
 1. Seeds of every document, with the smallest and largest id they occur in (combined before the shuffle).
-2. Segments around shared seeds; equal segments are one row with their smallest id.
+2. Segments around shared seeds, each under a hash of its words; the words themselves travel once for each different
+   segment of a task. Equal segments are one row with their smallest id.
 3. Every shard builds the Burrows-Wheeler transform of its segments as a wavelet matrix over word ranks and streams the
    segments against it: a backward search of ``size`` steps at every place (all places at a time) gives the matching
    statistics up to the threshold; the smallest id over the interval found is that of the window.
@@ -28,13 +29,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.llm.rows import ROW_KEY, WordHashes, as_bytes, ngram_hashes, with_row_key
 from tallymart.session import write_through
 
-HOT = 2000  # different segments of one seed above which they are cut into windows
+HOT = 2000  # documents with one seed above which its segments are cut into windows
+SEEN = 1_000_000  # segments that a task remembers to have written the words of
 
 
 def window_seeds(hashes: np.ndarray, size: int, seed: int) -> np.ndarray:
@@ -133,36 +136,46 @@ def _seeds(docs: DataFrame, size: int, seed: int) -> DataFrame:
 
 
 def _segments(docs: DataFrame, size: int, seed: int) -> DataFrame:
-    """Runs of windows with one shared seed; of a hot seed every window by itself, under a hash of all its words."""
-    schema = f"{ROW_KEY[0]} long, {ROW_KEY[1]} long, id long, start int, seed long, words binary"
+    """Runs of windows with one shared seed, with a hash of their words and, at their first place in a task, the words;
+    of a hot seed every window by itself, under a hash of all its words."""
+    schema = f"{ROW_KEY[0]} long, {ROW_KEY[1]} long, id long, start int, seed long, segment long, words binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes, seen = WordHashes(), set()
         for batch in batches:
             out: list[tuple] = []
             for row in range(batch.num_rows):
                 marks = {m["seed"]: m["hot"] for m in batch.column(4)[row].as_py()}
-                words = hashes.of(batch.column(3)[row].as_py().split())
-                own = window_seeds(words, size, seed).astype(np.int64)
+                words = batch.column(3)[row].as_py().split()
+                codes = hashes.of(words)
+                own = window_seeds(codes, size, seed).astype(np.int64)
                 edges = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1], [True]]))
                 for start, stop in zip(edges[:-1].tolist(), edges[1:].tolist()):
                     one = int(own[start])
                     if one not in marks:
                         continue
-                    if not marks[one]:
-                        out.append((row, start, one, words[start : stop + size - 1].tobytes()))
-                        continue
-                    whole = ngram_hashes(words[start : stop + size - 1], size).astype(np.int64).tolist()
-                    for place, name in enumerate(whole, start):
-                        out.append((row, place, name, words[place : place + size].tobytes()))
-            rows, starts, seeds, data = zip(*out) if out else ((), (), (), ())
+                    spans = [(start, stop, one)]
+                    if marks[one]:
+                        whole = ngram_hashes(codes[start : stop + size - 1], size).astype(np.int64).tolist()
+                        spans = [(place, place + 1, name) for place, name in enumerate(whole, start)]
+                    for first, last, name in spans:
+                        segment = xxhash.xxh3_64_intdigest(codes[first : last + size - 1].tobytes())
+                        new = (name, segment) not in seen
+                        if new:
+                            if len(seen) >= SEEN:
+                                seen.clear()
+                            seen.add((name, segment))
+                        data = b" ".join(words[first : last + size - 1]) if new else None
+                        out.append((row, first, name, segment, data))
+            rows, starts, seeds, segments, data = zip(*out) if out else ((),) * 5
             rows = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(i).take(rows) for i in range(3)),
-                    pa.array(starts, pa.int32()), pa.array(seeds, pa.int64()), pa.array(data, pa.binary()),
+                    pa.array(starts, pa.int32()), pa.array(seeds, pa.int64()),
+                    pa.array(np.array(segments, np.uint64).astype(np.int64)), pa.array(data, pa.binary()),
                 ],
-                names=[*ROW_KEY, "id", "start", "seed", "words"],
+                names=[*ROW_KEY, "id", "start", "seed", "segment", "words"],
             )
 
     return docs.mapInArrow(run, schema)
@@ -174,7 +187,7 @@ def repeated_words(
     text_col: str = "text",
     size: int = 13,
     seed: int = 7,
-    shard_rows: int = 50_000,
+    shard_rows: int = 20_000,
 ) -> DataFrame:
     """One row per document: row key, ``id``, ``n_words``, ``n_removed``, ``kept`` (the words left, joined by spaces, as
     UTF-8) and ``kept_sha256``. ``shard_rows``: about how many different segments one index holds."""
@@ -182,24 +195,32 @@ def repeated_words(
     docs = keyed.select(*ROW_KEY, F.col(id_col).cast("long").alias("id"), as_bytes(text_col).alias("data"))
     seeds = write_through(_seeds(docs.filter("id IS NOT NULL"), size, seed), "seeds")
     shared = seeds.groupBy("seed").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.count(F.lit(1)).alias("n"))
-    shared = shared.filter("a < b").select("seed", (F.col("n") > HOT).alias("hot"))
-    marks = seeds.join(shared, "seed").groupBy(*ROW_KEY).agg(F.collect_list(F.struct("seed", "hot")).alias("marks"))
+    shared = write_through(shared.filter("a < b").select("seed", (F.col("n") > HOT).alias("hot")), "shared")
+    marks = seeds.drop("id").join(shared, "seed").groupBy(*ROW_KEY)
+    marks = write_through(marks.agg(F.collect_list(F.struct("seed", "hot")).alias("marks")), "marks")
     marked = docs.join(marks, ROW_KEY).select(*ROW_KEY, "id", "data", "marks")
     held = write_through(_segments(marked, size, seed), "segments")
-    kinds = held.groupBy("seed", "words").agg(F.min("id").alias("owner"))
-    shards = max(1, -(-held.count() // shard_rows))
+    texts = held.filter("words IS NOT NULL").select("seed", "segment", "words")
+    shards = max(1, -(-texts.count() // shard_rows))
+    shard = F.pmod(F.xxhash64("seed"), F.lit(shards)).cast("long").alias("shard")
+    owners = held.groupBy("seed", "segment").agg(F.min("id").alias("owner")).select(shard, "*")
 
-    def index(table: pa.Table) -> pa.Table:
-        words = [np.frombuffer(value, np.uint64) for value in table.column("words").to_pylist()]
-        least = smallest_owners(words, table.column("owner").to_numpy(), size)
-        return table.select(["seed", "words"]).append_column("least", pa.array(least, pa.list_(pa.int64())))
-
-    dealt = kinds.withColumn("shard", F.pmod(F.xxhash64("seed"), F.lit(shards)).cast("long"))
-    found = dealt.groupBy("shard").applyInArrow(index, "seed long, words binary, least array<long>")
-    hits = held.join(found, ["seed", "words"]).select(
+    def index(owned: pa.Table, written: pa.Table) -> pa.Table:
+        hashes = WordHashes()
+        names = zip(written.column("seed").to_pylist(), written.column("segment").to_pylist())
+        words = dict(zip(names, written.column("words").to_pylist()))
+        own = zip(owned.column("seed").to_pylist(), owned.column("segment").to_pylist())
+        codes = [hashes.of(words[name].split()) for name in own]
+        least = smallest_owners(codes, owned.column("owner").to_numpy(), size)
+        return owned.select(["seed", "segment"]).append_column("least", pa.array(least, pa.list_(pa.int64())))
+
+    both = owners.groupBy("shard").cogroup(texts.select(shard, "*").groupBy("shard"))
+    found = write_through(both.applyInArrow(index, "seed long, segment long, least array<long>"), "found")
+    hits = held.drop("words").join(found, ["seed", "segment"]).select(
         *ROW_KEY, F.filter(F.transform("least", lambda x, i: F.when(x < F.col("id"), F.col("start") + i)), F.isnotnull).alias("hit")
     )
     hits = hits.filter("size(hit) > 0").groupBy(*ROW_KEY).agg(F.flatten(F.collect_list("hit")).alias("hits"))
+    hits = write_through(hits, "hits")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
