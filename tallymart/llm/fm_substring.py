@@ -46,7 +46,10 @@ def window_seeds(hashes: np.ndarray, size: int, seed: int) -> np.ndarray:
     count = len(hashes) - size + 1
     if count <= 0:
         return runs[:0]
-    return np.lib.stride_tricks.sliding_window_view(runs, size - seed + 1).min(axis=1)
+    least = runs[:count].copy()
+    for step in range(1, size - seed + 1):
+        np.minimum(least, runs[step : step + count], out=least)
+    return least
 
 
 class WaveletMatrix:
@@ -54,22 +57,27 @@ class WaveletMatrix:
 
     def __init__(self, values: np.ndarray, levels: int):
         self.levels, self.ones, self.zeros = levels, [], []
+        symbols = np.arange(1 << levels)
+        self.begin = np.zeros(1 << levels, np.int32)  # where the symbol's run starts below the last level
         for level in reversed(range(levels)):
             bit = (values >> level) & 1
-            self.ones.append(np.concatenate([[0], np.cumsum(bit, dtype=np.int32)]).astype(np.int32))
-            self.zeros.append(len(values) - int(self.ones[-1][-1]))
+            ones = np.concatenate([[0], np.cumsum(bit, dtype=np.int32)]).astype(np.int32)
+            zeros = np.int32(len(values) - int(ones[-1]))
+            before = ones[self.begin]
+            self.begin = np.where((symbols >> level) & 1, zeros + before, self.begin - before)
+            self.ones.append(ones)
+            self.zeros.append(zeros)
             values = np.concatenate([values[bit == 0], values[bit == 1]])
 
     def rank(self, symbols: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """How often each symbol occurs before ``low`` and before ``high``."""
-        begin = np.zeros(len(symbols), np.int64)
         for step, level in enumerate(reversed(range(self.levels))):
             ones, zeros = self.ones[step], self.zeros[step]
             bit = ((symbols >> level) & 1).astype(bool)
-            b, l, h = ones[begin], ones[low], ones[high]
-            begin = np.where(bit, zeros + b, begin - b)
+            l, h = ones[low], ones[high]
             low = np.where(bit, zeros + l, low - l)
             high = np.where(bit, zeros + h, high - h)
+        begin = self.begin[symbols]
         return low - begin, high - begin
 
 
@@ -77,7 +85,7 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes sorted by their first ``depth`` symbols or more, by doubling."""
     rank = text.astype(np.int64)
     done = 1
-    order = np.argsort(rank, kind="stable")
+    order = np.argsort(rank, kind="stable") if depth == 1 else rank
     while done < depth:
         after = np.zeros(len(rank), np.int64)
         after[: len(rank) - done] = rank[done:] + 1
@@ -105,16 +113,21 @@ def smallest_owners(segments: list[np.ndarray], owners: np.ndarray, size: int) -
     matrix = WaveletMatrix(text[order - 1], levels)
     before = np.searchsorted(np.sort(text), np.arange(len(words) + 2))
     places = np.concatenate([np.arange(a, a + n - size + 1) for a, n in zip(starts, lengths)])
-    low, high = np.zeros(len(places), np.int64), np.full(len(places), len(text))
-    for step in reversed(range(size)):
-        symbols = text[places + step]
+    before = before.astype(np.int32)
+    least, open_ = owner[places], np.arange(len(places))
+    last = text[places + size - 1]
+    low, high = before[last], before[last + 1]
+    for step in reversed(range(size - 1)):
+        more = high - low > 1  # what occurs once occurs at its own place only
+        open_, low, high = open_[more], low[more], high[more]
+        symbols = text[places[open_] + step]
         under, upto = matrix.rank(symbols, low, high)
         low, high = before[symbols] + under, before[symbols] + upto
-    # windows of one length have equal or disjoint intervals
-    first, which = np.unique(low, return_inverse=True)
-    edges = np.stack([first, np.maximum(high[np.unique(low, return_index=True)[1]], first + 1)], axis=1).ravel()
-    owned = np.append(owner[order], owner.max())
-    least = np.minimum.reduceat(owned, edges)[::2][which]
+    if len(open_):  # windows of one length have equal or disjoint intervals
+        first, one, which = np.unique(low, return_index=True, return_inverse=True)
+        edges = np.stack([first, high[one]], axis=1).ravel()
+        owned = np.append(owner[order], owner.max())
+        least[open_] = np.minimum.reduceat(owned, edges)[::2][which]
     return np.split(least, np.cumsum(lengths - size + 1)[:-1])
 
 
@@ -126,7 +139,8 @@ def _seeds(docs: DataFrame, size: int, seed: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            found = [np.unique(window_seeds(hashes.of(v.as_py().split()), size, seed)) for v in batch.column(3)]
+            found = [window_seeds(hashes.of(v.as_py().split()), size, seed) for v in batch.column(3)]
+            found = [np.unique(one[np.append(True, one[1:] != one[:-1])[: len(one)]]) for one in found]
             rows = pa.array(np.repeat(np.arange(len(found)), [len(one) for one in found]))
             seeds = pa.array(np.concatenate(found).astype(np.int64))
             arrays = [*(batch.column(i).take(rows) for i in range(3)), seeds]

@@ -186,3 +186,16 @@ def test_empty_table(docs):
     assert vector_packing.pack(vector_packing.pieces(none, TOKENIZER)).count() == 0
     assert lattice_scoring.lattice_scores(none, F.lit(True), PIECES).count() == 0
     assert secret_ownership.scan(none).count() == 0
+
+
+def test_smallest_owners_against_every_pair():
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 4, 60)
+    segments = [np.concatenate([base[a : a + n], rng.integers(0, 4, 5)]) for a, n in rng.integers(9, 30, (40, 2))]
+    owners = rng.permutation(40)
+    found = fm_substring.smallest_owners(segments, owners, 9)
+    held = [{tuple(s[i : i + 9]) for i in range(len(s) - 8)} for s in segments]
+    for segment, least in zip(segments, found):
+        for place, value in enumerate(least):
+            window = tuple(segment[place : place + 9])
+            assert value == min(owner for owner, own in zip(owners, held) if window in own)
