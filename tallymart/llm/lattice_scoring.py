@@ -9,7 +9,7 @@ product over its words. Beside the pieces, a word of the training texts is an ed
 
 with m, the mass of words never seen, as the share of the words seen once (Good-Turing).
 
-Counts come from all training texts. Frequent words (at most ``frequent``, each of at most 64 bytes) go to
+Counts come from all training texts; the lattice probability is worked out once for every different word. Frequent words (at most ``frequent``, each of at most 64 bytes) go to
 every task; all other words of a document are joined with the counts, so nothing that grows is broadcast.
 
 Defined results: null counts as empty; an empty text has the end as its only token; equal rows are scored each for itself;
@@ -76,7 +76,8 @@ def lattice(path: str) -> Lattice:
 
 
 def token_counts(texts: DataFrame, flush: int = 1_000_000) -> DataFrame:
-    """``word``, ``count`` over all rows of ``data``; combined in every task before the shuffle."""
+    """``word``, ``count`` over the rows of ``data`` with ``learned``; words of other rows only have the count 0.
+    Combined in every task before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(counts: Counter) -> pa.RecordBatch:
@@ -86,20 +87,35 @@ def token_counts(texts: DataFrame, flush: int = 1_000_000) -> DataFrame:
 
         counts: Counter = Counter()
         for batch in batches:
-            for value in batch.column(0):
-                counts.update(value.as_py().lower().split())
-            counts[END] += batch.num_rows
+            for value, learned in zip(batch.column(0), batch.column(1).to_pylist()):
+                tokens = value.as_py().lower().split()
+                counts.update(tokens if learned else dict.fromkeys(tokens, 0))
+                counts[END] += bool(learned)
             if len(counts) >= flush:
                 yield out(counts)
                 counts = Counter()
         yield out(counts)
 
-    return texts.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("count"))
+    counted = texts.select("data", "learned").mapInArrow(run, "word binary, n long")
+    return counted.groupBy("word").agg(F.sum("n").alias("count"))
+
 
+def with_marginals(words: DataFrame, model: str) -> DataFrame:
+    """``word``, ``count``, ``marginal``: the log10 of the lattice probability, worked out once for every different word."""
+    ten = math.log(10)
 
-def _frequent(words: DataFrame, most: int) -> dict[bytes, int]:
-    """The most frequent words, as many whole count classes as fit in ``most`` rows."""
-    short = words.filter(F.length("word") <= LONGEST)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marginal_of = lattice(model)
+        for batch in batches:
+            found = [0.0 if w == END else marginal_of.forward(MARK_BYTES + w) / ten for w in batch.column(0).to_pylist()]
+            yield batch.append_column("marginal", pa.array(found, pa.float64()))
+
+    return words.mapInArrow(run, "word binary, count long, marginal double")
+
+
+def _frequent(words: DataFrame, most: int) -> dict[bytes, tuple[int, float]]:
+    """Count and marginal of the most frequent words, as many whole count classes as fit in ``most`` rows."""
+    short = words.filter((F.length("word") <= LONGEST) & (F.col("count") > 0))
     classes = short.groupBy(F.floor(F.log2("count") * 8).alias("class")).count().orderBy(F.desc("class")).collect()
     total, least = 0, None
     for row in classes:
@@ -110,7 +126,8 @@ def _frequent(words: DataFrame, most: int) -> dict[bytes, int]:
     if least is None:
         return {}
     table = short.filter(F.floor(F.log2("count") * 8) >= least).toArrow()
-    return dict(zip(table.column("word").to_pylist(), table.column("count").to_pylist()))
+    values = zip(table.column("count").to_pylist(), table.column("marginal").to_pylist())
+    return dict(zip(table.column("word").to_pylist(), values))
 
 
 def lattice_scores(
@@ -125,20 +142,20 @@ def lattice_scores(
     ``score`` and ``subword_score`` (the pieces alone), all log10. ``learned``: which rows to learn from."""
     keyed = with_row_key(docs)
     data = as_bytes(text_col).alias("data")
-    words = write_through(token_counts(docs.filter(learned).select(data)), "counts")
+    counts = token_counts(docs.select(data, learned.alias("learned")))
+    words = write_through(with_marginals(counts, model), "counts")
     total, kinds, once = words.agg(
-        F.coalesce(F.sum("count"), F.lit(0)), F.count(F.lit(1)), F.count(F.when(F.col("count") == 1, 1))
+        F.coalesce(F.sum("count"), F.lit(0)),
+        F.count(F.when(F.col("count") > 0, 1)),
+        F.count(F.when(F.col("count") == 1, 1)),
     ).first()
     base = math.log10(total + kinds + 1)
     unseen = min(0.5, (once + 1) / (total + 1)) if total else 1.0
     top = _frequent(words, frequent)
-    ten = math.log(10)
     log_unseen = math.log10(unseen)
 
     def token(count: int, marginal: float) -> float:
         """log10 probability of a token by its training count and the log10 of its lattice probability."""
-        if not count:
-            return log_unseen + marginal
         seen = math.log10((1 - unseen) * count / total)
         low, high = sorted((seen, log_unseen + marginal))
         return high + math.log10(1 + 10 ** (low - high))
@@ -146,13 +163,12 @@ def lattice_scores(
     id_kind = docs.schema[id_col].dataType.simpleString()
     schema = (
         f"{ROW_KEY[0]} long, {ROW_KEY[1]} long, id {id_kind}, n_tokens long, known long, plain double, full double,"
-        " sub double, rest array<struct<word:binary,n:int,marginal:double>>"
+        " sub double, rest array<struct<word:binary,n:int>>"
     )
-    rest_type = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32()), ("marginal", pa.float64())]))
-    ended = top.get(END, 0)
+    rest_type = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())]))
+    ended = top.get(END, (0, 0.0))[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marginal_of = lattice(model)
         kept: dict[bytes, tuple[float, float]] = {}
         for batch in batches:
             columns: list[list] = [[] for _ in range(6)]
@@ -161,20 +177,17 @@ def lattice_scores(
                 known, plain, sub, rest = 1 if ended else 0, math.log10(ended + 1), 0.0, []
                 full = math.log10((1 - unseen) * ended / total) if ended else log_unseen
                 for word, n in Counter(tokens).items():
-                    count = top.get(word)
-                    if count is None:
-                        marginal = marginal_of(word) / ten
-                        rest.append({"word": word, "n": n, "marginal": marginal})
-                    else:
-                        found = kept.get(word)
-                        if found is None:
-                            marginal = marginal_of(word) / ten
-                            found = kept[word] = (math.log10(count + 1), token(count, marginal), marginal)
-                        known += n
-                        plain += n * found[0]
-                        full += n * found[1]
-                        marginal = found[2]
-                    sub += n * marginal
+                    value = kept.get(word)
+                    if value is None:
+                        if word not in top:
+                            rest.append({"word": word, "n": n})
+                            continue
+                        count, marginal = top[word]
+                        value = kept[word] = (math.log10(count + 1), token(count, marginal), marginal)
+                    known += n
+                    plain += n * value[0]
+                    full += n * value[1]
+                    sub += n * value[2]
                 for column, x in zip(columns, (len(tokens) + 1, known, plain, full, sub, rest)):
                     column.append(x)
             kinds_ = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), rest_type)
@@ -196,6 +209,7 @@ def lattice_scores(
         F.sum(F.when(count > 0, n).otherwise(0)).alias("more_known"),
         F.sum(n * F.log10(count + 1.0)).alias("more_plain"),
         F.sum(n * both).alias("more_full"),
+        F.sum(n * F.col("marginal")).alias("more_sub"),
     )
     out = rows.drop("rest").join(more, ROW_KEY, "left")
     zero = F.lit(0)
@@ -207,5 +221,5 @@ def lattice_scores(
         F.lit(total).cast("long").alias("train_tokens"),
         (F.col("plain") + F.coalesce("more_plain", zero) - F.col("n_tokens") * base).alias("base_score"),
         (F.col("full") + F.coalesce("more_full", zero)).alias("score"),
-        F.col("sub").alias("subword_score"),
+        (F.col("sub") + F.coalesce("more_sub", zero)).alias("subword_score"),
     )
