@@ -3,20 +3,22 @@ the length of the calendar, whatever the size of the source."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def business_days(tickers: DataFrame, start: str, end: str) -> DataFrame:
+def business_days(tickers: DataFrame, start: Column, end: Column) -> DataFrame:
     """Every Monday-to-Friday date of the range for each row of ``tickers``."""
-    days = F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))
-    weekdays = F.filter(days, lambda d: F.weekday(d) < 5)
-    return tickers.select("*", F.explode(weekdays).alias("date"))
+    days = F.sequence(start.cast("date"), end.cast("date"))
+    return tickers.select("*", F.explode(days).alias("date")).filter(F.weekday("date") < 5)
 
 
-def reindex(prices: DataFrame, start: str, end: str) -> DataFrame:
-    """Prices on the business-day calendar: weekend rows go, missing days become null."""
-    calendar = business_days(prices.select("ticker").distinct(), start, end)
+def reindex(prices: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Prices on the business-day calendar: weekend rows go, missing days become null. Without ``start`` or ``end`` the
+    calendar begins or ends with the prices."""
+    first = prices.agg(F.min("date")).scalar() if start is None else F.lit(start)
+    last = prices.agg(F.max("date")).scalar() if end is None else F.lit(end)
+    calendar = business_days(prices.select("ticker").distinct(), first, last)
     return calendar.join(prices, ["ticker", "date"], "left")
 
 
@@ -26,7 +28,7 @@ def forward_fill(prices: DataFrame, column: str = "price") -> DataFrame:
     return prices.withColumn(column, F.last(column, ignorenulls=True).over(past))
 
 
-def price_panel(prices: DataFrame, start: str, end: str) -> DataFrame:
+def price_panel(prices: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
     return forward_fill(reindex(prices, start, end))
 
 

@@ -631,9 +631,8 @@ def rolling_mean(spark, folder):
     return rolled.select("ticker", "date", F.round("mean20", 6).alias("mean20"))
 
 
-START, END = "1995-01-01", "2001-12-31"
-PANEL = f"""{SERIES}, days AS (SELECT CAST(d AS DATE) AS date FROM range(DATE '{START}', DATE '{END}' + INTERVAL 1 DAY, INTERVAL 1 DAY) t(d)
-    WHERE isodow(d) < 6),
+PANEL = f"""{SERIES}, days AS (SELECT date FROM
+    (SELECT CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date FROM series) WHERE isodow(date) < 6),
   spine AS (SELECT ticker, date FROM (SELECT DISTINCT ticker FROM series) k, days),
   panel AS (SELECT spine.ticker, spine.date, series.price FROM spine
     LEFT JOIN series ON series.ticker = spine.ticker AND series.date = spine.date)"""
@@ -645,7 +644,7 @@ PANEL = f"""{SERIES}, days AS (SELECT CAST(d AS DATE) AS date FROM range(DATE '{
       (PARTITION BY ticker ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 5) AS price FROM panel""",
 )
 def forward_fill(spark, folder):
-    filled = timeseries.forward_fill(timeseries.reindex(tables.series(spark, folder), START, END))
+    filled = timeseries.forward_fill(timeseries.reindex(tables.series(spark, folder)))
     return filled.select("ticker", "date", F.round("price", 5).alias("price"))
 
 
@@ -768,7 +767,7 @@ def random_split_seeded(spark, folder):
 
 @query("business_day_calendar", f"WITH {PANEL} SELECT ticker, date, round(price, 5) AS price FROM panel")
 def business_day_calendar(spark, folder):
-    panel = timeseries.reindex(tables.series(spark, folder), START, END)
+    panel = timeseries.reindex(tables.series(spark, folder))
     return panel.select("ticker", "date", F.round("price", 5).alias("price"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallymart.operators import timeseries
 from tallymart.plans.registry import query
-from tallymart.plans.relational_queries import END, MACRO_SQL, PANEL, START
+from tallymart.plans.relational_queries import MACRO_SQL, PANEL
 from tallymart.sources import tables
 
 FILLED = f"""{PANEL}, filled AS (SELECT ticker, date, last_value(price IGNORE NULLS) OVER
@@ -14,7 +14,7 @@ FILLED = f"""{PANEL}, filled AS (SELECT ticker, date, last_value(price IGNORE NU
 
 
 def _panel(spark, folder):
-    return timeseries.price_panel(tables.series(spark, folder), START, END)
+    return timeseries.price_panel(tables.series(spark, folder))
 
 
 @query("price_panel", f"WITH {FILLED} SELECT ticker, date, round(price, 5) AS price FROM filled")

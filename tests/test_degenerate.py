@@ -1,6 +1,6 @@
 """Ordinary data that leaves a denominator at zero."""
 
-from tallymart.operators import classify, hypothesis_tests, neighbours, regression, relational
+from tallymart.operators import classify, hypothesis_tests, neighbours, regression, relational, timeseries
 
 
 def test_constant_columns(spark):
@@ -15,3 +15,9 @@ def test_constant_columns(spark):
 def test_all_zero_ratings(spark):
     rows = spark.createDataFrame([(1, 7, 0.0), (2, 7, 3.0)], "user_id long, item_id long, rating double")
     assert all(row.cosine == 0 for row in neighbours.cosine_users(rows).collect() if "cosine" in row)
+
+
+def test_calendar_covers_all_prices(spark):
+    rows = spark.sql("SELECT * FROM VALUES ('a', DATE'1994-12-30', 1.0D), ('a', DATE'2002-03-01', 2.0D) t(ticker, date, price)")
+    found = timeseries.price_panel(rows).orderBy("date").collect()
+    assert len(found) == 1871 and (found[0].price, found[-2].price, found[-1].price) == (1.0, 1.0, 2.0)
