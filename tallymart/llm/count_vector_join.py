@@ -231,20 +231,19 @@ def _crossing(shared: DataFrame, classes: DataFrame, sets: DataFrame, size: int,
     """What the first step left: pairs (``high``, ``low``) that are alone in their buckets, still to be verified, and
     verified links between components of larger buckets. Of buckets with the same members one is searched."""
     placed = shared.join(classes, "node", "left").withColumn("class", F.coalesce("component", "node")).drop("component")
+    # two numbers a bucket travel for all buckets, whole rows only for those that hold several components
+    span = placed.groupBy("key").agg(F.min("class").alias("a"), F.max("class").alias("b"))
+    span = write_through(span.filter("a < b").select("key"), "open")
+    members = write_through(placed.join(span, "key"), "members")
     held = (F.count(F.lit(1)), F.sum(F.xxhash64("node").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("node", F.lit(1))))
     open_ = (
-        placed.groupBy("key")
-        .agg(
-            *(column.alias(name) for column, name in zip(held, ("members", "total", "folded"))),
-            F.min("class").alias("a"),
-            F.max("class").alias("b"),
-        )
-        .filter("a < b")
+        members.groupBy("key")
+        .agg(*(column.alias(name) for column, name in zip(held, ("members", "total", "folded"))))
         .groupBy("members", "total", "folded")
         .agg(F.min("key").alias("key"))
         .select("key", "members", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
     )
-    members = write_through(placed.join(open_, "key"), "members")
+    members = write_through(members.join(open_, "key"), "searched")
     twos = members.filter("members = 2").groupBy("key").agg(F.max("node").alias("high"), F.min("node").alias("low"))
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     dealt = members.filter("members > 2").withColumn("own", block)
