@@ -6,8 +6,10 @@ too small for the threshold cannot link.
 
 A single tree over a large corpus would visit most leaves (the points are close to each other in every
 coordinate), so the points are dealt out first, without losing a pair: at similarity t, two sets of sizes a and b differ in
-at most (1-t)/(1+t)*(a+b) n-grams. Split into one cell more than that by hash, they have at least one cell in
-common that is equal. Every document therefore goes to one bucket per cell, keyed by the cell's content.
+at most d = (1-t)/(1+t)*(a+b) n-grams. Split into c > d cells by hash, they have at least c-d equal cells. Every
+document therefore goes to one bucket per cell, keyed by the cell's content. With a fifth more cells than d
+nearly every set has fewer than c-d empty ones; one of the equal cells is then filled, and the empty cells, which
+would bring unrelated documents together, need no bucket.
 
 Per bucket with several different sets:
 
@@ -45,6 +47,7 @@ from tallymart.session import write_through
 BAND = Fraction(7, 5)  # sizes of a band differ by less than this factor
 BLOCK = 2048  # members of a bucket that one search task holds on either side
 LEAF = 16
+SPARE = 5  # one cell more for so many in which a link may differ
 
 
 def shingles(data: bytes, size: int, hashes: WordHashes) -> np.ndarray:
@@ -71,8 +74,9 @@ class Sizes:
         p = self.t * 100
         return -(-(p.numerator * (a + b)) // (100 * p.denominator + p.numerator))
 
-    def bands(self, size: int) -> list[tuple[int, int]]:
-        """(band, number of cells) under which a set of ``size`` is dealt out. A pair always shares the band of its larger set."""
+    def bands(self, size: int) -> list[tuple[int, int, int]]:
+        """(band, number of cells, most cells in which a link differs) under which a set of ``size`` is dealt out. A
+        pair always shares the band of its larger set."""
         while self.starts[-1] <= 2 * size:
             self.starts.append(max(self.starts[-1] + 1, floor(self.starts[-1] * BAND)))
         own = next(i for i in range(len(self.starts) - 1) if self.starts[i + 1] > size)
@@ -81,19 +85,23 @@ class Sizes:
             if band > own and self.starts[band] * self.t > size:
                 break
             largest = self.starts[band + 1] - 1
-            found.append((band, floor((1 - self.t) / (1 + self.t) * 2 * largest) + 1))
+            apart = floor((1 - self.t) / (1 + self.t) * 2 * largest)
+            found.append((band, apart + 1 + apart // SPARE, apart))
         return found
 
 
 def cell_keys(grams: np.ndarray, sizes: Sizes) -> np.ndarray:
-    """One key for every cell of every band: a hash of band, cell and the cell's n-grams (their sum, mixed)."""
+    """One key for every cell of every band: a hash of band, cell and the cell's n-grams (their sum, mixed). Empty cells
+    have none where they are fewer than the cells that a link has in common, as one of those is then filled."""
     out = []
-    for band, cells in sizes.bands(len(grams)):
+    for band, cells, apart in sizes.bands(len(grams)):
         place = ((mixed(grams ^ np.uint64(band + 1)) >> np.uint64(33)) % np.uint64(cells)).astype(np.int64)
         sums = np.zeros(cells, np.uint64)
         np.add.at(sums, place, mixed(grams + np.uint64(0x51ED27)))
         tag = np.arange(cells, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(band)
-        out.append(mixed(mixed(sums + mixed(tag)) + tag))
+        keys = mixed(mixed(sums + mixed(tag)) + tag)
+        filled = np.bincount(place, minlength=cells) > 0
+        out.append(keys[filled] if cells - filled.sum() < cells - apart else keys)
     return np.concatenate(out)
 
 

@@ -79,6 +79,22 @@ def test_overlap_is_the_smallest_that_links(percent):
             assert sizes.overlap(a, b) == least
 
 
+@pytest.mark.parametrize("percent", [50, 80, 90])
+def test_links_share_a_bucket(percent):
+    draw = np.random.default_rng(5)
+    sizes, linked = count_vector_join.Sizes(percent), 0
+    for n in [*range(1, 60), *range(60, 600, 9)] * 3:
+        grams = np.unique(draw.integers(1, 2**62, n).astype(np.uint64))
+        changed = int(draw.integers(0, max(1, round(n * (100 - percent) / 60)) + 1))
+        new = draw.integers(1, 2**62, int(draw.integers(0, changed + 1))).astype(np.uint64)
+        other = np.unique(np.concatenate([grams[changed:], new]))
+        if len(np.intersect1d(grams, other)) >= sizes.overlap(len(grams), len(other)) and len(other):
+            linked += 1
+            keys = (count_vector_join.cell_keys(one, sizes) for one in (grams, other))
+            assert len(np.intersect1d(*keys))
+    assert linked > 100
+
+
 def test_repeated_passages(docs):
     found = {row.id: row for row in fm_substring.repeated_words(docs).collect()}
     assert found[15].n_removed == 20 and found[14].n_removed == 0 and found[7].n_removed == 60
