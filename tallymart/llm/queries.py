@@ -13,10 +13,12 @@ from tallymart.llm import (
     exact_dedup,
     fm_substring,
     lattice_scoring,
+    merkle_manifest,
     path_templates,
     secret_ownership,
     unigram_codec,
     vector_packing,
+    word_table_bpe,
 )
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -116,6 +118,36 @@ def fm_substrings(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
 
+def bpe_word_table(spark: SparkSession, folder: str) -> DataFrame:
+    coded = word_table_bpe.encode(_documents(spark, folder), TOKENIZER)
+    found = word_table_bpe.decode(coded, TOKENIZER)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
+def manifest_rows(docs: DataFrame) -> DataFrame:
+    """Leaves, roots and proofs of ``docs``; where 3 divides the hash of the id, the proof meets a changed text."""
+
+    def leaf(text: Column) -> Column:
+        return merkle_manifest.leaf_hash(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text)
+
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    tampered = F.when(_remainder(3) == 0, leaf(F.translate("text", upper, lower))).otherwise(leaf(F.col("text")))
+    found = merkle_manifest.manifest(docs, "doc_id", "lang", leaf(F.col("text")), tampered=tampered)
+    folded = found.withColumn("folded_root", merkle_manifest.folded(F.col("steps"), F.col("tampered")))
+    proof = merkle_manifest.proof_hash(F.col("steps")).alias("proof_sha256")
+    verified = (F.col("folded_root") == F.col("root")).alias("verified")
+    return folded.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", proof, "folded_root", verified)
+
+
+def bitmap_rank_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return manifest_rows(_documents(spark, folder))
+
+
 QUERIES = {
     "op1_lattice_likelihood": lattice_likelihood,
     "op2_unigram_codec": unigram_encoding,
@@ -127,5 +159,7 @@ QUERIES = {
     "op8_compression_bands": compression_bands,
     "op9_fm_substring": fm_substrings,
     "op10_char_language": char_ngram_language,
+    "op11_word_table_bpe": bpe_word_table,
+    "op12_bitmap_rank_merkle": bitmap_rank_manifest,
 }
 ORACLES = {"op7_heavy_hitter_dedup": HEAVY_HITTER_DEDUP}

@@ -32,6 +32,17 @@ def _keyed(df: DataFrame) -> DataFrame:
     return df.select("*", file.alias(ROW_KEY[0]), position.alias(ROW_KEY[1]))
 
 
+def as_scan(df: DataFrame) -> DataFrame:
+    """``df`` itself if it only reads files, chooses columns and filters, so that every reading deals its rows out
+    alike; else what it holds, written to the shared folder."""
+    open_nodes, plain = [df._jdf.queryExecution().analyzed()], True
+    while open_nodes and plain:
+        node = open_nodes.pop()
+        plain = node.nodeName() in ("LogicalRelation", "Project", "Filter", "SubqueryAlias", "View") and node.deterministic()
+        open_nodes += [node.children().apply(i) for i in range(node.children().size())]
+    return df if plain and df.inputFiles() else write_through(df, "rows")
+
+
 def as_bytes(text: str | Column) -> Column:
     """UTF-8 of a text; null counts as empty."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")).cast("binary")
