@@ -15,11 +15,13 @@ from tallymart.llm import (
     lattice_scoring,
     merkle_manifest,
     path_templates,
+    prefix_trie,
     secret_ownership,
     unigram_codec,
     vector_packing,
     word_table_bpe,
 )
+from tallymart.session import write_through
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -148,6 +150,26 @@ def bitmap_rank_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return manifest_rows(_documents(spark, folder))
 
 
+def trie_rows(rows: DataFrame) -> DataFrame:
+    """The trie of the rebuilt conversations: a few turns of the first of five, then the conversation's own."""
+    turns = write_through(prefix_trie.turns(rows), "turns")
+    conv = F.col("conv_id")
+    taken = (F.crc32(conv.cast("string").cast("binary")) % 9).cast("int")
+    convs = turns.select("conv_id").distinct().select("conv_id", (conv - conv % 5).alias("base"), taken.alias("taken"))
+    first = turns.filter("place <= 8").withColumnRenamed("conv_id", "base")
+    begun = convs.join(first, "base").filter("place <= taken").select("conv_id", "place", "digest", "size")
+    own = turns.filter(F.col("place") > taken).withColumn("place", F.col("place") + 8)
+    found = prefix_trie.trie(prefix_trie.chains(begun.unionByName(own), convs))
+    return found.select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves",
+        F.col("saved").alias("saved_tokens"), F.col("ends").alias("ends_sha256"),
+    )
+
+
+def truncation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie_rows(spark.read.parquet(f"{folder}/conversations.parquet"))
+
+
 QUERIES = {
     "op1_lattice_likelihood": lattice_likelihood,
     "op2_unigram_codec": unigram_encoding,
@@ -161,5 +183,6 @@ QUERIES = {
     "op10_char_language": char_ngram_language,
     "op11_word_table_bpe": bpe_word_table,
     "op12_bitmap_rank_merkle": bitmap_rank_manifest,
+    "op13_truncation_trie": truncation_trie,
 }
 ORACLES = {"op7_heavy_hitter_dedup": HEAVY_HITTER_DEDUP}
