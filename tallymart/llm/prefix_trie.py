@@ -27,6 +27,8 @@ from tallymart.session import write_through
 
 #: Different conversations below one prefix that a task may hold.
 GROUP = 100_000
+#: Fewer are not spread over tasks.
+SMALL = 64
 #: Conversations with close ids whose ids are joined to one text before the ids of a node are hashed.
 CHUNK_BITS = 6
 ROOT = b""
@@ -121,7 +123,7 @@ def _floor(fresh: DataFrame) -> int:
     """The least depth, 1 at least, below whose prefixes no more than GROUP different conversations stand; on small
     tables no more than a small part of all."""
     total = fresh.count()
-    most = min(GROUP, max(1000, total // 256))
+    most = min(GROUP, max(SMALL, total // 256))
     low = 0
     while True:
         span = F.sequence(F.lit(low + 1), F.least(F.size("keys"), F.lit(low + 16)))

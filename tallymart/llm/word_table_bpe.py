@@ -34,7 +34,7 @@ from tallymart.llm.rows import as_scan
 #: Text of a block: the words of a block travel once, whatever their number of occurrences.
 BLOCK_BYTES = 32 << 20
 #: Occurrences that are put together at a time.
-TAKE = 4_000_000
+TAKE = 500_000
 # The characters with the Unicode property White_Space.
 WHITE_SPACE = r"\x09-\x0D\x20\x85\xA0  -     　"
 # Most neighbours are printable ASCII, which is tried first.
@@ -184,15 +184,11 @@ def _place_ids(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             if table is None:
                 table = _id_lists(chunks)
-            codes = [
-                np.frombuffer(unpack.decompress(blob), np.uint8).reshape(4, -1).T.copy().view(np.uint32).reshape(-1)
-                for blob in part.column("codes").to_pylist()
-            ]
-            sizes = np.fromiter(map(len, codes), np.int64, len(codes))
-            done = 0
+            blobs = part.column("codes").to_pylist()
+            sizes = np.array([zstandard.get_frame_parameters(blob).content_size // 4 for blob in blobs])
             for piece in _slices(part, sizes):
-                mine = codes[done : done + len(piece)]
-                done += len(piece)
+                planes = [np.frombuffer(unpack.decompress(b), np.uint8).reshape(4, -1) for b in piece.column("codes").to_pylist()]
+                mine = [np.ascontiguousarray(p.T).view(np.uint32).reshape(-1) for p in planes]
                 lists = table.take(pa.array(np.concatenate(mine)))
                 lengths = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))))
                 ends = lengths[np.concatenate(([0], np.cumsum([len(x) for x in mine])))]
