@@ -10,6 +10,7 @@ from pyspark.mllib.linalg.distributed import CoordinateMatrix
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallymart.operators.inner_product import largest_products
 from tallymart.operators.ordering import top_per_group
 from tallymart.operators.relational import dense_codes, error_scores
 from tallymart.operators.skew import attach_totals, one_row
@@ -55,25 +56,24 @@ def fit_als(ratings: DataFrame, implicit: bool, merge_repeats: bool = False, **s
         cells.unpersist()
 
 
-def _flatten(recs: DataFrame, key: str, other: str) -> DataFrame:
-    return recs.select(key, F.posexplode("recommendations").alias("_pos", "_rec")).select(
-        key,
-        (F.col("_pos") + 1).alias("rank"),
-        F.col(f"_rec.{other}").alias(other),
-        F.col("_rec.rating").cast("double").alias("score"),
-    )
+def _best(left: DataFrame, right: DataFrame, k: int, key: str, other: str, only: DataFrame | None = None) -> DataFrame:
+    if only is not None:
+        left = left.join(only.select(F.col(key).alias("id")).distinct(), "id", "left_semi")
+    return largest_products(left, right, k).withColumnsRenamed({"query": key, "row": other})
 
 
 def recs_for_all_users(model: ALSModel, k: int) -> DataFrame:
-    return _flatten(model.recommendForAllUsers(k), USER, ITEM)
+    """The k items with the highest score of every user; the search is exact and compares no user with all items
+    unless the factors' lengths leave no other way."""
+    return _best(model.userFactors, model.itemFactors, k, USER, ITEM)
 
 
 def recs_for_users(model: ALSModel, users: DataFrame, k: int) -> DataFrame:
-    return _flatten(model.recommendForUserSubset(users.select(USER), k), USER, ITEM)
+    return _best(model.userFactors, model.itemFactors, k, USER, ITEM, users)
 
 
 def users_for_items(model: ALSModel, items: DataFrame, k: int) -> DataFrame:
-    return _flatten(model.recommendForItemSubset(items.select(ITEM), k), ITEM, USER)
+    return _best(model.itemFactors, model.userFactors, k, ITEM, USER, items)
 
 
 def decode_recs(recs: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:

@@ -12,7 +12,16 @@ from pyspark.sql import functions as F
 from tallymart.functions import scalar
 from tallymart.functions.scalar import pearson
 from tallymart.operators.ordering import top_per_group
-from tallymart.operators.pairs import BLOCK_ROWS, member_pairs, mirror, pair_sums, target_pairs, target_sums
+from tallymart.operators.pairs import (
+    BLOCK_ROWS,
+    member_pairs,
+    mirror,
+    pair_sums,
+    target_pairs,
+    target_rows,
+    target_shares,
+    target_sums,
+)
 from tallymart.operators.relational import error_scores
 from tallymart.operators.skew import attach_totals, salted_join
 from tallymart.session import write_through
@@ -164,6 +173,92 @@ def similar_items_band(ratings: DataFrame, low: float = 0.4, high: float = 1.0)
     return item_correlation(ratings).filter((value > low) & (value < high))
 
 
+def correlation_rows(ratings: DataFrame, targets: DataFrame) -> DataFrame:
+    """The whole correlation row of every target item: (target, item_id, users, correlation), all other items that vary.
+
+    Missing ratings count as 0, so an item that shares no user with the target has the closed form of the totals; only
+    the raters of the targets are joined. A target without ratings or without variance has no row.
+    """
+    users = ratings.agg(F.count_distinct(USER)).scalar()
+    items = item_spread(ratings)
+    wanted = targets.select(F.col(targets.columns[0]).alias(ITEM)).distinct()
+    given = items.join(wanted, ITEM, "left_semi").select(F.col(ITEM).alias("target"), F.col("total").alias("own_total"), F.col("spread").alias("own_spread"))
+    shared = (
+        target_shares(ratings, targets, USER, ITEM, RATING)
+        .groupBy("target", F.col("other").alias(ITEM))
+        .agg(F.count(F.lit(1)).alias("users"), F.sum(F.col("x") * F.col("y")).alias("product"))
+    )
+    value = (users * F.coalesce("product", F.lit(0.0)) - F.col("total") * F.col("own_total")) / (F.col("spread") * F.col("own_spread"))
+    return (
+        target_rows(items, given)
+        .select(ITEM, "total", "spread", "_t.*")
+        .filter(F.col(ITEM) != F.col("target"))
+        .join(shared, ["target", ITEM], "left")
+        .select(
+            "target", ITEM, F.coalesce("users", F.lit(0)).alias("users"),
+            F.greatest(F.lit(-1.0), F.least(F.lit(1.0), value)).alias("correlation"),
+        )
+    )
+
+
+def correlation_band(ratings: DataFrame, targets: DataFrame, low: float = 0.4, high: float = 1.0) -> DataFrame:
+    """The part of the targets' correlation rows with low < correlation < high, highest first."""
+    value = F.col("correlation")
+    return correlation_rows(ratings, targets).filter((value > low) & (value < high)).orderBy("target", value.desc(), ITEM)
+
+
+def neighbours_of(ratings: DataFrame, targets: DataFrame, n: int, places: int = 9) -> DataFrame:
+    """The ``n`` items most similar to each target item by cosine, ties by id. Items that share no user with the target
+    have cosine 0: they follow the others in the order of their ids, as far as the list is not full."""
+    lengths = ratings.groupBy(ITEM).agg(F.sqrt(F.sum(F.col(RATING) * F.col(RATING))).alias("len"))
+    wanted = targets.select(F.col(targets.columns[0]).alias(ITEM)).distinct()
+    given = lengths.join(wanted, ITEM, "left_semi").select(F.col(ITEM).alias("target"), F.col("len").alias("own_len"))
+    shared = (
+        target_shares(ratings, targets, USER, ITEM, RATING)
+        .groupBy("target", F.col("other").alias(ITEM))
+        .agg(F.sum(F.col("x") * F.col("y")).alias("product"))
+    )
+    value = scalar.divide(F.coalesce("product", F.lit(0.0)), F.col("len") * F.col("own_len"), 0.0)
+    rows = target_rows(lengths, given).select(ITEM, "len", "_t.*").filter(F.col(ITEM) != F.col("target"))
+    scored = rows.join(shared, ["target", ITEM], "left").select(
+        "target", F.col(ITEM).alias("neighbour"), F.round(value, places).alias("similarity")
+    )
+    return top_per_group(scored, ["target"], [F.desc("similarity"), F.asc("neighbour")], n)
+
+
+def merge_titles(ratings: DataFrame, names: DataFrame) -> DataFrame:
+    """Ratings by title: items of one title (of ``names``: item_id, title) become one, the smallest id; a user who rated
+    several of them has the mean. Items without a title stay as they are."""
+    merged = names.filter(F.col("title").isNotNull()).groupBy("title").agg(F.min(ITEM).alias("merged"))
+    codes = names.join(merged, "title").select(ITEM, "merged")
+    placed = ratings.join(codes, ITEM, "left").withColumn(ITEM, F.coalesce("merged", ITEM))
+    return placed.groupBy(USER, ITEM).agg(F.avg(RATING).alias(RATING))
+
+
+def last_rating(rows: DataFrame, order: list[str]) -> DataFrame:
+    """One rating for each (user, item): that of the last row by ``order``, nulls first."""
+    last = F.max_by(RATING, F.struct(*order))
+    return rows.groupBy(USER, ITEM).agg(last.alias(RATING))
+
+
+def own_preferences(ratings: DataFrame, flags: DataFrame, targets: DataFrame) -> DataFrame:
+    """Mean rating of each target user by genre: (target, genre, preference); ``flags`` holds (item_id, genre)."""
+    rated = _own(ratings, targets).join(flags, ITEM)
+    return rated.groupBy("target", "genre").agg(F.avg(RATING).alias("preference"))
+
+
+def own_content_scores(ratings: DataFrame, flags: DataFrame, targets: DataFrame, n: int, places: int = 9) -> DataFrame:
+    """The ``n`` unseen items of each target user with the highest sum of that user's genre preferences."""
+    scores = (
+        own_preferences(ratings, flags, targets)
+        .join(flags, "genre")
+        .groupBy("target", ITEM)
+        .agg(F.round(F.sum("preference"), places).alias("score"))
+        .join(_own(ratings, targets).select("target", ITEM), ["target", ITEM], "left_anti")
+    )
+    return top_per_group(scores, ["target"], [F.desc("score"), F.asc(ITEM)], n)
+
+
 def _own(ratings: DataFrame, targets: DataFrame) -> DataFrame:
     wanted = targets.select(F.col(targets.columns[0]).alias(USER)).distinct()
     return ratings.join(wanted, USER, "left_semi").withColumnRenamed(USER, "target")

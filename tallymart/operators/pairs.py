@@ -8,6 +8,8 @@ Two shapes:
                   becomes a join key of its own, so a task sees at most two blocks of a group.
 ``target_sums``   pairs of given members (one user's neighbours) with everybody else: linear in the
                   rows, no all-pairs step.
+``target_rows``   every row beside every target, for results that name all of them: the targets travel
+                  in blocks and meet the rows by block number.
 """
 
 from __future__ import annotations
@@ -15,10 +17,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.operators.skew import HOT_ROWS, attach_totals
+from tallymart.operators.skew import HOT_ROWS, attach_totals, salted_join
 from tallymart.session import write_through
 
 BLOCK_ROWS = 4096
+TARGET_BLOCK = 1024
 
 
 def power_sums(x: Column, y: Column) -> list[Column]:
@@ -125,3 +128,28 @@ def target_sums(
         .groupBy("target", "other")
         .agg(*power_sums(F.col("x"), F.col("y")))
     )
+
+
+def target_shares(
+    rows: DataFrame, targets: DataFrame, group: str, member: str, value: str, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """(target, other, x, y) like ``target_pairs``; a group with very many rows is spread over tasks. The targets of a
+    group travel as one list, which the target list bounds."""
+    wanted = targets.select(F.col(targets.columns[0]).alias(member)).distinct()
+    lists = (
+        rows.join(wanted, member, "left_semi")
+        .groupBy(group)
+        .agg(F.collect_list(F.struct(F.col(member).alias("target"), F.col(value).alias("x"))).alias("_targets"))
+    )
+    met = salted_join(rows.select(group, F.col(member).alias("other"), F.col(value).alias("y")), lists, [group], hot_rows=hot_rows)
+    pairs = met.select("other", "y", F.explode("_targets").alias("_t"))
+    return pairs.select("_t.target", "other", "_t.x", "y").filter(F.col("target") != F.col("other"))
+
+
+def target_rows(rows: DataFrame, targets: DataFrame, block_targets: int = TARGET_BLOCK) -> DataFrame:
+    """Every row of ``rows`` with every row of ``targets`` (as struct ``_t``): the stated targets against all rows."""
+    blocks = F.greatest(F.lit(1), F.ceil(targets.count() / F.lit(block_targets))).cast("int")
+    keyed = targets.select(F.pmod(F.xxhash64(*targets.columns), blocks).cast("int").alias("_block"), F.struct(*targets.columns).alias("_t"))
+    lists = keyed.groupBy("_block").agg(F.collect_list("_t").alias("_ts"))
+    spread = rows.withColumn("_block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    return spread.join(lists, "_block").withColumn("_t", F.explode("_ts")).drop("_block", "_ts")

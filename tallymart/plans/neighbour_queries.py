@@ -112,6 +112,101 @@ def similar_items_band(spark, folder):
     return band.withColumn("correlation", F.round("correlation", 9))
 
 
+ITEM_TARGETS = """it AS (SELECT item_id AS target FROM ratings GROUP BY 1 ORDER BY count(*) DESC, item_id LIMIT 3)"""
+CORRELATION_ROWS = f"""{ITEM_TARGETS}, {SPREAD}, cr AS (SELECT q.item_id AS target, p.item_id, count(*) AS n, sum(p.rating * q.rating) AS sxy
+    FROM ratings q JOIN ratings p ON p.user_id = q.user_id AND p.item_id <> q.item_id WHERE q.item_id IN (SELECT target FROM it) GROUP BY 1, 2),
+  rw AS (SELECT it.target, p.item_id, coalesce(n, 0) AS users,
+      (nu.users * coalesce(sxy, 0) - p.total * q.total) / (p.spread * q.spread) AS correlation
+    FROM it JOIN sp q ON q.item_id = it.target JOIN sp p ON p.item_id <> it.target
+      LEFT JOIN cr ON cr.target = it.target AND cr.item_id = p.item_id, nu WHERE p.spread > 0 AND q.spread > 0)"""
+
+
+@query(
+    "item_correlation_of",
+    f"WITH {RATINGS}, {CORRELATION_ROWS} SELECT target, item_id, users, round(correlation, 9) AS correlation FROM rw",
+)
+def item_correlation_of(spark, folder):
+    """The whole correlation rows of the three most rated items."""
+    ratings = _ratings(spark, folder)
+    rows = cf.correlation_rows(ratings, cf.most_active(ratings, "item_id", 3))
+    return rows.withColumn("correlation", F.round("correlation", 9))
+
+
+@query(
+    "similar_items_of",
+    f"""WITH {RATINGS}, {CORRELATION_ROWS} SELECT target, item_id, users, round(correlation, 9) AS correlation FROM rw
+    WHERE correlation > 0.02 AND correlation < 1""",
+)
+def similar_items_of(spark, folder):
+    ratings = _ratings(spark, folder)
+    band = cf.correlation_band(ratings, cf.most_active(ratings, "item_id", 3), low=0.02)
+    return band.withColumn("correlation", F.round("correlation", 9))
+
+
+@query(
+    "item_neighbours_of",
+    f"""WITH {RATINGS}, {ITEM_TARGETS}, {ILEN}, cr AS (SELECT q.item_id AS target, p.item_id, sum(p.rating * q.rating) AS sxy
+      FROM ratings q JOIN ratings p ON p.user_id = q.user_id AND p.item_id <> q.item_id WHERE q.item_id IN (SELECT target FROM it) GROUP BY 1, 2),
+    rw AS (SELECT it.target, p.item_id AS neighbour, round(coalesce(sxy, 0) / (p.len * q.len), 9) AS similarity
+      FROM it JOIN il q ON q.item_id = it.target JOIN il p ON p.item_id <> it.target
+        LEFT JOIN cr ON cr.target = it.target AND cr.item_id = p.item_id)
+    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY target ORDER BY similarity DESC, neighbour) AS rank FROM rw) z WHERE rank <= 50""",
+)
+def item_neighbours_of(spark, folder):
+    ratings = _ratings(spark, folder)
+    return cf.neighbours_of(ratings, cf.most_active(ratings, "item_id", 3), 50)
+
+
+MERGED = """mt AS (SELECT *, min(p_partkey) OVER (PARTITION BY p_name) AS merged FROM part),
+  mr AS (SELECT user_id, coalesce(merged, item_id) AS item_id, avg(rating) AS rating
+    FROM ratings LEFT JOIN mt ON p_partkey = item_id GROUP BY 1, 2)"""
+
+
+@query(
+    "item_correlation_merged_titles",
+    f"WITH {RATINGS}, {MERGED}, {CORRELATION_ROWS.replace('ratings', 'mr')} SELECT target, item_id, users, round(correlation, 8) AS correlation FROM rw",
+)
+def item_correlation_merged_titles(spark, folder):
+    """Parts of one name are one title."""
+    ratings = write_through(cf.merge_titles(_ratings(spark, folder), tables.item_names(spark, folder)), "merged")
+    rows = cf.correlation_rows(ratings, cf.most_active(ratings, "item_id", 3))
+    return rows.withColumn("correlation", F.round("correlation", 8))
+
+
+@query(
+    "last_rating",
+    """WITH raw AS (SELECT o_custkey AS user_id, l_partkey AS item_id, CAST(CAST(l_quantity AS INTEGER) % 5 + 1 AS DOUBLE) AS rating,
+      row_number() OVER (PARTITION BY o_custkey, l_partkey ORDER BY o_orderdate DESC, l_orderkey DESC, l_linenumber DESC, l_suppkey DESC, l_quantity DESC) AS back
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey) SELECT user_id, item_id, rating FROM raw WHERE back = 1""",
+)
+def last_rating(spark, folder):
+    """The rating of the last purchase of each (user, item), by time and row."""
+    lines = tables.table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    orders = tables.table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    rating = (F.col("l_quantity").cast("int") % 5 + 1).cast("double").alias("rating")
+    rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id"), rating, "o_orderdate", "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity"
+    )
+    return cf.last_rating(rows, ["o_orderdate", "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity"])
+
+
+@query(
+    "content_score_own",
+    f"""WITH {RATINGS}, {TARGET}, ge AS (SELECT DISTINCT p_partkey AS item_id, unnest(string_split(p_name, ' ')) AS genre FROM part),
+      ow AS (SELECT item_id, rating FROM ratings, tg WHERE user_id = target),
+      pf AS (SELECT genre, avg(rating) AS preference FROM ow JOIN ge USING (item_id) GROUP BY 1),
+      sc AS (SELECT item_id, round(sum(preference), 9) AS score FROM ge JOIN pf USING (genre)
+        WHERE item_id NOT IN (SELECT item_id FROM ow) GROUP BY 1)
+    SELECT target, item_id, score, row_number() OVER (ORDER BY score DESC, item_id) AS rank FROM sc, tg ORDER BY rank LIMIT 20""",
+)
+def content_score_own(spark, folder):
+    """Unseen items for the most active user by that user's own genre preferences."""
+    ratings = _ratings(spark, folder)
+    names = tables.item_names(spark, folder)
+    flags = names.select("item_id", F.explode(F.array_distinct(F.split("title", " "))).alias("genre"))
+    return cf.own_content_scores(ratings, flags, cf.most_active(ratings), 20)
+
+
 @query(
     "item_corr_recs",
     f"""WITH {RATINGS}, {TARGET}, {SPREAD}, ow AS (SELECT item_id FROM ratings, tg WHERE user_id = target),
@@ -208,6 +303,29 @@ def item_based_cf(spark, folder):
     return _item_based(spark, folder).withColumn("prediction", F.round("prediction", 8))
 
 
+@query(
+    "user_based_cf_similarity",
+    f"""WITH {RATINGS}, {USER_CF} SELECT te.user_id, te.item_id, te.rating,
+      round(coalesce(mean, 0) + CASE WHEN coalesce(s_total, 1) <> 0 THEN (coalesce(near, 0) - coalesce(s_mean, 0)) / coalesce(s_total, 1) ELSE 0 END, 8) AS prediction
+    FROM te LEFT JOIN me ON me.user_id = te.user_id LEFT JOIN ut ON ut.u = te.user_id LEFT JOIN pr ON pr.user_id = te.user_id AND pr.item_id = te.item_id""",
+)
+def user_based_cf_similarity(spark, folder):
+    train, test, users, items = _split(spark, folder)
+    found = cf.user_based_cf(train, test, users, items, weights="similarity")
+    return found.withColumn("prediction", F.round("prediction", 8))
+
+
+@query(
+    "item_based_cf_similarity",
+    f"""WITH {RATINGS}, {ITEM_CF} SELECT te.user_id, te.item_id, te.rating,
+      round(CASE WHEN coalesce(s_total, 1) <> 0 THEN coalesce(near, 0) / coalesce(s_total, 1) ELSE 0 END, 8) AS prediction
+    FROM te LEFT JOIN it ON it.i = te.item_id LEFT JOIN pr ON pr.user_id = te.user_id AND pr.item_id = te.item_id""",
+)
+def item_based_cf_similarity(spark, folder):
+    train, test, _, items = _split(spark, folder)
+    return cf.item_based_cf(train, test, items, weights="similarity").withColumn("prediction", F.round("prediction", 8))
+
+
 @query(
     "cf_rmse",
     f"""SELECT 'user' AS method, n, mse, rmse FROM (WITH {RATINGS}, {USER_CF} SELECT count(*) AS n, round(avg(power(rating - prediction, 2)), 8) AS mse,
