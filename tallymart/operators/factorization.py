@@ -1,24 +1,20 @@
-"""Matrix factorisation on (user_id, item_id, rating) rows with MLlib's block ALS and SVD."""
+"""Matrix factorisation on (user_id, item_id, rating) rows: MLlib's block ALS and a distributed truncated SVD."""
 
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.mllib.common import callMLlibFunc
-from pyspark.mllib.linalg.distributed import CoordinateMatrix
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallymart.operators import subspace
 from tallymart.operators.inner_product import largest_products
 from tallymart.operators.ordering import top_per_group
 from tallymart.operators.relational import dense_codes, error_scores
-from tallymart.operators.skew import attach_totals, one_row
+from tallymart.operators.skew import attach_totals, one_row, salted_join
 from tallymart.session import shared_folder, write_through
 
 USER, ITEM, RATING = "user_id", "item_id", "rating"
-# The right factors of Spark's SVD live on the driver; above this many values it is refused.
-DRIVER_VALUES = 50_000_000
 
 # The customary training settings.
 IMPLICIT = {"rank": 16, "maxIter": 10, "regParam": 0.1, "alpha": 80.0, "seed": 49247}
@@ -131,41 +127,19 @@ class Factors:
         self.left, self.right, self.values = left, right, values
 
 
-def svd(cells: DataFrame, row: str, column: str, value: str, k: int) -> Factors:
-    """Truncated SVD with Spark's distributed solver. (row, column) must be unique.
+def svd(cells: DataFrame, row: str, column: str, value: str, k: int, **settings) -> Factors:
+    """Truncated SVD by block subspace iteration (``settings``: steps, tolerance, seed). (row, column) must be unique.
 
-    Entries reach the matrix as a DataFrame, without Python rows; the left factors come back as one.
-    Spark keeps the right factors (columns x k) on the driver, hence the size check.
+    Both factors stay tables; the driver sees matrices of about k x k only.
     """
-    rows = dense_codes(cells, row, "_i")
-    columns = dense_codes(cells, column, "_j")
-    width = columns.count()
-    if width * k > DRIVER_VALUES:
-        raise ValueError(f"{width} columns x {k} exceed what the driver may hold; factorise with fit_als")
-    entries = cells.join(rows, row).join(columns, column).select(
-        F.col("_i").alias("i"), F.col("_j").alias("j"), F.col(value).cast("double").alias("value")
-    )
-    height = rows.count()
-    matrix = CoordinateMatrix(callMLlibFunc("createCoordinateMatrix", entries, height, width), height, width)
-    by_row = matrix.toIndexedRowMatrix()
-    # the solver multiplies by the matrix many times: keep its rows, spilling to disk
-    vectors = by_row._java_matrix_wrapper._java_model.rows()
-    vectors.persist(cells.sparkSession.sparkContext._getJavaStorageLevel(StorageLevel.MEMORY_AND_DISK))
-    solved = by_row.computeSVD(min(k, width), computeU=True)
-    spark = cells.sparkSession
-    indexed = callMLlibFunc("getIndexedRows", solved.U._java_matrix_wrapper._java_model)
-    left = indexed.select(F.col("index").alias("_i"), vector_to_array("vector").alias("u"))
-    v = solved.V.toArray()
-    right = spark.createDataFrame(
-        [(j, v[j].tolist()) for j in range(v.shape[0])], "_j long, v array<double>"
-    )
-    factors = Factors(
-        write_through(rows.join(left, "_i").select(row, "u"), "svd-left"),
-        write_through(columns.join(right, "_j").select(column, "v"), "svd-right"),
-        [float(s) for s in solved.s.toArray()],
-    )
-    vectors.unpersist(False)
-    return factors
+    rows = write_through(dense_codes(cells, row, "_i"), "codes")
+    columns = write_through(dense_codes(cells, column, "_j"), "codes")
+    coded = salted_join(salted_join(cells, rows, [row]), columns, [column])
+    entries = coded.select(F.col("_i").alias("i"), F.col("_j").alias("j"), F.col(value).cast("double").alias("value"))
+    left, right, values = subspace.factorise(entries, rows.count(), columns.count(), k, **settings)
+    left = rows.join(left.withColumnsRenamed({"code": "_i", "vector": "u"}), "_i").select(row, "u")
+    right = columns.join(right.withColumnsRenamed({"code": "_j", "vector": "v"}), "_j").select(column, "v")
+    return Factors(write_through(left, "svd-left"), write_through(right, "svd-right"), values)
 
 
 def _dot(left, right, weights: list[float] | None = None):
@@ -208,6 +182,14 @@ def latent_similar(factors: Factors, row: str, target: DataFrame, k: int) -> Dat
     ).orderBy(F.desc("similarity"), row).limit(k)
 
 
+def latent_pairs(factors: Factors, row: str, pairs: DataFrame) -> DataFrame:
+    """Cosine of the factors of two given rows: ``pairs`` (a, b) with ``similarity``; null if either has no length."""
+    rows = normalised_rows(factors, row)
+    first, second = (rows.select(F.col(row).alias(side), F.col("w").alias(f"_{side}")) for side in "ab")
+    both = pairs.select("a", "b").join(first, "a", "left").join(second, "b", "left")
+    return both.select("a", "b", F.when(F.col("_a").isNotNull() & F.col("_b").isNotNull(), _dot(F.col("_a"), F.col("_b"))).alias("similarity"))
+
+
 def svd_predict(
     factors: Factors, means: DataFrame, cells: DataFrame, row: str, column: str, low: float = 0.0, high: float = 5.0
 ) -> DataFrame:

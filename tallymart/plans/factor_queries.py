@@ -160,6 +160,16 @@ def svd_latent_similarity(spark, folder):
     return mf.latent_similar(factors, "item_id", most_active(ratings, "item_id"), 10)
 
 
+@query("svd_pair_similarity")
+def svd_pair_similarity(spark, folder):
+    """Similarity of the most rated item to the next four."""
+    ratings, factors, _ = _latent(spark, folder)
+    most = write_through(most_active(ratings, "item_id", 5), "most")
+    first = most_active(ratings, "item_id").select(F.max("item_id")).scalar()
+    pairs = most.select(first.alias("a"), F.col("item_id").alias("b")).filter("a <> b")
+    return mf.latent_pairs(factors, "item_id", pairs)
+
+
 @query("svd_predict_recommend")
 def svd_predict_recommend(spark, folder):
     """Items for the most active user and users for the most rated item."""

@@ -190,6 +190,29 @@ def test_svd_matches_numpy(low_rank):
     assert errors[1] < errors[0]
 
 
+def test_svd_over_several_blocks_matches_numpy(spark):
+    rng = np.random.default_rng(2)
+    u, v = np.linalg.qr(rng.normal(size=(45, 20)))[0], np.linalg.qr(rng.normal(size=(37, 20)))[0]
+    m = (u * 2.0 ** -np.arange(20)) @ v.T  # every value half the one before
+    m[3, :] = 0
+    m[3, 5] = 1e-3
+    cells = [(int(i) * 10**11, int(j), float(m[i, j])) for i in range(45) for j in range(37) if m[i, j]]
+    frame = spark.createDataFrame(cells, "user_id long, item_id long, rating double")
+    values = np.linalg.svd(m)[1]
+    factors = factorization.svd(frame, "user_id", "item_id", "rating", 4, steps=20, tall=8)
+    assert factors.values == pytest.approx(values[:4], rel=1e-6)
+    left = np.array([r.u for r in factors.left.orderBy("user_id").collect()])
+    right = np.array([r.v for r in factors.right.orderBy("item_id").collect()])
+    assert left.shape == (45, 4) and right.shape == (37, 4)
+    assert np.allclose(left.T @ left, np.eye(4), atol=1e-9) and np.allclose(right.T @ right, np.eye(4), atol=1e-6)
+    a, s, b = np.linalg.svd(m)
+    assert np.allclose((left * factors.values) @ right.T, (a[:, :4] * s[:4]) @ b[:4], atol=1e-5)
+    pairs = spark.createDataFrame([(0, 10**11), (0, 7)], "a long, b long")
+    found = {r.b: r.similarity for r in factorization.latent_pairs(factors, "user_id", pairs).collect()}
+    x, y = left[0] * factors.values, left[1] * factors.values
+    assert found[10**11] == pytest.approx(x @ y / np.linalg.norm(x) / np.linalg.norm(y), abs=1e-9) and found[7] is None
+
+
 def test_svd_recommendations_leave_seen_cells_out(spark, low_rank):
     _, cells = low_rank
     seen = cells.filter("(user_id + item_id) % 3 <> 0")

@@ -9,8 +9,6 @@ FOLDER = "/root/testdata/sf0.001"
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 # at the smallest scale the band may hold no item pair
 MAY_BE_EMPTY = {"similar_items_band"}
-# the solver of the rank-100 model runs once
-SLOW = {"svd_latent_similarity", "svd_predict_recommend"}
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +26,7 @@ def test_matches_sql(spark, con, name):
     assert problem is None or (problem == "EMPTY" and name in MAY_BE_EMPTY), problem
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_gives_rows(spark, name):
     assert QUERIES[name](spark, FOLDER).limit(1).count() == 1
 
