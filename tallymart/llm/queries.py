@@ -14,6 +14,7 @@ from tallymart.llm import (
     fm_substring,
     lattice_scoring,
     merkle_manifest,
+    oracles,
     path_templates,
     prefix_trie,
     secret_ownership,
@@ -185,4 +186,8 @@ QUERIES = {
     "op12_bitmap_rank_merkle": bitmap_rank_manifest,
     "op13_truncation_trie": truncation_trie,
 }
-ORACLES = {"op7_heavy_hitter_dedup": HEAVY_HITTER_DEDUP}
+ORACLES = {
+    "op7_heavy_hitter_dedup": HEAVY_HITTER_DEDUP,
+    "op12_bitmap_rank_merkle": oracles.MANIFEST,
+    "op13_truncation_trie": oracles.TRIE,
+}
