@@ -122,8 +122,7 @@ def fm_substrings(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def bpe_word_table(spark: SparkSession, folder: str) -> DataFrame:
-    coded = word_table_bpe.encode(_documents(spark, folder), TOKENIZER)
-    found = word_table_bpe.decode(coded, TOKENIZER)
+    found = word_table_bpe.recode(_documents(spark, folder), TOKENIZER)
     return found.select(
         F.col("id").alias("doc_id"),
         F.size("ids").cast("long").alias("n_tokens"),

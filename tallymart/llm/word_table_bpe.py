@@ -39,6 +39,8 @@ TAKE = 500_000
 WHITE_SPACE = r"\x09-\x0D\x20\x85\xA0  -     　"
 # Most neighbours are printable ASCII, which is tried first.
 _SOLID = rf"(?:[!-~]|[^{WHITE_SPACE}])"
+IDS = T.StructField("ids", T.ArrayType(T.IntegerType()))
+TEXT = T.StructField("text", T.StringType())
 BETWEEN_WORDS = rf" (?<={_SOLID} )(?={_SOLID})"
 
 
@@ -49,6 +51,12 @@ def split_words(text: str | Column) -> Column:
 
 def encode(docs: DataFrame, tokenizer: str, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows ``id, ids`` (array of int): the ids of the tokenizer file, without special tokens added."""
+    placed = _placed(docs, tokenizer, id, text)
+    return placed.mapInArrow(_place_ids, T.StructType([placed.schema["id"], IDS]))
+
+
+def _placed(docs: DataFrame, tokenizer: str, id: str, text: str) -> DataFrame:
+    """By blocks: the ids of the words, then the texts as codes of words."""
     scan = as_scan(docs.select(F.col(id).alias("id"), F.col(text).alias("text")))
     place = F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
     source = scan.select("id", *place, split_words("text").alias("words"))
@@ -62,16 +70,26 @@ def encode(docs: DataFrame, tokenizer: str, id: str = "doc_id", text: str = "tex
         .mapInArrow(_encoder(tokenizer), "file long, row long, code int, ids binary")
     )
     both = table.unionByName(coded, allowMissingColumns=True).repartition("file", "row")
-    placed = both.sortWithinPartitions("file", "row", F.col("code").asc_nulls_last())
-    return placed.mapInArrow(_place_ids, T.StructType([kind, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
+    return both.sortWithinPartitions("file", "row", F.col("code").asc_nulls_last())
 
 
 def decode(coded: DataFrame, tokenizer: str) -> DataFrame:
-    """``coded`` (``id``, ``ids``) with the text of the ids.
+    """``coded`` (``id``, ``ids``) with the ``text`` of the ids.
 
     The piece table is bounded by the vocabulary file, so the join is made where the ids are: by position, in Arrow.
     """
+    rows = coded.select("id", "ids")
+    return rows.mapInArrow(_decoder(tokenizer), T.StructType([*rows.schema, TEXT]))
+
 
+def recode(docs: DataFrame, tokenizer: str, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``decode(encode(docs))`` in one go: a task hands the ids on to their decoding without another worker."""
+    placed = _placed(docs, tokenizer, id, text)
+    decoder = _decoder(tokenizer)
+    return placed.mapInArrow(lambda batches: decoder(_place_ids(batches)), T.StructType([placed.schema["id"], IDS, TEXT]))
+
+
+def _decoder(tokenizer: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _pieces(tokenizer)
         for batch in batches:
@@ -84,7 +102,7 @@ def decode(coded: DataFrame, tokenizer: str) -> DataFrame:
                 texts = [str(data[at[a] : at[b]], "utf-8", "replace") for a, b in zip(ends[:-1], ends[1:])]
                 yield pa.RecordBatch.from_arrays([part.column("id"), lists, pa.array(texts, pa.string())], ["id", "ids", "text"])
 
-    return coded.select("id", "ids").mapInArrow(run, T.StructType([*coded.select("id", "ids").schema, T.StructField("text", T.StringType())]))
+    return run
 
 
 def _slices(batch: pa.RecordBatch, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -113,8 +131,10 @@ def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list[pa.RecordB
         if size >= BLOCK_BYTES:
             yield _block(held)
             size, held = 0, []
+            pa.default_memory_pool().release_unused()  # workers live on through later stages
     if held:
         yield _block(held)
+    pa.default_memory_pool().release_unused()
 
 
 def _block(held: list[pa.RecordBatch]) -> tuple[list[pa.RecordBatch], list[np.ndarray], pa.Array, np.ndarray]:
