@@ -30,11 +30,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallymart.llm.rows import as_scan
+from tallymart.session import write_through
 
 #: Text of a block: the words of a block travel once, whatever their number of occurrences.
 BLOCK_BYTES = 32 << 20
 #: Occurrences that are put together at a time.
 TAKE = 500_000
+#: Encoded words that are sorted by block before they travel on.
+HELD = 250_000
 # The characters with the Unicode property White_Space.
 WHITE_SPACE = r"\x09-\x0D\x20\x85\xA0  -     　"
 # Most neighbours are printable ASCII, which is tried first.
@@ -67,10 +70,10 @@ def _placed(docs: DataFrame, tokenizer: str, id: str, text: str) -> DataFrame:
         source.mapInArrow(_word_rows, "file long, row long, code int, word string")
         .repartition("word")
         .sortWithinPartitions("word")
-        .mapInArrow(_encoder(tokenizer), "file long, row long, code int, ids binary")
+        .mapInArrow(_encoder(tokenizer), "file long, row long, words binary")
     )
-    both = table.unionByName(coded, allowMissingColumns=True).repartition("file", "row")
-    return both.sortWithinPartitions("file", "row", F.col("code").asc_nulls_last())
+    both = write_through(table, "words").unionByName(coded, allowMissingColumns=True).repartition("file", "row")
+    return both.sortWithinPartitions("file", "row", F.col("codes").isNotNull())
 
 
 def decode(coded: DataFrame, tokenizer: str) -> DataFrame:
@@ -158,6 +161,15 @@ def _block(held: list[pa.RecordBatch]) -> tuple[list[pa.RecordBatch], list[np.nd
     return held, counts, pc.binary_join_element_wise(space, pieces.dictionary.take(pa.array(order // 2)), ""), rank[codes]
 
 
+def _planes(values: np.ndarray) -> np.ndarray:
+    """One byte plane of 32-bit values after another: the high bytes are nearly all 0."""
+    return np.ascontiguousarray(values.astype("<u4", copy=False).view(np.uint8).reshape(-1, 4).T)
+
+
+def _values(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").reshape(-1)
+
+
 def _name(held: list[pa.RecordBatch], rows: int) -> list[pa.Array]:
     """The name of a block, for so many rows."""
     return [pa.array(np.full(rows, held[0].column(part)[0].as_py(), np.int64)) for part in ("file", "row")]
@@ -179,9 +191,7 @@ def _text_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, lengths in zip(held, counts):
             blobs = []
             for length in lengths:
-                # one byte plane after another: the high bytes are nearly all 0
-                planes = codes[at : at + length].view(np.uint8).reshape(-1, 4).T
-                blobs.append(pack.compress(np.ascontiguousarray(planes)))
+                blobs.append(pack.compress(_planes(codes[at : at + length])))
                 at += length
             columns = [*_name(held, len(batch)), batch.column("id"), pa.array(blobs, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["file", "row", "id", "codes"])
@@ -200,15 +210,14 @@ def _place_ids(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if block != (files[start], rows[start]):
                 block, chunks, table = (files[start], rows[start]), [], None
             if not is_text[start]:
-                chunks.append(part.column("ids"))
+                chunks += [_values(unpack.decompress(blob)) for blob in part.column("words").to_pylist()]
                 continue
             if table is None:
                 table = _id_lists(chunks)
             blobs = part.column("codes").to_pylist()
             sizes = np.array([zstandard.get_frame_parameters(blob).content_size // 4 for blob in blobs])
             for piece in _slices(part, sizes):
-                planes = [np.frombuffer(unpack.decompress(b), np.uint8).reshape(4, -1) for b in piece.column("codes").to_pylist()]
-                mine = [np.ascontiguousarray(p.T).view(np.uint32).reshape(-1) for p in planes]
+                mine = [_values(unpack.decompress(blob)) for blob in piece.column("codes").to_pylist()]
                 lists = table.take(pa.array(np.concatenate(mine)))
                 lengths = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))))
                 ends = lengths[np.concatenate(([0], np.cumsum([len(x) for x in mine])))]
@@ -216,12 +225,16 @@ def _place_ids(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([piece.column("id"), ids], ["id", "ids"])
 
 
-def _id_lists(chunks: list[pa.Array]) -> pa.ListArray:
-    """The ids of the words of a block, by code."""
-    blobs = pa.concat_arrays(chunks).cast(pa.large_binary()) if chunks else pa.array([], pa.large_binary())
-    sizes = pc.binary_length(blobs).to_numpy(zero_copy_only=False) // 4
-    flat = np.frombuffer(b"".join(blobs.to_pylist()), "<i4")
-    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)), pa.array(flat))
+def _id_lists(chunks: list[np.ndarray]) -> pa.ListArray:
+    """The ids of the words of a block, by code. A chunk holds the number of its words, their codes, their numbers of
+    ids and the ids."""
+    counts = [int(c[0]) for c in chunks]
+    codes, sizes, ids = (
+        np.concatenate([np.zeros(0, np.uint32), *parts])
+        for parts in zip(*((c[1 : n + 1], c[n + 1 : 2 * n + 1], c[2 * n + 1 :]) for c, n in zip(chunks, counts)))
+    ) if chunks else (np.zeros(0, np.uint32),) * 3
+    ends = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(ids.astype(np.int32))).take(pa.array(np.argsort(codes)))
 
 
 # ---- vocabulary ------------------------------------------------------------------------------
@@ -239,43 +252,68 @@ def _tokenizer(path: str):
 
 
 def _encoder(path: str):
-    """Encode words that come sorted: each run of equal words once, also across batches."""
+    """Encode words that come sorted: each run of equal words once, also across batches. The ids go on by block."""
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encoded(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, pa.ListArray]]:
         tokenizer, sizes = _tokenizer(path), pc.binary_length(_pieces(path)).to_numpy()
-        last, last_ids = None, b""
+        last, last_ids = None, np.zeros(0, np.int32)
         for batch in batches:
             if not len(batch):
                 continue
             runs = pc.run_end_encode(batch.column("word"), run_end_type=pa.int32())
             words, ends = runs.values.to_pylist(), runs.run_ends.to_numpy()
-            fresh = words[1:] if words[0] == last else words
-            blobs = _encoded(tokenizer, sizes, fresh)
-            if words[0] == last:
-                blobs.insert(0, last_ids)
-            last, last_ids = words[-1], blobs[-1]
-            of_row = np.repeat(np.arange(len(blobs)), np.diff(ends, prepend=0))
-            columns = [*map(batch.column, ("file", "row", "code")), pa.array(blobs, pa.binary()).take(pa.array(of_row))]
-            yield pa.RecordBatch.from_arrays(columns, ["file", "row", "code", "ids"])
+            known = words[0] == last
+            found = [last_ids] * known + _encoded(tokenizer, sizes, words[known:])
+            last, last_ids = words[-1], found[-1]
+            of_row = np.repeat(np.arange(len(found)), np.diff(ends, prepend=0))
+            at = np.concatenate(([0], np.cumsum([len(x) for x in found]))).astype(np.int32)
+            yield batch, pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(found))).take(pa.array(of_row))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch, ids in encoded(batches):
+            held.append((batch, ids))
+            rows += len(batch)
+            if rows >= HELD:
+                yield _by_block(held)
+                held, rows = [], 0
+        if held:
+            yield _by_block(held)
+        pa.default_memory_pool().release_unused()
 
     return run
 
 
-def _encoded(tokenizer, sizes: np.ndarray, words: list[str]) -> list[bytes]:
+def _by_block(held: list[tuple[pa.RecordBatch, pa.ListArray]]) -> pa.RecordBatch:
+    files, rows, codes = (np.concatenate([b.column(c).to_numpy() for b, _ in held]) for c in ("file", "row", "code"))
+    order = np.lexsort((codes, rows, files))
+    files, rows, codes = files[order], rows[order], codes[order]
+    ids = pa.concat_arrays([i for _, i in held]).take(pa.array(order))
+    sizes = ids.value_lengths().to_numpy(zero_copy_only=False)
+    flat, ends = ids.flatten().to_numpy(), np.concatenate(([0], np.cumsum(sizes)))
+    cuts = np.flatnonzero((np.diff(files) != 0) | (np.diff(rows) != 0)) + 1
+    pack, blobs = zstandard.ZstdCompressor(level=1), []
+    starts = np.concatenate(([0], cuts))
+    for a, b in zip(starts, [*cuts, len(codes)]):
+        blobs.append(pack.compress(_planes(np.concatenate(([b - a], codes[a:b], sizes[a:b], flat[ends[a] : ends[b]])))))
+    return pa.RecordBatch.from_arrays([pa.array(files[starts]), pa.array(rows[starts]), pa.array(blobs, pa.binary())], ["file", "row", "words"])
+
+
+def _encoded(tokenizer, sizes: np.ndarray, words: list[str]) -> list[np.ndarray]:
     """The ids of every word. Words that may stand one after another in a text are encoded as one (a call costs more
     than a word); the bytes of the pieces tell where each ends."""
     chain = [i for i, w in enumerate(words) if w[0] == " " and not w[1:2].isspace() and not w[-1].isspace()]
-    found: list[bytes] = [b""] * len(words)
+    found = [np.zeros(0, np.int32)] * len(words)
     links = [chain[at : at + 256] for at in range(0, len(chain), 256)]
     for link, code in zip(links, tokenizer.encode_batch_fast(["".join([words[i] for i in x]) for x in links], add_special_tokens=False)):
-        ids = np.array(code.ids, "<i4")
+        ids = np.array(code.ids, np.int32)
         ends = np.searchsorted(np.cumsum(sizes[ids]), np.cumsum([len(words[i].encode()) for i in link])) + 1
         for i, a, b in zip(link, np.concatenate(([0], ends[:-1])).tolist(), ends.tolist()):
-            found[i] = ids[a:b].tobytes()
+            found[i] = ids[a:b]
     chained = set(chain)
     alone = [i for i in range(len(words)) if i not in chained]
     for i, code in zip(alone, tokenizer.encode_batch_fast([words[i] for i in alone], add_special_tokens=False)):
-        found[i] = np.array(code.ids, "<i4").tobytes()
+        found[i] = np.array(code.ids, np.int32)
     return found
 
 
