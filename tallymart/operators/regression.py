@@ -41,30 +41,34 @@ def simple_fit(df: DataFrame, y: str, x: str, group: list[str] | None = None) ->
 
 
 def no_intercept_fit(df: DataFrame, y: str, x: str) -> DataFrame:
-    """Slope of the line through the origin."""
+    """Slope of the line through the origin; null if x is 0 everywhere."""
     return _both(df, y, x).agg(
         F.count(F.lit(1)).alias("n"),
-        (F.sum(F.col(x) * F.col(y)) / F.sum(F.col(x) * F.col(x))).alias("slope"),
+        F.try_divide(F.sum(F.col(x) * F.col(y)), F.sum(F.col(x) * F.col(x))).alias("slope"),
     )
 
 
 def _with_errors(fit: DataFrame) -> DataFrame:
-    """Residual sum of squares and its mean square on n - 2 degrees of freedom."""
-    ssr = F.greatest(F.col("syy") - F.col("sxy") * F.col("sxy") / F.col("sxx"), F.lit(0.0))
-    return fit.withColumn("ssr", ssr).withColumn("s2", F.col("ssr") / (F.col("n") - 2))
+    """Residual sum of squares and its mean square on n - 2 degrees of freedom; null for a constant x, the latter also
+    without degrees of freedom."""
+    explained = F.try_divide(F.col("sxy") * F.col("sxy"), F.col("sxx"))
+    ssr = F.when(explained.isNotNull(), F.greatest(F.col("syy") - explained, F.lit(0.0)))
+    return fit.withColumn("ssr", ssr).withColumn("s2", F.try_divide("ssr", F.col("n") - 2))
 
 
 def inference(fit: DataFrame, level: float = 0.95) -> DataFrame:
-    """Standard errors, t values, p values and confidence limits of slope and intercept: two rows."""
+    """Standard errors, t values, p values and confidence limits of slope and intercept: two rows. What has a zero
+    denominator (constant x, an exact fit's t) is null."""
     errors = _with_errors(fit)
-    se_slope = F.sqrt(F.col("s2") / F.col("sxx"))
-    se_const = F.sqrt(F.col("s2") * (1 / F.col("n") + F.col("mean_x") * F.col("mean_x") / F.col("sxx")))
+    se_slope = F.sqrt(F.try_divide("s2", "sxx"))
+    level_part = F.try_divide(F.lit(1.0), F.col("n")) + F.try_divide(F.col("mean_x") * F.col("mean_x"), F.col("sxx"))
+    se_const = F.sqrt(F.col("s2") * level_part)
     terms = F.array(
         F.struct(F.lit("intercept").alias("term"), F.col("intercept").alias("coefficient"), se_const.alias("se")),
         F.struct(F.lit("slope").alias("term"), F.col("slope").alias("coefficient"), se_slope.alias("se")),
     )
     rows = errors.select("n", F.explode(terms).alias("r")).select("r.*", (F.col("n") - 2).alias("df"))
-    rows = rows.withColumn("t", F.col("coefficient") / F.col("se"))
+    rows = rows.withColumn("t", F.try_divide("coefficient", "se"))
     return (
         rows.withColumn("p", dist.t_two_sided(F.col("t"), F.col("df")))
         .withColumn("_q", dist.t_critical(F.col("df"), level))
@@ -75,10 +79,10 @@ def inference(fit: DataFrame, level: float = 0.95) -> DataFrame:
 
 
 def fstat_loglik(fit: DataFrame) -> DataFrame:
-    """F statistic (one predictor) and log-likelihood in log form."""
+    """F statistic (one predictor) and log-likelihood in log form; null for a constant x or an exact fit."""
     n = F.col("n").cast("double")
-    f = (F.col("syy") - F.col("ssr")) / F.col("s2")
-    loglik = -n / 2 * (F.log(F.lit(2 * math.pi) * F.col("ssr") / n) + 1)
+    f = F.try_divide(F.col("syy") - F.col("ssr"), F.col("s2"))
+    loglik = -n / 2 * (F.log(F.try_divide(F.lit(2 * math.pi) * F.col("ssr"), n)) + 1)
     return _with_errors(fit).select("n", f.alias("f"), loglik.alias("loglik")).withColumn(
         "p", dist.t_two_sided(F.sqrt("f"), F.col("n") - 2)
     )
@@ -98,7 +102,7 @@ def prediction_interval(df: DataFrame, y: str, x: str, level: float = 0.95) -> D
     fit = one_row(errors.select("n", "mean_x", "sxx", "slope", "intercept", "s2", "q"))
     f = F.col("_fit")
     off = F.col(x) - f["mean_x"]
-    se = F.sqrt(f["s2"] * (1 + 1 / f["n"] + off * off / f["sxx"]))
+    se = F.sqrt(f["s2"] * (1 + F.try_divide(F.lit(1.0), f["n"]) + F.try_divide(off * off, f["sxx"])))
     return (
         _both(df, y, x)
         .withColumn("_fit", fit)
@@ -118,7 +122,7 @@ def predict_new(fit: DataFrame, points: DataFrame, x: str) -> DataFrame:
 
 
 def durbin_watson(df: DataFrame, residual: str, order: list[str]) -> DataFrame:
-    """Sum of squared successive differences over the sum of squares, in a total row order.
+    """Sum of squared successive differences over the sum of squares, in a total row order; null if all are 0.
 
     Rows get distributed positions. Each position then sends its value to its own pair and to the
     next one, so neighbours meet in an aggregate instead of a one-partition window.
@@ -132,7 +136,7 @@ def durbin_watson(df: DataFrame, residual: str, order: list[str]) -> DataFrame:
     steps = sent.groupBy("at").agg(F.sum("signed").alias("step"), F.count(F.lit(1)).alias("ends"))
     change = steps.filter(F.col("ends") == 2).agg(F.sum(F.col("step") * F.col("step"))).scalar()
     return numbered.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(residual) * F.col(residual)).alias("sse")).select(
-        "n", (change / F.col("sse")).alias("dw")
+        "n", F.try_divide(change, F.col("sse")).alias("dw")
     )
 
 
@@ -146,7 +150,7 @@ def fit_without_last(df: DataFrame, y: str, x: str, order: list[str]) -> DataFra
 
 
 def cv_rmse(df: DataFrame, y: str, x: str, order: list[Column], k: int = 10) -> DataFrame:
-    """Pooled root mean squared error over k contiguous folds.
+    """Pooled root mean squared error over k contiguous folds; null if some complement has a constant x.
 
     Each fold's model is fitted on the complement, whose sums are the totals less the fold's own, so
     one pass of sums serves all k fits. Values are shifted by the means first, against cancellation.
@@ -164,10 +168,10 @@ def cv_rmse(df: DataFrame, y: str, x: str, order: list[Column], k: int = 10) ->
     every = Window.partitionBy()  # k rows
     rest = {c: F.sum(c).over(every) - F.col(c) for c in ("n", "su", "sv", "suu", "suv")}
     models = sums.select("*", *(column.alias(f"r_{c}") for c, column in rest.items()))
-    slope = (F.col("r_n") * F.col("r_suv") - F.col("r_su") * F.col("r_sv")) / (
-        F.col("r_n") * F.col("r_suu") - F.col("r_su") * F.col("r_su")
+    slope = F.try_divide(
+        F.col("r_n") * F.col("r_suv") - F.col("r_su") * F.col("r_sv"), F.col("r_n") * F.col("r_suu") - F.col("r_su") * F.col("r_su")
     )
-    models = models.withColumn("b", slope).withColumn("a", (F.col("r_sv") - F.col("b") * F.col("r_su")) / F.col("r_n"))
+    models = models.withColumn("b", slope).withColumn("a", F.try_divide(F.col("r_sv") - F.col("b") * F.col("r_su"), F.col("r_n")))
     a, b = F.col("a"), F.col("b")
     # sum over the fold of (v - a - b u)^2
     sse = (
@@ -175,13 +179,14 @@ def cv_rmse(df: DataFrame, y: str, x: str, order: list[Column], k: int = 10) ->
         + F.col("n") * a * a + 2 * a * b * F.col("su") + b * b * F.col("suu")
     )
     return models.agg(
-        F.sum("n").alias("n"), F.count(F.lit(1)).alias("folds"), F.sqrt(F.sum(sse) / F.sum("n")).alias("rmse")
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("folds"), F.when(F.count(sse) == F.count(F.lit(1)), F.sqrt(F.try_divide(F.sum(sse), F.sum("n")))).alias("rmse")
     )
 
 
 def group_contrasts(df: DataFrame, group: str, value: str) -> DataFrame:
     """y ~ C(group): the intercept is the mean of the first level, each other coefficient the
-    difference of its level's mean. One row per level, with the standard error of the coefficient."""
+    difference of its level's mean. One row per level, with the standard error of the coefficient;
+    null where every level has one row."""
     levels = df.filter(F.col(group).isNotNull() & F.col(value).isNotNull()).groupBy(group).agg(
         F.count(F.lit(1)).alias("n"), F.avg(value).alias("mean"), F.var_pop(value).alias("var")
     )
@@ -191,7 +196,7 @@ def group_contrasts(df: DataFrame, group: str, value: str) -> DataFrame:
     )
     placed = levels.withColumn("_b", base).withColumn("_t", total)
     first = F.col(group) == F.col("_b")["g"]
-    s2 = F.col("_t")["ssr"] / (F.col("_t")["n"] - F.col("_t")["levels"])
+    s2 = F.try_divide(F.col("_t")["ssr"], F.col("_t")["n"] - F.col("_t")["levels"])
     se = F.sqrt(s2 * (1 / F.col("n") + F.when(first, 0.0).otherwise(1 / F.col("_b")["b"]["n"])))
     coefficient = F.col("mean") - F.when(first, 0.0).otherwise(F.col("_b")["b"]["mean"])
     return placed.select(F.col(group).alias("level"), "n", coefficient.alias("coefficient"), se.alias("se"))

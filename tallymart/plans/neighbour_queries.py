@@ -396,13 +396,11 @@ def weighted_history_score(spark, folder):
 @query(
     "user_top_items",
     f"""WITH {RATINGS}, r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY rating DESC, item_id) AS rank FROM ratings)
-    SELECT user_id, c_name AS user_label, item_id, CASE WHEN p_size > 25 THEN p_name ELSE CAST(item_id AS VARCHAR) END AS title, rating, rank
+    SELECT user_id, c_name AS user_label, item_id, p_name AS title, rating, rank
     FROM r JOIN customer ON c_custkey = user_id JOIN part ON p_partkey = item_id WHERE rank <= 3""",
 )
 def user_top_items(spark, folder):
-    # names known for some items only, so that the fallback to the id shows
-    part = tables.table(spark, folder, "part").filter("p_size > 25")
-    names = part.select(F.col("p_partkey").alias("item_id"), F.col("p_name").alias("title"))
+    names = tables.item_names(spark, folder)
     users = tables.table(spark, folder, "customer").select(
         F.col("c_custkey").alias("user_id"), F.col("c_name").alias("user_label")
     )

@@ -1,5 +1,7 @@
 """Ordinary data that leaves a denominator at zero."""
 
+from pyspark.sql import functions as F
+
 from tallymart.operators import classify, hypothesis_tests, neighbours, regression, relational, timeseries
 
 
@@ -14,7 +16,28 @@ def test_constant_columns(spark):
 
 def test_all_zero_ratings(spark):
     rows = spark.createDataFrame([(1, 7, 0.0), (2, 7, 3.0)], "user_id long, item_id long, rating double")
-    assert all(row.cosine == 0 for row in neighbours.cosine_users(rows).collect() if "cosine" in row)
+    assert [(row.user_a, row.user_b, row.similarity) for row in neighbours.cosine_users(rows).collect()] == [(1, 2, 0.0)]
+    given = neighbours.neighbours_of(rows, spark.createDataFrame([(7,)], "item_id long"), 5)
+    assert given.collect() == []
+
+
+def test_regressions_without_variance(spark):
+    flat = spark.createDataFrame([(i, 1.0, float(i), 0.0) for i in range(6)], "i long, x double, y double, zero double")
+    assert regression.no_intercept_fit(flat, "y", "zero").first().slope is None
+    fit = regression.simple_fit(flat, "y", "x")
+    assert [(r.se, r.t, r.p) for r in regression.inference(fit).collect()] == [(None, None, None)] * 2
+    assert regression.fstat_loglik(fit).first().f is None
+    assert regression.cv_rmse(flat, "y", "x", [F.col("i")], 3).first().rmse is None
+    assert regression.durbin_watson(flat, "zero", ["i"]).first().dw is None
+    assert {r.se for r in regression.prediction_interval(flat, "y", "x").collect()} == {None}
+
+
+def test_one_row_in_every_group(spark):
+    rows = spark.createDataFrame([("a", 1.0), ("b", 4.0)], "g string, v double")
+    assert [(r.level, r.coefficient, r.se) for r in regression.group_contrasts(rows, "g", "v").orderBy("level").collect()] == [
+        ("a", 1.0, None),
+        ("b", 3.0, None),
+    ]
 
 
 def test_calendar_covers_all_prices(spark):
