@@ -26,26 +26,35 @@ LANCZOS = [
 
 FRACTION_STEPS = 300
 BISECTION_STEPS = 60
-# Above this many degrees of freedom Student's t is replaced by a transformed normal; the error of
-# the transformation there is below that of the normal tail's fit.
-LARGE_DF = 2000
 
 
-def log_gamma(x: Column) -> Column:
-    """ln Γ(x) for x > 0."""
-    z = x - 1.0
+def _lanczos_series(z: Column) -> Column:
     series = F.lit(LANCZOS[0])
     for k, c in enumerate(LANCZOS[1:], start=1):
         series = series + F.lit(c) / (z + float(k))
+    return series
+
+
+def log_gamma(x: Column) -> Column:
+    """ln Γ(x) for x > 0."""
+    z = x - 1.0
     t = z + 7.5
-    return F.lit(0.5 * math.log(2 * math.pi)) + (z + 0.5) * F.log(t) - t + F.log(series)
+    return F.lit(0.5 * math.log(2 * math.pi)) + (z + 0.5) * F.log(t) - t + F.log(_lanczos_series(z))
+
 
+def log_gamma_step(x: Column, by: Column) -> Column:
+    """ln Γ(x + by) - ln Γ(x), written as one difference: the two terms cancel nearly all digits where x is large."""
+    z = x - 1.0
+    t = z + 7.5
+    series = F.log(_lanczos_series(z + by) / _lanczos_series(z))
+    return (z + 0.5) * F.log1p(by / t) + by * F.log(t + by) - by + series
 
-def _beta_fraction(x: Column, a: Column, b: Column) -> Column:
-    """Continued fraction of the incomplete beta function (modified Lentz evaluation).
 
-    The state carries c and d of the last step and the product h before it, so that no expression is
-    repeated inside a step.
+def _beta_fraction(x: Column, rest: Column, a: Column, b: Column) -> Column:
+    """Continued fraction of the incomplete beta function, both terms of a step taken together (modified Lentz evaluation).
+
+    ``rest`` is 1 - x; only it enters where x is close to 1. The state carries c and d of the last step and the value h
+    before it, so that no expression is repeated inside a step.
     """
     tiny = 1e-300
 
@@ -55,39 +64,42 @@ def _beta_fraction(x: Column, a: Column, b: Column) -> Column:
     def state(c: Column, d: Column, h: Column) -> Column:
         return F.struct(c.alias("c"), d.alias("d"), h.alias("h"))
 
+    lead = a * rest - b * x + 1.0
+
     def step(acc: Column, k: Column) -> Column:
-        m = F.floor(k / 2).cast("double")
-        even = m * (b - m) * x / ((a + m * 2.0 - 1.0) * (a + m * 2.0))
-        odd = -(a + m) * (a + b + m) * x / ((a + m * 2.0) * (a + m * 2.0 + 1.0))
-        top = F.when(k % 2 == 0, even).otherwise(odd)
+        n = k.cast("double")
+        twice = a + n * 2.0
+        top = (a + n - 1.0) * (a + b + n - 1.0) / (twice - 1.0) * n * (b - n) / (twice - 1.0) * x * x
+        level = n + n * (b - n) * x / (twice - 1.0) + (a + n) * (lead + n * (rest + 1.0)) / (twice + 1.0)
         return state(
-            away_from_zero(F.lit(1.0) + top / acc["c"]),
-            F.lit(1.0) / away_from_zero(F.lit(1.0) + top * acc["d"]),
+            away_from_zero(level + top / acc["c"]),
+            F.lit(1.0) / away_from_zero(level + top * acc["d"]),
             acc["h"] * acc["c"] * acc["d"],
         )
 
-    start = state(F.lit(1.0), F.lit(1.0) / away_from_zero(F.lit(1.0) - (a + b) * x / (a + 1.0)), F.lit(1.0))
-    steps = F.sequence(F.lit(2), F.lit(FRACTION_STEPS))
+    start = state(F.lit(1.0 / tiny), F.lit(1.0) / away_from_zero(a * lead / (a + 1.0)), F.lit(tiny))
+    steps = F.sequence(F.lit(1), F.lit(FRACTION_STEPS))
     return F.aggregate(steps, start, step, lambda acc: acc["h"] * acc["c"] * acc["d"])
 
 
-def incomplete_beta(x: Column, a: Column, b: Column) -> Column:
-    """Regularised incomplete beta function I_x(a, b)."""
-    front = F.exp(
-        log_gamma(a + b) - log_gamma(a) - log_gamma(b) + a * F.log(x) + b * F.log(F.lit(1.0) - x)
-    )
-    low = front * _beta_fraction(x, a, b) / a
-    high = F.lit(1.0) - front * _beta_fraction(F.lit(1.0) - x, b, a) / b
+def incomplete_beta(x: Column, a: Column, b: Column, rest: Column | None = None) -> Column:
+    """Regularised incomplete beta function I_x(a, b). ``rest`` is 1 - x where the caller knows it better than by
+    subtraction, which matters where x is close to 1 and ``a`` is large."""
+    rest = F.lit(1.0) - x if rest is None else rest
+    log_x = F.when(x < 0.5, F.log(x)).otherwise(F.log1p(-rest))
+    log_rest = F.when(x < 0.5, F.log1p(-x)).otherwise(F.log(rest))
+    front = F.exp(log_gamma_step(a, b) - log_gamma(b) + a * log_x + b * log_rest)
+    low = front * _beta_fraction(x, rest, a, b)
+    high = F.lit(1.0) - front * _beta_fraction(rest, x, b, a)
     inside = F.when(x < (a + 1.0) / (a + b + 2.0), low).otherwise(high)
-    return F.when(x <= 0, F.lit(0.0)).when(x >= 1, F.lit(1.0)).otherwise(inside)
+    return F.when(x <= 0, F.lit(0.0)).when(rest <= 0, F.lit(1.0)).otherwise(inside)
 
 
 def t_two_sided(t: Column, df: Column) -> Column:
-    """P(|T| > |t|) of Student's t with ``df`` degrees of freedom."""
-    nu = df.cast("double")
-    near_normal = t * (1 - 1 / (4 * nu)) / F.sqrt(1 + t * t / (2 * nu))
-    exact = incomplete_beta(nu / (nu + t * t), nu / 2.0, F.lit(0.5))
-    return F.when(nu > LARGE_DF, normal_two_sided(near_normal)).otherwise(exact)
+    """P(|T| > |t|) of Student's t with ``df`` degrees of freedom: one incomplete beta function for every df. The terms
+    of its fraction tend to those of the normal tail as df grows, so their number need not grow with df."""
+    nu, square = df.cast("double"), t * t
+    return incomplete_beta(nu / (nu + square), nu / 2.0, F.lit(0.5), square / (nu + square))
 
 
 def chi2_two_df_upper(x: Column) -> Column:

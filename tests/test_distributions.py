@@ -1,5 +1,8 @@
 """Tail probabilities against published table values."""
 
+import math
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -18,10 +21,27 @@ def test_t_tail(spark, t, df, p):
     assert value(spark, dist.t_two_sided(F.lit(t), F.lit(df))) == pytest.approx(p, rel=2e-3)
 
 
-def test_t_tail_is_continuous_where_the_formula_changes(spark):
-    low = value(spark, dist.t_two_sided(F.lit(2.1), F.lit(dist.LARGE_DF)))
-    high = value(spark, dist.t_two_sided(F.lit(2.1), F.lit(dist.LARGE_DF + 1)))
-    assert low == pytest.approx(high, rel=1e-4)
+def integrated_tail(t, df, cells=400_000):
+    """Twice the integral of the density beyond t, by Simpson's rule after x = t + u / (1 - u)."""
+    u = np.linspace(0, 1, cells + 1)[:-1]
+    x = t + u / (1 - u)
+    logs = math.lgamma((df + 1) / 2) - math.lgamma(df / 2) - 0.5 * math.log(df * math.pi)
+    y = np.append(np.exp(logs - (df + 1) / 2 * np.log1p(x * x / df)) / (1 - u) ** 2, 0.0)
+    return 2 / cells / 3 * (y[0] + y[-1] + 4 * y[1:-1:2].sum() + 2 * y[2:-1:2].sum())
+
+
+@pytest.mark.parametrize("t", [0.3, 1.0, 1.7, 1.8, 2.5, 6.0])
+@pytest.mark.parametrize("df", [3, 40, 1999, 2000, 2001, 60_000])
+def test_t_tail_is_the_integral_of_the_density(spark, t, df):
+    assert value(spark, dist.t_two_sided(F.lit(t), F.lit(df))) == pytest.approx(integrated_tail(t, df), rel=2e-9)
+
+
+def test_t_tail_falls_smoothly_and_ends_at_the_normal(spark):
+    tails = [value(spark, dist.t_two_sided(F.lit(2.5), F.lit(df))) for df in (1999, 2000, 2001, 2002)]
+    steps = [a - b for a, b in zip(tails, tails[1:])]
+    assert steps == pytest.approx([steps[0]] * 3, rel=5e-3) and steps[0] > 0
+    for t in (0.5, 1.96, 5.0):
+        assert value(spark, dist.t_two_sided(F.lit(t), F.lit(10**12))) == pytest.approx(math.erfc(t / math.sqrt(2)), rel=1e-9)
 
 
 @pytest.mark.parametrize("df, q", [(1, 12.7062), (5, 2.5706), (60, 2.0003), (100000, 1.95999)])
