@@ -45,8 +45,7 @@ def words(text: Column | str) -> Column:
     return F.regexp_extract_all(as_column(text), F.lit(WORD_PATTERN), F.lit(1))
 
 
-def pearson(n: Column, sx: Column, sy: Column, sxx: Column, syy: Column, sxy: Column) -> Column:
-    """Correlation from power sums; 0 without overlap or without variance on either side."""
-    vx = F.greatest(n * sxx - sx * sx, F.lit(0.0))
-    vy = F.greatest(n * syy - sy * sy, F.lit(0.0))
-    return F.when((vx > 0) & (vy > 0), (n * sxy - sx * sy) / (F.sqrt(vx) * F.sqrt(vy))).otherwise(F.lit(0.0))
+def pearson(vx: Column, vy: Column, vxy: Column) -> Column:
+    """Correlation from central moments; 0 without overlap or without variance on either side, never outside -1 to 1."""
+    value = vxy / (F.sqrt(vx) * F.sqrt(vy))
+    return F.when((vx > 0) & (vy > 0), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), value))).otherwise(F.lit(0.0))

@@ -14,16 +14,18 @@ from tallymart.functions.scalar import pearson
 from tallymart.operators.ordering import top_per_group
 from tallymart.operators.pairs import (
     BLOCK_ROWS,
+    cell_products,
     member_pairs,
     mirror,
     pair_sums,
+    power_sums,
     target_pairs,
     target_rows,
     target_shares,
     target_sums,
 )
 from tallymart.operators.relational import error_scores
-from tallymart.operators.skew import attach_totals, salted_join
+from tallymart.operators.skew import HOT_ROWS, attach_totals, salted_join
 from tallymart.session import write_through
 
 USER, ITEM, RATING = "user_id", "item_id", "rating"
@@ -80,7 +82,7 @@ def manhattan_users(ratings: DataFrame, targets: DataFrame, require_overlap: boo
 
 
 def _pearson_of_sums() -> Column:
-    return pearson(F.col("n"), *(F.col(c) for c in ("sx", "sy", "sxx", "syy", "sxy")))
+    return pearson(F.col("vx"), F.col("vy"), F.col("vxy"))
 
 
 def pearson_users(ratings: DataFrame, targets: DataFrame | None = None) -> DataFrame:
@@ -127,14 +129,39 @@ def item_neighbours(ratings: DataFrame, n: int, places: int | None = None) -> Da
 
 
 def item_spread(ratings: DataFrame) -> DataFrame:
-    """Per item: total and N-fold standard deviation over all users, missing ratings counted as 0.
-    Items without variance are left out: their correlation is undefined."""
+    """Per item: number of raters, total and N-fold standard deviation over all users, missing ratings counted as 0.
+    Items without variance are left out: their correlation is undefined.
+
+    The squares are summed about the raters' mean; the users without a rating add a term of that mean, so ratings far
+    from zero lose no digits.
+    """
     users = ratings.agg(F.count_distinct(USER)).scalar()
     sums = ratings.groupBy(ITEM).agg(
-        F.sum(RATING).alias("total"), F.sum(F.col(RATING) * F.col(RATING)).alias("squares")
+        F.count(RATING).alias("raters"), F.sum(RATING).alias("total"), F.avg(RATING).alias("mean"), F.var_pop(RATING).alias("var")
     )
-    variance = users * F.col("squares") - F.col("total") * F.col("total")
-    return sums.select(ITEM, "total", F.sqrt(F.greatest(variance, F.lit(0.0))).alias("spread")).filter("spread > 0")
+    raters = F.col("raters")
+    variance = users * raters * F.col("var") + raters * (users - raters) * F.col("mean") * F.col("mean")
+    return sums.select(ITEM, "raters", "total", F.sqrt(variance).alias("spread")).filter("spread > 0")
+
+
+def _item_covariance(users: Column, x: Column, y: Column) -> Column:
+    """N * N-fold covariance over all users of a co-rated pair (columns n, sx, sy, vxy over the shared users), from the
+    items' totals ``x`` and ``y`` (structs raters, total).
+
+    The users fall into four groups: rated both, one, the other, none. Each adds its own co-moment and that of its
+    means about the means over all users.
+    """
+    n, mean_x, mean_y = F.col("n"), x["total"] / users, y["total"] / users
+    only_x, only_y = x["raters"] - n, y["raters"] - n
+    neither = users - n - only_x - only_y
+    rest_x = F.when(only_x > 0, x["total"] - F.col("sx") - only_x * mean_x).otherwise(0.0)
+    rest_y = F.when(only_y > 0, y["total"] - F.col("sy") - only_y * mean_y).otherwise(0.0)
+    both = n * F.col("vxy") + n * (F.col("sx") / n - mean_x) * (F.col("sy") / n - mean_y)
+    return users * (both - rest_x * mean_y - rest_y * mean_x + neither * mean_x * mean_y)
+
+
+def _within_one(value: Column) -> Column:
+    return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), value))
 
 
 def item_correlation(ratings: DataFrame) -> DataFrame:
@@ -144,23 +171,16 @@ def item_correlation(ratings: DataFrame) -> DataFrame:
     from ``item_spread``; those pairs are not listed.
     """
     users = ratings.agg(F.count_distinct(USER)).scalar()
-    scaled = salted_join(ratings, item_spread(ratings), [ITEM]).select(
-        USER,
-        ITEM,
-        F.struct(
-            (F.col(RATING) / F.col("spread")).alias("part"), (F.col("total") / F.col("spread")).alias("level")
-        ).alias("_v"),
-    )
+    totals = item_spread(ratings).select(ITEM, F.struct("raters", "total", "spread").alias("_totals"))
+    scaled = salted_join(ratings, totals, [ITEM]).select(USER, ITEM, F.struct(F.col(RATING).alias("value"), "_totals").alias("_v"))
+    x, y = F.col("x.value"), F.col("y.value")
     pairs = member_pairs(scaled, USER, ITEM, "_v").groupBy("a", "b").agg(
-        F.count(F.lit(1)).alias("users"),
-        F.sum(F.col("x.part") * F.col("y.part")).alias("product"),
-        F.min(F.col("x.level") * F.col("y.level")).alias("levels"),
-    )
+        F.count(F.lit(1)).alias("n"), F.sum(x).alias("sx"), F.sum(y).alias("sy"), F.covar_pop(x, y).alias("vxy"),
+        F.min("x._totals").alias("_x"), F.min("y._totals").alias("_y"),
+    )
+    value = _item_covariance(users, F.col("_x"), F.col("_y")) / (F.col("_x.spread") * F.col("_y.spread"))
     return pairs.select(
-        F.col("a").alias("item_a"),
-        F.col("b").alias("item_b"),
-        "users",
-        (users * F.col("product") - F.col("levels")).alias("correlation"),
+        F.col("a").alias("item_a"), F.col("b").alias("item_b"), F.col("n").alias("users"), _within_one(value).alias("correlation")
     )
 
 
@@ -182,21 +202,23 @@ def correlation_rows(ratings: DataFrame, targets: DataFrame) -> DataFrame:
     users = ratings.agg(F.count_distinct(USER)).scalar()
     items = item_spread(ratings)
     wanted = targets.select(F.col(targets.columns[0]).alias(ITEM)).distinct()
-    given = items.join(wanted, ITEM, "left_semi").select(F.col(ITEM).alias("target"), F.col("total").alias("own_total"), F.col("spread").alias("own_spread"))
+    totals = F.struct("raters", "total", "spread")
+    given = items.join(wanted, ITEM, "left_semi").select(F.col(ITEM).alias("target"), totals.alias("own"))
     shared = (
         target_shares(ratings, targets, USER, ITEM, RATING)
         .groupBy("target", F.col("other").alias(ITEM))
-        .agg(F.count(F.lit(1)).alias("users"), F.sum(F.col("x") * F.col("y")).alias("product"))
+        .agg(*power_sums(F.col("x"), F.col("y")))
     )
-    value = (users * F.coalesce("product", F.lit(0.0)) - F.col("total") * F.col("own_total")) / (F.col("spread") * F.col("own_spread"))
+    own, other = F.col("own"), F.col("_other")
+    covariance = F.when(F.col("n") > 0, _item_covariance(users, own, other)).otherwise(-own["total"] * other["total"])
     return (
-        target_rows(items, given)
-        .select(ITEM, "total", "spread", "_t.*")
+        target_rows(items.select(ITEM, totals.alias("_other")), given)
+        .select(ITEM, "_other", "_t.*")
         .filter(F.col(ITEM) != F.col("target"))
         .join(shared, ["target", ITEM], "left")
         .select(
-            "target", ITEM, F.coalesce("users", F.lit(0)).alias("users"),
-            F.greatest(F.lit(-1.0), F.least(F.lit(1.0), value)).alias("correlation"),
+            "target", ITEM, F.coalesce("n", F.lit(0)).alias("users"),
+            _within_one(covariance / (own["spread"] * other["spread"])).alias("correlation"),
         )
     )
 
@@ -410,29 +432,14 @@ def user_top_items(
 # ---- memory-based prediction with distance weights -------------------------------------------
 
 
-def _item_products(train: DataFrame, value: str) -> DataFrame:
-    """Item pair sums of value_i * value_j over users, both directions and the diagonal."""
-    off = pair_sums(train, USER, ITEM, value).select("a", "b", F.col("sxy").alias("g"))
-    diagonal = train.groupBy(ITEM).agg(F.sum(F.col(value) * F.col(value)).alias("g")).select(
-        F.col(ITEM).alias("a"), F.col(ITEM).alias("b"), "g"
-    )
-    return mirror(off).unionByName(diagonal)
-
-
-def _history_product(cells: DataFrame, train: DataFrame, value: str, products: DataFrame) -> DataFrame:
-    """Per requested (user, item): sum over the user's training items j of value_j * g(j, item)."""
-    history = train.select(USER, F.col(ITEM).alias("a"), F.col(value).alias("_h"))
-    wanted = cells.select(USER, F.col(ITEM).alias("b"))
-    return (
-        wanted.join(history, USER)
-        .join(products, ["a", "b"])
-        .groupBy(USER, F.col("b").alias(ITEM))
-        .agg(F.sum(F.col("_h") * F.col("g")).alias("product"))
-    )
-
-
 def user_based_cf(
-    train: DataFrame, cells: DataFrame, n_users: int | Column, n_items: int | Column, weights: str = "distance"
+    train: DataFrame,
+    cells: DataFrame,
+    n_users: int | Column,
+    n_items: int | Column,
+    weights: str = "distance",
+    block_rows: int = BLOCK_ROWS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Mean-centred prediction for the requested (user_id, item_id) cells.
 
@@ -447,8 +454,7 @@ def user_based_cf(
             ITEM,
             RATING,
             "mean",
-            (F.col(RATING) / F.col("_len")).alias("unit"),
-            (F.col(RATING) / F.sqrt("_len")).alias("half"),
+            scalar.divide(F.col(RATING), F.col("_len"), 0.0).alias("unit"),
         ),
         "user-cf",
     )
@@ -468,8 +474,8 @@ def user_based_cf(
         )
     )
     mean_total = user_side.agg(F.sum("mean")).scalar()
-    # sum over v of S(u, v) r(v, i) = sum over j of unit(u, j) * sum over v of unit(v, j) r(v, i)
-    product = _history_product(cells, rows, "unit", _item_products(rows, "half"))
+    # sum over the raters v of item i of r(v, i) * cosine(u, v)
+    product = cell_products(cells, rows, USER, ITEM, "unit", "unit", RATING, block_rows, hot_rows)
     placed = (
         cells.join(user_side, USER, "left")
         .join(item_side.select(ITEM, "column_total"), ITEM, "left")
@@ -490,7 +496,14 @@ def user_based_cf(
     )
 
 
-def item_based_cf(train: DataFrame, cells: DataFrame, n_items: int | Column, weights: str = "distance") -> DataFrame:
+def item_based_cf(
+    train: DataFrame,
+    cells: DataFrame,
+    n_items: int | Column,
+    weights: str = "distance",
+    block_rows: int = BLOCK_ROWS,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
     """Weighted mean of the user's row over all items with weights 1 - cosine (or the cosine)."""
     unit = write_through(_unit(train, ITEM), "item-cf")
     user_side = unit.groupBy(USER).agg(
@@ -501,7 +514,8 @@ def item_based_cf(train: DataFrame, cells: DataFrame, n_items: int | Column, wei
         .groupBy(ITEM)
         .agg(F.sum(F.col("unit") * F.col("reach")).alias("s_total"))
     )
-    product = _history_product(cells, unit, RATING, _item_products(unit, "unit"))
+    # sum over the user's items j of r(u, j) * cosine(j, i), taken through the raters of item i
+    product = cell_products(cells, unit, USER, ITEM, RATING, "unit", "unit", block_rows, hot_rows)
     placed = (
         cells.join(user_side.select(USER, "row_total"), USER, "left").join(item_side, ITEM, "left").join(product, [USER, ITEM], "left")
     )

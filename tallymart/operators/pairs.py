@@ -10,6 +10,8 @@ Two shapes:
                   rows, no all-pairs step.
 ``target_rows``   every row beside every target, for results that name all of them: the targets travel
                   in blocks and meet the rows by block number.
+``blocked_join``  two tables with many rows a key on both sides; ``cell_products`` builds on it: for stated
+                  (row, column) cells, entries of a product of three sparse matrices.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ TARGET_BLOCK = 1024
 
 
 def power_sums(x: Column, y: Column) -> list[Column]:
+    """Count, sums, sum of absolute differences and the central moments of a pair of columns. The moments are kept about the
+    running mean and merged, so values far from zero lose nothing; Spark leaves out what a query does not read."""
     return [
         F.count(F.lit(1)).alias("n"),
         F.sum(x).alias("sx"),
@@ -33,6 +37,9 @@ def power_sums(x: Column, y: Column) -> list[Column]:
         F.sum(y * y).alias("syy"),
         F.sum(x * y).alias("sxy"),
         F.sum(F.abs(x - y)).alias("sad"),
+        F.var_pop(x).alias("vx"),
+        F.var_pop(y).alias("vy"),
+        F.covar_pop(x, y).alias("vxy"),
     ]
 
 
@@ -93,7 +100,7 @@ def pair_sums(
     block_rows: int = BLOCK_ROWS,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Power sums (n, sx, sy, sxx, syy, sxy, sad) per unordered pair a < b over their shared groups."""
+    """Sums and central moments (``power_sums``) per unordered pair a < b over their shared groups."""
     pairs = member_pairs(ratings, group, member, value, block_rows, hot_rows)
     return pairs.groupBy("a", "b").agg(*power_sums(F.col("x"), F.col("y")))
 
@@ -153,3 +160,69 @@ def target_rows(rows: DataFrame, targets: DataFrame, block_targets: int = TARGET
     lists = keyed.groupBy("_block").agg(F.collect_list("_t").alias("_ts"))
     spread = rows.withColumn("_block", F.explode(F.sequence(F.lit(0), blocks - 1)))
     return spread.join(lists, "_block").withColumn("_t", F.explode("_ts")).drop("_block", "_ts")
+
+
+def blocked_join(
+    left: DataFrame, right: DataFrame, key: str, block_rows: int = BLOCK_ROWS, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Inner join on ``key`` where both sides may hold many rows of one key: either side of a key is cut into blocks and
+    every pair of blocks meets in a place of its own. A null key meets nothing. Both inputs are read twice."""
+
+    def cut(rows: DataFrame, here: str, there: str, counts: DataFrame, count: str, other: str) -> DataFrame:
+        sized = salted_join(rows.filter(F.col(key).isNotNull()), counts, [key], hot_rows=hot_rows, count=count)
+        mine, others = (F.ceil(F.col(c) / block_rows).cast("int") for c in (count, other))
+        block = F.pmod(F.xxhash64(*rows.columns), mine).cast("int")
+        return sized.select(
+            *rows.columns, block.alias(here), F.explode(F.sequence(F.lit(0), others - 1)).alias(there)
+        )
+
+    sizes = [rows.groupBy(key).agg(F.count(F.lit(1)).alias(name)) for rows, name in ((left, "_nl"), (right, "_nr"))]
+    counts = sizes[0].join(sizes[1], key)
+    placed = cut(left, "_p", "_q", counts, "_nl", "_nr").join(cut(right, "_q", "_p", counts, "_nr", "_nl"), [key, "_p", "_q"])
+    return placed.drop("_p", "_q")
+
+
+def cell_products(
+    cells: DataFrame,
+    rows: DataFrame,
+    row: str,
+    column: str,
+    own: str,
+    shared: str,
+    outer: str,
+    block_rows: int = BLOCK_ROWS,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Per cell (u, i) of ``cells``: ``product``, the sum over v and j of own(u, j) * shared(v, j) * outer(v, i).
+
+    ``rows`` holds (row, column) once each with the three values. A cell goes through the rows v of its own column i; they
+    meet the sums of own * shared over the columns that u and v have in common. Only rows that have a cell get such sums,
+    and no pair of columns is ever built: a row with half of all entries costs its entries times the rows that share them.
+    Repeated cells count once; a cell without a partner has no row. Columns with very many rows are cut into blocks, rows
+    with very many cells are salted: their salt list has at most cells / ``hot_rows`` entries.
+    """
+    wanted = cells.select(F.col(row).alias("_u"), F.col(column).alias("_i")).filter("_u IS NOT NULL AND _i IS NOT NULL").distinct()
+    counts = wanted.groupBy("_u").agg(F.count(F.lit(1)).alias("_cells"))
+    hot = counts.filter(F.col("_cells") > hot_rows).select("_u", F.ceil(F.col("_cells") / hot_rows).cast("int").alias("_parts"))
+    parts = F.coalesce("_parts", F.lit(1))
+    salted = wanted.join(F.broadcast(hot), "_u", "left").select(
+        "_u", "_i", F.pmod(F.xxhash64("_i"), parts).cast("int").alias("_share")
+    )
+    entries = rows.filter(F.col(row).isNotNull() & F.col(column).isNotNull())
+    asked = entries.join(counts, entries[row] == counts["_u"], "left_semi")
+    alike = blocked_join(
+        asked.select(F.col(row).alias("_u"), F.col(column).alias("_j"), F.col(own).alias("_x")),
+        entries.select(F.col(row).alias("_v"), F.col(column).alias("_j"), F.col(shared).alias("_y")),
+        "_j", block_rows, hot_rows,
+    ).groupBy("_u", "_v").agg(F.sum(F.col("_x") * F.col("_y")).alias("_s"))
+    copies = alike.join(F.broadcast(hot), "_u", "left").select(
+        "_u", "_v", "_s", F.explode(F.sequence(F.lit(0), parts - 1)).alias("_share")
+    )
+    met = blocked_join(
+        salted, entries.select(F.col(row).alias("_v"), F.col(column).alias("_i"), F.col(outer).alias("_z")), "_i", block_rows, hot_rows
+    )
+    return (
+        met.join(copies, ["_u", "_v", "_share"])
+        .groupBy(F.col("_u").alias(row), F.col("_i").alias(column))
+        .agg(F.sum(F.col("_s") * F.col("_z")).alias("product"))
+    )

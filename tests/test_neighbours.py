@@ -42,6 +42,12 @@ def distances(m):
     return d
 
 
+def cosines(m):
+    c = 1 - distances(m)
+    np.fill_diagonal(c, 1)  # an empty row is like itself only
+    return c
+
+
 def is_test(u, i):
     return (u + 2 * i) % 4 == 0
 
@@ -63,6 +69,74 @@ def test_memory_based_predictions_match_the_dense_formula(spark, cells, ratings)
         assert r.prediction == pytest.approx(by_item[r.user_id, r.item_id], abs=1e-9)
 
 
+def predicted(cells, m, weights):
+    """Both dense predictions of every cell; ``weights`` turns cosines into weights."""
+    n_users, n_items = m.shape
+    means, d, e = m.mean(axis=1), weights(m), weights(m.T)
+    by_user = means[:, None] + d @ (m - means[:, None]) / d.sum(axis=1)[:, None]
+    by_item = m @ e / e.sum(axis=1)[None, :]
+    return {c: (by_user[c], by_item[c]) for c in cells}
+
+
+@pytest.mark.parametrize("weights", ["distance", "similarity"])
+def test_predictions_are_the_same_in_small_blocks(spark, cells, ratings, weights):
+    test = ratings.filter("(user_id + 2 * item_id) % 4 = 0").select("user_id", "item_id")
+    train = ratings.filter("(user_id + 2 * item_id) % 4 <> 0")
+    m = dense(cells, is_test)
+    asked = [(u, i) for u, i in cells if is_test(u, i)]
+    wanted = predicted(asked, m, distances if weights == "distance" else cosines)
+    for got, side in (
+        (cf.user_based_cf(train, test, USERS, ITEMS, weights, block_rows=2, hot_rows=3), 0),
+        (cf.item_based_cf(train, test, ITEMS, weights, block_rows=2, hot_rows=3), 1),
+    ):
+        got = {(r.user_id, r.item_id): r.prediction for r in got.collect()}
+        assert set(got) == set(asked)
+        for cell, value in got.items():
+            assert value == pytest.approx(wanted[cell][side], abs=1e-9)
+
+
+def test_predictions_where_one_user_has_half_of_the_rows(spark):
+    rng = np.random.default_rng(4)
+    n_users, n_items = 60, 3000
+    m = np.zeros((n_users, n_items))
+    m[0] = rng.integers(1, 6, n_items)
+    for u in range(1, n_users):
+        m[u, rng.choice(n_items, 50, replace=False)] = rng.integers(1, 6, 50)
+    asked = [(0, i) for i in range(0, n_items, 2)] + [(u, 7) for u in range(1, n_users)]
+    for cell in asked:
+        m[cell] = 0
+    train = spark.createDataFrame([(int(u), int(i), float(m[u, i])) for u, i in np.argwhere(m)], "user_id int, item_id int, rating double")
+    test = spark.createDataFrame([*asked, (0, 0)], "user_id int, item_id int")  # a repeated cell is answered twice
+    rated = [c for c in asked if m[:, c[1]].any()]  # the dense form divides by the length of an item without raters
+    wanted = predicted(rated, m, distances)
+    got = cf.user_based_cf(train, test, n_users, n_items, block_rows=256, hot_rows=500).collect()
+    assert len(got) == len(asked) + 1
+    got = {(r.user_id, r.item_id): r.prediction for r in got}
+    for cell in rated:
+        assert got[cell] == pytest.approx(wanted[cell][0], abs=1e-9)
+
+
+def test_cells_with_nulls_or_without_partners(spark, ratings):
+    cells = spark.createDataFrame([(None, 1), (1, None), (77, 1), (1, 77)], "user_id int, item_id int")
+    assert len(cf.user_based_cf(ratings, cells, USERS, ITEMS).collect()) == 4
+    assert cf.item_based_cf(ratings, cells.limit(0), ITEMS).collect() == []
+
+
+def test_correlations_far_from_zero(spark):
+    rng = np.random.default_rng(8)
+    m = 1e8 + rng.integers(1, 6, (7, 5)).astype(float)
+    rows = spark.createDataFrame([(u, i, float(m[u, i])) for u in range(7) for i in range(5)], "user_id int, item_id int, rating double")
+    by_user, by_item = np.corrcoef(m - 1e8), np.corrcoef(m.T - 1e8)
+    for r in cf.pearson_users(rows).collect():
+        assert r.similarity == pytest.approx(by_user[r.user_a, r.user_b], abs=1e-6) and abs(r.similarity) <= 1
+    pairs = cf.item_correlation(rows).collect()
+    assert len(pairs) == 10
+    for r in pairs:
+        assert r.correlation == pytest.approx(by_item[r.item_a, r.item_b], abs=1e-6) and abs(r.correlation) <= 1
+    for r in cf.correlation_rows(rows, spark.createDataFrame([(2,)], "item_id int")).collect():
+        assert r.correlation == pytest.approx(by_item[2, r.item_id], abs=1e-6)
+
+
 def test_item_correlation_counts_missing_as_zero(cells, ratings):
     wanted = np.corrcoef(dense(cells).T)
     for r in cf.item_correlation(ratings).collect():
