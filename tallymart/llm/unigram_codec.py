@@ -3,7 +3,8 @@
 A text gets a mark in front and marks for its spaces; Viterbi search over the pieces of a double-array
 trie finds the segmentation with the highest sum of log scores. A character that no piece spells
 is written as its UTF-8 bytes. As pieces have marks at their start only, a text is searched word
-by word, with the same result as over the whole, and words seen before come from a cache.
+by word, with the same result as over the whole; words seen before come from a cache, new words are
+searched in step with each other. Without that property of the pieces a text is searched whole.
 
 Defined results: null and empty texts have no ids and decode to the empty text. Decoding gives back
 the text, but for literal marks, which become spaces, as they do in the format itself.
@@ -12,7 +13,7 @@ the text, but for literal marks, which become spaces, as they do in the format i
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -22,13 +23,18 @@ from pyspark.sql import functions as F
 
 from tallymart.llm.pieces import MARK, MARK_BYTES, Edges, Vocabulary, read_vocabulary
 
+WAITING = 30_000  # unknown words that are searched together
+BLOCK_BYTES = 1 << 19  # bytes of words in one search
+LONG_WORD = 512  # longer words are searched alone: the steps of a joint search are as many as its longest word has bytes
+
 CHUNK = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
 class Codec:
-    """Encoder and decoder; the cache keeps its short words when it holds ``most`` words."""
+    """Encoder and decoder; the cache keeps its short words when it holds ``most`` words. Whole texts, which a vocabulary
+    with inner marks needs, count as words."""
 
-    def __init__(self, vocab: Vocabulary, most: int = 400_000):
+    def __init__(self, vocab: Vocabulary, most: int = 300_000):
         self.vocab, self.edges, self.most, self.known = vocab, Edges(vocab), most, {}
 
     def best(self, data: bytes) -> list[int]:
@@ -49,31 +55,137 @@ class Codec:
             end = start
         return ids[::-1]
 
-    def _of(self, word: str) -> bytes:
-        """Ids of a part between spaces, as bytes."""
-        ids = self.known.get(word)
-        if ids is None:
-            if len(self.known) > self.most:
-                self.known = {w: i for w, i in self.known.items() if len(w) <= 6}
-            ids = self.known[word] = np.array(self.best((MARK + word).encode()), "<i4").tobytes()
-        return ids
-
     def encode(self, text: str) -> bytes:
         """Ids as little-endian 32-bit numbers."""
+        return next(self.encode_all([text]))
+
+    def encode_all(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """Ids of every text, in order. The texts wait until they hold ``WAITING`` unknown words, which are then searched
+        together."""
+        held, new = [], set()
+        for text in texts:
+            parts = self._parts(text)
+            held.append(parts)
+            new.update(part for part in parts if part not in self.known)
+            if len(new) >= WAITING:
+                yield from self._placed(held, new)
+                held, new = [], set()
+        yield from self._placed(held, new)
+
+    def _parts(self, text: str) -> list[bytes | str]:
+        """What a text falls into, left to right: plain words (for the cache), or bytes with their marks in place."""
         if not text:
-            return b""
+            return []
         if not self.vocab.splits:
-            return np.array(self.best((MARK + text.replace(" ", MARK)).encode()), "<i4").tobytes()
+            return [(MARK + text.replace(" ", MARK)).encode()]
         parts = text.split(" ")
         if "" in parts or MARK in text:
-            chunks = CHUNK.findall(MARK + text.replace(" ", MARK))
-            return b"".join(np.array(self.best(chunk.encode()), "<i4").tobytes() for chunk in chunks)
+            return [chunk.encode() for chunk in CHUNK.findall(MARK + text.replace(" ", MARK))]
+        return parts
+
+    def _placed(self, held: list[list[bytes | str]], new: set[bytes | str]) -> Iterator[bytes]:
         known = self.known
-        for part in set(parts).difference(known):
-            self._of(part)
-        if self.known is not known:  # the cache was renewed on the way
-            return b"".join(map(self._of, parts))
-        return b"".join(map(known.__getitem__, parts))
+        if len(known) > self.most:
+            self.known = known = {w: i for w, i in known.items() if len(w) <= 6}
+            new = {part for parts in held for part in parts if part not in known}
+        self._learn(list(new))
+        for parts in held:
+            yield b"".join(map(known.__getitem__, parts))
+
+    def _learn(self, parts: list[bytes | str]) -> None:
+        """Put the ids of new parts into the cache, short ones in blocks of ``BLOCK_BYTES``."""
+        block, room = [], BLOCK_BYTES
+        for part in parts:
+            data = part if isinstance(part, bytes) else (MARK + part).encode()
+            if len(data) > LONG_WORD:
+                self.known[part] = np.array(self.best(data), "<i4").tobytes()
+                continue
+            block.append((part, data))
+            room -= len(data)
+            if room <= 0:
+                self._learn_block(block)
+                block, room = [], BLOCK_BYTES
+        if block:
+            self._learn_block(block)
+
+    def _learn_block(self, block: list[tuple[bytes | str, bytes]]) -> None:
+        blob, cuts = self.lockstep([data for _, data in block])
+        ends = (cuts * 4).tolist()
+        for (part, _), low, high in zip(block, ends, ends[1:]):
+            self.known[part] = blob[low:high]
+
+    def lockstep(self, words: list[bytes]) -> tuple[bytes, np.ndarray]:
+        """Ids of all words one after another, and where each word's ids start and end: the search of ``best`` for many
+        words at once, with the same sums in the same order.
+
+        All places of all words go down the trie together, a byte a step. Then the words take their first place
+        together, their second, and so on: the edges of one place end at different places, so no two of a step meet.
+        """
+        vocab = self.vocab
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        stop = np.cumsum(size)
+        data = np.frombuffer(b"".join(words), np.uint8)
+        total = len(data)
+        limit = np.repeat(stop, size)  # where the word of a place ends
+        place = np.arange(total) - np.repeat(stop - size, size)  # place in the word
+        heads = np.flatnonzero((data & 0xC0) != 0x80)
+        lead = data[heads]
+        width = np.where(lead < 0x80, 1, np.where(lead < 0xE0, 2, np.where(lead < 0xF0, 3, 4)))
+        single = np.zeros(total, bool)
+        wide = np.zeros(total, np.int64)
+        wide[heads] = width
+        starts, ends, pieces = [], [], []
+        at, slot, here = heads, np.zeros(len(heads), np.int64), heads
+        while len(at):
+            base = vocab.base[slot].astype(np.int64)
+            nxt = base + data[here]
+            on = (base > 0) & (vocab.check[nxt] == slot)
+            at, slot, here = at[on], nxt[on], here[on] + 1
+            piece = vocab.value[slot]
+            hit = piece >= 0
+            starts.append(at[hit])
+            ends.append(here[hit])
+            pieces.append(piece[hit])
+            single[at[hit & (here - at == wide[at])]] = True
+            on = here < limit[at]
+            at, slot, here = at[on], slot[on], here[on]
+        bare = heads[~single[heads]]  # no piece spells the character
+        starts.append(bare)
+        ends.append(np.minimum(bare + wide[bare], limit[bare]))
+        pieces.append(np.full(len(bare), -1, vocab.value.dtype))
+        start, end, piece = (np.concatenate(c) for c in (starts, ends, pieces))
+        cost = np.where(piece >= 0, vocab.score[piece], self.edges.byte_score * (end - start))
+        order = np.argsort(place[start], kind="stable")
+        start, end, piece, cost = start[order], end[order], piece[order], cost[order]
+        steps = np.searchsorted(place[start], np.arange(int(size.max()) + 1))
+        # the state after byte e of a word stands at e; a word's first places take 0 from no state
+        score = np.full(total, -np.inf)
+        back = np.zeros(total, np.int64)
+        taken = np.full(total, -1, np.int64)
+        for step, (low, high) in enumerate(zip(steps, steps[1:])):
+            if low == high:
+                continue
+            s, e = start[low:high], end[low:high] - 1
+            value = cost[low:high] + (score[s - 1] if step else 0.0)
+            more = value > score[e]
+            e = e[more]
+            score[e], back[e], taken[e] = value[more], s[more], piece[low:high][more]
+        ids = np.full(total, -1, np.int64)
+        by_byte = np.array(vocab.bytes_, np.int64)
+        last = stop - 1
+        while len(last):
+            first, one = back[last], taken[last]
+            plain = one >= 0
+            ids[first[plain]] = one[plain]
+            spelled, upto = first[~plain], last[~plain]
+            for k in range(4):
+                at = spelled + k
+                at = at[at <= upto]
+                ids[at] = by_byte[data[at]]
+            last = (first - 1)[place[first] > 0]
+        some = ids >= 0
+        cuts = np.concatenate(([0], np.cumsum(some)[stop - 1]))
+        return ids[some].astype("<i4").tobytes(), cuts
 
     def decode(self, ids: list[int]) -> str:
         data = b"".join(map(self.vocab.text.__getitem__, ids)).replace(MARK_BYTES, b" ")
@@ -93,7 +205,7 @@ def encode(text: str | Column, model: str) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         coded = codec(model)
         for batch in batches:
-            rows = [coded.encode(value.as_py() or "") for value in batch]
+            rows = list(coded.encode_all(value.as_py() or "" for value in batch))
             offsets = np.cumsum([0, *(len(row) // 4 for row in rows)]).astype(np.int32)
             ids = np.frombuffer(b"".join(rows), "<i4")
             yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 from collections import defaultdict
 
 import numpy as np
@@ -17,6 +18,7 @@ from tallymart.llm import (
     fm_substring,
     lattice_scoring,
     path_templates,
+    pieces,
     secret_ownership,
     unigram_codec,
     vector_packing,
@@ -215,3 +217,39 @@ def test_smallest_owners_against_every_pair():
         for place, value in enumerate(least):
             window = tuple(segment[place : place + 9])
             assert value == min(owner for owner, own in zip(owners, held) if window in own)
+
+
+def exhaustive(data, known, byte_cost):
+    """The highest score over all ways to cut ``data`` into pieces, or into a character's bytes where none spells it."""
+    best = {len(data): 0.0}
+    for start in reversed(range(len(data))):
+        if data[start] & 0xC0 == 0x80:
+            continue
+        width = next(w for w in (1, 2, 3, 4) if start + w == len(data) or data[start + w] & 0xC0 != 0x80)
+        ways = [cost + best[start + len(p)] for p, cost in known.items() if data.startswith(p, start)]
+        if data[start : start + width] not in known:
+            ways.append(byte_cost * width + best[start + width])
+        best[start] = max(ways)
+    return best[0]
+
+
+@pytest.mark.parametrize("inner", [False, True])
+def test_unigram_ids_are_the_best_of_all_segmentations(inner):
+    """Against all segmentations, in blocks and alone, with a vocabulary of its own; ``inner``: a piece with a mark inside."""
+    rng = random.Random(6)
+    plain = {"".join(rng.choice("abcé漢▁"[: 6 - (n > 0)]) for n in range(rng.randrange(1, 5))) for _ in range(60)} - {"c", "漢"}
+    plain = sorted({"▁" + p.strip("▁") if p.startswith("▁") else p for p in plain} | {"▁"} | ({"a▁b"} if inner else set()))
+    scores = [(p, -rng.random() * 9 - 0.5) for p in plain]
+    bytes_ = list(range(len(scores), len(scores) + 256))
+    vocab = pieces.vocabulary(scores + [(f"<0x{b:02X}>", -12.0) for b in range(256)], bytes_)
+    coded = unigram_codec.Codec(vocab, most=50)
+    assert vocab.splits is not inner
+    texts = ["".join(rng.choice("aabbcé漢😀 ") for _ in range(rng.randrange(0, 14))) for _ in range(400)] + ["", " ", "  a ", "a▁b", "ab " * 900, "b" * 2000]
+    known = {p.encode(): s for p, s in scores}
+    for text, ids in zip(texts, coded.encode_all(texts), strict=True):
+        ids = np.frombuffer(ids, "<i4").tolist()
+        assert ids == np.frombuffer(coded.encode(text), "<i4").tolist()
+        marked = ("▁" + text.replace(" ", "▁")).encode() if text else b""
+        assert b"".join(vocab.text[i] for i in ids) == marked
+        assert sum(float(vocab.score[i]) for i in ids) == pytest.approx(exhaustive(marked, known, -12.0))
+        assert coded.decode(ids) == text.replace("▁", " ")
