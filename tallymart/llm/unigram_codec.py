@@ -66,7 +66,7 @@ class Codec:
         for text in texts:
             parts = self._parts(text)
             held.append(parts)
-            new.update(part for part in parts if part not in self.known)
+            new.update(set(parts).difference(self.known))
             if len(new) >= WAITING:
                 yield from self._placed(held, new)
                 held, new = [], set()
@@ -94,25 +94,18 @@ class Codec:
 
     def _learn(self, parts: list[bytes | str]) -> None:
         """Put the ids of new parts into the cache, short ones in blocks of ``BLOCK_BYTES``."""
-        block, room = [], BLOCK_BYTES
-        for part in parts:
-            data = part if isinstance(part, bytes) else (MARK + part).encode()
-            if len(data) > LONG_WORD:
-                self.known[part] = np.array(self.best(data), "<i4").tobytes()
-                continue
-            block.append((part, data))
-            room -= len(data)
-            if room <= 0:
-                self._learn_block(block)
-                block, room = [], BLOCK_BYTES
-        if block:
-            self._learn_block(block)
-
-    def _learn_block(self, block: list[tuple[bytes | str, bytes]]) -> None:
-        blob, cuts = self.lockstep([data for _, data in block])
-        ends = (cuts * 4).tolist()
-        for (part, _), low, high in zip(block, ends, ends[1:]):
-            self.known[part] = blob[low:high]
+        coded = [part if isinstance(part, bytes) else (MARK + part).encode() for part in parts]
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+        for at in np.flatnonzero(sizes > LONG_WORD).tolist():
+            self.known[parts[at]] = np.array(self.best(coded[at]), "<i4").tobytes()
+        short = np.flatnonzero(sizes <= LONG_WORD)
+        block = np.cumsum(sizes[short]) // BLOCK_BYTES
+        for places in np.split(short, np.flatnonzero(np.diff(block)) + 1):
+            if len(places):
+                at = places.tolist()
+                blob, cuts = self.lockstep([coded[i] for i in at])
+                ends = (cuts * 4).tolist()
+                self.known.update((parts[i], blob[low:high]) for i, low, high in zip(at, ends, ends[1:]))
 
     def lockstep(self, words: list[bytes]) -> tuple[bytes, np.ndarray]:
         """Ids of all words one after another, and where each word's ids start and end: the search of ``best`` for many
@@ -155,7 +148,7 @@ class Codec:
         pieces.append(np.full(len(bare), -1, vocab.value.dtype))
         start, end, piece = (np.concatenate(c) for c in (starts, ends, pieces))
         cost = np.where(piece >= 0, vocab.score[piece], self.edges.byte_score * (end - start))
-        order = np.argsort(place[start], kind="stable")
+        order = np.argsort(place[start].astype(np.min_scalar_type(int(size.max()))), kind="stable")
         start, end, piece, cost = start[order], end[order], piece[order], cost[order]
         steps = np.searchsorted(place[start], np.arange(int(size.max()) + 1))
         # the state after byte e of a word stands at e; a word's first places take 0 from no state
@@ -220,7 +213,9 @@ def decode(ids: str | Column, model: str) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         coded = codec(model)
         for batch in batches:
-            yield pa.array([coded.decode(value.as_py() or []) for value in batch], pa.string())
+            cuts, ids, gone = np.asarray(batch.offsets), np.asarray(batch.values), batch.is_null().to_pylist()
+            rows = zip(cuts, cuts[1:], gone)
+            yield pa.array([coded.decode([] if null else ids[low:high].tolist()) for low, high, null in rows], pa.string())
 
     return run.asNondeterministic()(F.col(ids) if isinstance(ids, str) else ids)
 

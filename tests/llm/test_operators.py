@@ -136,6 +136,8 @@ def test_codec_round_trip(docs):
     coded = docs.select("text", unigram_codec.encode("text", PIECES).alias("ids"))
     rows = coded.withColumn("back", unigram_codec.decode("ids", PIECES)).collect()
     assert all(row.back == (row.text or "").replace("▁", " ") for row in rows)
+    lists = docs.sparkSession.createDataFrame([(1, None), (2, []), (3, rows[0].ids)], "i int, ids array<int>").coalesce(1)
+    assert [r.t for r in lists.select(unigram_codec.decode("ids", PIECES).alias("t")).collect()] == ["", "", rows[0].back]
 
 
 def _all_segmentations(data: bytes, scores: dict) -> float:
