@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymart.llm.components import components
-from tallymart.llm.rows import ROW_KEY, WordHashes, as_bytes, mixed, ngram_hashes, with_row_key
+from tallymart.llm.rows import ROW_KEY, WordHashes, as_bytes, mixed, ngram_hashes, with_row_key, without_row_key
 from tallymart.session import write_through
 
 BAND = Fraction(7, 5)  # sizes of a band differ by less than this factor
@@ -325,4 +325,4 @@ def drop_near_duplicates(
     judged = found.join(first, "component_id")
     same = [F.col(f"best.{name}") == F.col(name) for name in ROW_KEY]
     gone = judged.filter(~(same[0] & same[1])).select(*ROW_KEY)
-    return keyed.join(gone, ROW_KEY, "left_anti").drop(*ROW_KEY)
+    return without_row_key(keyed.join(gone, ROW_KEY, "left_anti")).select(*(f"`{c}`" for c in docs.columns))

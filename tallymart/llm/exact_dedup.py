@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymart.llm.rows import ROW_KEY, with_row_key
+from tallymart.llm.rows import ROW_KEY, with_row_key, without_row_key
 from tallymart.session import write_through
 
 WHITESPACE = " \t\n\x0b\x0c\r"
@@ -81,4 +81,4 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The rows of ``docs`` that stay, with all their columns."""
     keyed = with_row_key(docs)
     gone = duplicate_groups(keyed, id_col, text_col).filter("NOT kept").select(*ROW_KEY)
-    return keyed.join(gone, ROW_KEY, "left_anti").drop(*ROW_KEY)
+    return without_row_key(keyed.join(gone, ROW_KEY, "left_anti")).select(*(f"`{c}`" for c in docs.columns))

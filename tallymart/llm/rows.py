@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import numpy as np
 import xxhash
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,23 +12,35 @@ from tallymart.session import write_through
 ROW_KEY = ["_row_file", "_row_index"]
 
 
+_OWN = {"row_key": True}
+
+
 def with_row_key(df: DataFrame) -> DataFrame:
     """Add a key that tells rows apart even where they are equal: file and position in it.
 
-    Both survive a repeated task. A frame that does not come straight from Parquet files is written to
-    the shared folder first. A frame that has the key keeps it.
+    Both survive a repeated task. Only what ``as_scan`` takes as it is has one row for each place in a file; every
+    other frame is written to the shared folder first. A frame that this function gave its key keeps it. The caller's
+    columns of the key's names step aside (``without_row_key`` gives them their names back).
     """
-    if set(ROW_KEY) <= set(df.columns):
+    if all(name in df.columns and df.schema[name].metadata.get("row_key") for name in ROW_KEY):
         return df
-    try:
-        return _keyed(df)
-    except AnalysisException:
-        return _keyed(write_through(df, "rows"))
+    scan = as_scan(df)
+    place = scan.metadataColumn("_metadata")
+    keyed = scan.select(
+        *(F.col(f"`{c}`").alias(_aside(c) if c in ROW_KEY else c) for c in scan.columns),
+        F.xxhash64(place["file_path"]).alias(ROW_KEY[0], metadata=_OWN),
+        place["row_index"].alias(ROW_KEY[1], metadata=_OWN),
+    )
+    return keyed
+
+
+def _aside(name: str) -> str:
+    return f"{name}_of_caller"
 
 
-def _keyed(df: DataFrame) -> DataFrame:
-    file, position = F.xxhash64("_metadata.file_path"), F.col("_metadata.row_index")
-    return df.select("*", file.alias(ROW_KEY[0]), position.alias(ROW_KEY[1]))
+def without_row_key(keyed: DataFrame) -> DataFrame:
+    """The frame as the caller gave it."""
+    return keyed.drop(*ROW_KEY).withColumnsRenamed({_aside(name): name for name in ROW_KEY})
 
 
 def as_scan(df: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.llm.rows import ROW_KEY, with_row_key
+from tallymart.llm.rows import ROW_KEY, with_row_key, without_row_key
 from tallymart.session import write_through
 
 
@@ -139,10 +139,13 @@ def redacted(
 ) -> DataFrame:
     """``docs`` with every live-looking span replaced by ``mark``; copied examples and all other text stay."""
     keyed = with_row_key(docs)
+    found = "_spans"
+    while found in keyed.columns:  # the caller may have a column of that name
+        found += "_"
     live = scan(keyed, id_col, text_col, owner_col).select(
-        *ROW_KEY, F.filter("spans", lambda s: s["live"]).alias("_spans")
+        *ROW_KEY, F.filter("spans", lambda s: s["live"]).alias(found)
     )
-    live = live.filter("size(_spans) > 0")
+    live = live.filter(F.size(found) > 0)
     text = F.col(text_col)
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
@@ -153,8 +156,8 @@ def redacted(
         return F.struct(F.greatest(state["at"], span["stop"]).alias("at"), out.alias("out"))
 
     cut = F.aggregate(
-        "_spans", start, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text)))
+        found, start, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text)))
     )
     both = keyed.join(live, ROW_KEY, "left")
-    changed = both.withColumn(text_col, F.when(F.col("_spans").isNull(), text).otherwise(cut))
-    return changed.select(*docs.columns)
+    changed = both.withColumn(text_col, F.when(F.col(found).isNull(), text).otherwise(cut))
+    return without_row_key(changed).select(*(f"`{c}`" for c in docs.columns))

@@ -169,18 +169,19 @@ def pack(parts: DataFrame, capacity: Capacity = Capacity(), group_rows: int = 10
     """Add ``sequence_id`` and ``offset`` to rows that have a ``length`` up to ``capacity.tokens``."""
     fixed = write_through(parts, "pieces")
     groups = max(1, -(-fixed.count() // group_rows))
-    dealt = fixed.withColumn(
-        "_group", F.pmod(F.xxhash64("_metadata.file_path", "_metadata.row_index"), F.lit(groups)).cast("long")
-    )
+    place_of, key = fixed.metadataColumn("_metadata"), "_group"
+    while key in parts.columns:  # the caller may have a column of that name
+        key += "_"
+    dealt = fixed.select("*", F.pmod(F.xxhash64(place_of["file_path"], place_of["row_index"]), F.lit(groups)).cast("long").alias(key))
     names = parts.columns
 
     def place(table: pa.Table) -> pa.Table:
         lengths = table.column("length").to_numpy().astype(np.int64)
         bins, offsets = best_fit(lengths, capacity)
-        group = table.column("_group")[0].as_py()
+        group = table.column(key)[0].as_py()
         out = table.select(names)
         out = out.append_column("sequence_id", pa.array((group << 32) + bins, pa.int64()))
         return out.append_column("offset", pa.array(offsets, pa.int64()))
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in parts.schema)
-    return dealt.groupBy("_group").applyInArrow(place, f"{schema}, sequence_id long, offset long")
+    return dealt.groupBy(key).applyInArrow(place, f"{schema}, sequence_id long, offset long")

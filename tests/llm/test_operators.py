@@ -19,6 +19,7 @@ from tallymart.llm import (
     lattice_scoring,
     path_templates,
     pieces,
+    rows,
     secret_ownership,
     unigram_codec,
     vector_packing,
@@ -255,3 +256,46 @@ def test_unigram_ids_are_the_best_of_all_segmentations(inner):
         assert b"".join(vocab.text[i] for i in ids) == marked
         assert sum(float(vocab.score[i]) for i in ids) == pytest.approx(exhaustive(marked, known, -12.0))
         assert coded.decode(ids) == text.replace("▁", " ")
+
+
+def _files(spark, tmp_path, docs, **more):
+    path = str(tmp_path / "docs")
+    docs.withColumns(more).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _derived(name, scan):
+    if name == "scan":
+        return scan.filter("n_chars >= 0 OR n_chars IS NULL").select("*")
+    if name == "explode":
+        return scan.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
+    if name == "join":
+        return scan.join(scan.sparkSession.range(2).withColumnRenamed("id", "copy"), F.col("copy") < 2)
+    return scan.unionByName(scan)
+
+
+@pytest.mark.parametrize("name", ["scan", "explode", "join", "union"])
+def test_row_keys_of_derived_frames(spark, docs, tmp_path, name):
+    frame = _derived(name, _files(spark, tmp_path, docs))
+    keyed = rows.with_row_key(frame)
+    assert keyed.count() == frame.count() == keyed.select(*rows.ROW_KEY).distinct().count()
+    assert rows.with_row_key(keyed) is keyed
+    texts = {(r.text or "").translate(dict.fromkeys([32, 9, 10, 11, 12, 13], "")) for r in docs.collect()}
+    left = exact_dedup.drop_duplicates(frame)
+    assert left.columns == frame.columns and left.count() == len(texts)
+    assert count_vector_join.drop_near_duplicates(frame).filter("doc_id = 0").count() == 1
+
+
+def test_clashing_names(spark, docs, tmp_path):
+    clash = dict.fromkeys(["_metadata", "_spans", "_group", "_row_file", "_row_index"], F.lit("x"))
+    frame = _files(spark, tmp_path, docs, **clash)
+    want = exact_dedup.drop_duplicates(docs).count()
+    plain = {r.doc_id: r.text for r in secret_ownership.redacted(docs).collect()}
+    for done in (exact_dedup.drop_duplicates, count_vector_join.drop_near_duplicates, secret_ownership.redacted):
+        out = done(frame)
+        assert out.columns == frame.columns and out.filter("_row_file = 'x' AND _metadata = 'x' AND _spans = 'x'").count() == out.count()
+    assert exact_dedup.drop_duplicates(frame).count() == want
+    assert {r.doc_id: r.text for r in secret_ownership.redacted(frame).collect()} == plain
+    parts = frame.select("*", F.lit(100).alias("length"))
+    packed = vector_packing.pack(parts)
+    assert packed.count() == frame.count() and packed.filter("_group = 'x'").count() == frame.count()
