@@ -1,17 +1,16 @@
-"""Least squares. One-predictor models are closed forms over one aggregate; several predictors use
-MLlib's normal-equation solver, whose work per row is distributed."""
+"""Least squares. One-predictor models are closed forms over one aggregate; models with several predictors are
+solved from the co-moments of all columns (``gram``)."""
 
 from __future__ import annotations
 
 import math
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymart.functions import distributions as dist
-from tallymart.operators.ordering import number_rows
+from tallymart.operators.gram import LinearFit, grams
+from tallymart.operators.ordering import lagged
 from tallymart.operators.relational import contiguous_folds
 from tallymart.operators.skew import one_row
 
@@ -122,22 +121,13 @@ def predict_new(fit: DataFrame, points: DataFrame, x: str) -> DataFrame:
 
 
 def durbin_watson(df: DataFrame, residual: str, order: list[str]) -> DataFrame:
-    """Sum of squared successive differences over the sum of squares, in a total row order; null if all are 0.
-
-    Rows get distributed positions. Each position then sends its value to its own pair and to the
-    next one, so neighbours meet in an aggregate instead of a one-partition window.
-    """
-    numbered = number_rows(df.select(*order, residual), [F.col(c) for c in order], "_no").select("_no", residual)
-    sent = numbered.select(
-        F.col(residual).alias("e"),
-        F.explode(F.array(F.struct(F.col("_no").alias("at"), F.lit(1).alias("sign")),
-                          F.struct((F.col("_no") + 1).alias("at"), F.lit(-1).alias("sign")))).alias("s"),
-    ).select("s.at", (F.col("e") * F.col("s.sign")).alias("signed"))
-    steps = sent.groupBy("at").agg(F.sum("signed").alias("step"), F.count(F.lit(1)).alias("ends"))
-    change = steps.filter(F.col("ends") == 2).agg(F.sum(F.col("step") * F.col("step"))).scalar()
-    return numbered.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(residual) * F.col(residual)).alias("sse")).select(
-        "n", F.try_divide(change, F.col("sse")).alias("dw")
+    """Sum of squared successive differences over the sum of squares, in a total row order; null if all are 0."""
+    e, before = F.col(residual), F.col("_before")
+    pairs = lagged(df.select(*order, residual), [F.col(c) for c in order], _before=residual)
+    sums = pairs.agg(
+        F.count(F.lit(1)).alias("n"), F.sum(e * e).alias("sse"), F.sum((e - before) * (e - before)).alias("change")
     )
+    return sums.select("n", F.try_divide("change", "sse").alias("dw"))
 
 
 def fit_without_last(df: DataFrame, y: str, x: str, order: list[str]) -> DataFrame:
@@ -205,46 +195,50 @@ def group_contrasts(df: DataFrame, group: str, value: str) -> DataFrame:
 # ---- several predictors ----------------------------------------------------------------------
 
 
-def fit_multi(df: DataFrame, y: str, predictors: list[str]) -> LinearRegressionModel:
-    rows = df.select(y, *predictors).na.drop()
-    features = VectorAssembler(inputCols=predictors, outputCol="features").transform(rows)
-    return LinearRegression(labelCol=y, solver="normal", standardization=False).fit(features)
+def fit_multi(df: DataFrame, y: str, predictors: list[str]) -> LinearFit:
+    return grams(df, [y, *predictors]).of([y, *predictors]).fit(y, predictors)
+
+
+def coefficient_table(df: DataFrame, model: LinearFit, predictors: list[str]) -> DataFrame:
+    """Coefficient, standard error, t and p per term with the model's R2: one row per term. What has a zero
+    denominator or no degrees of freedom is null."""
 
+    def known(value: float) -> float | None:
+        return float(value) if math.isfinite(value) else None
 
-def coefficient_table(df: DataFrame, model: LinearRegressionModel, predictors: list[str]) -> DataFrame:
-    """Coefficient, standard error, t and p per term with the model's R2: one row per term."""
-    s = model.summary
-    terms = [*predictors, "intercept"]
-    values = [*model.coefficients.toArray().tolist(), model.intercept]
+    values = [*model.coefficients.tolist(), model.intercept]
     rows = [
-        (term, float(v), float(se), float(t), float(p), float(s.r2), float(s.r2adj))
-        for term, v, se, t, p in zip(terms, values, s.coefficientStandardErrors, s.tValues, s.pValues)
+        (term, known(v), known(se), model.df, known(model.r2), known(model.r2_adj))
+        for term, v, se in zip([*predictors, "intercept"], values, model.se.tolist())
     ]
-    return df.sparkSession.createDataFrame(
-        rows, "term string, coefficient double, se double, t double, p double, r2 double, r2_adj double"
-    )
+    table = df.sparkSession.createDataFrame(
+        rows, "term string, coefficient double, se double, df long, r2 double, r2_adj double"
+    ).withColumn("t", F.try_divide("coefficient", "se"))
+    p = F.when(F.col("df") > 0, dist.t_two_sided(F.col("t"), F.greatest("df", F.lit(1))))
+    return table.select("term", "coefficient", "se", "t", p.alias("p"), "r2", "r2_adj")
 
 
-def apply_multi(df: DataFrame, model: LinearRegressionModel, predictors: list[str], name: str) -> DataFrame:
+def apply_multi(df: DataFrame, model: LinearFit, predictors: list[str], name: str) -> DataFrame:
     """Prediction as a plain expression of the predictors: no vector column is built."""
     out = F.lit(float(model.intercept))
-    for column, weight in zip(predictors, model.coefficients.toArray().tolist()):
+    for column, weight in zip(predictors, model.coefficients.tolist()):
         out = out + F.lit(float(weight)) * F.col(column)
     return df.withColumn(name, out)
 
 
 def partial_regression(df: DataFrame, y: str, predictors: list[str], keep: list[str]) -> DataFrame:
     """Per row and predictor: residuals of y and of the predictor on the other predictors, and the
-    component plus residual of the full model. Both residuals are expressions on the same row, so
-    nothing is joined."""
-    full = fit_multi(df, y, predictors)
-    rows = apply_multi(df.select(*keep, y, *predictors).na.drop(), full, predictors, "_full")
-    weights = dict(zip(predictors, full.coefficients.toArray().tolist()))
+    component plus residual of the full model. One scan serves all models; both residuals are expressions on the
+    same row, so nothing is joined. Rows with a null in y or a predictor are left out."""
+    moments = grams(df, [y, *predictors]).of([y, *predictors])
+    full = moments.fit(y, predictors)
+    rows = apply_multi(df.select(*keep, y, *predictors).na.drop(subset=[y, *predictors]), full, predictors, "_full")
+    weights = dict(zip(predictors, full.coefficients.tolist()))
     parts = []
     for p in predictors:
         others = [c for c in predictors if c != p]
-        rows = apply_multi(rows, fit_multi(df, y, others), others, f"_y_{p}")
-        rows = apply_multi(rows, fit_multi(df, p, others), others, f"_x_{p}")
+        rows = apply_multi(rows, moments.fit(y, others), others, f"_y_{p}")
+        rows = apply_multi(rows, moments.fit(p, others), others, f"_x_{p}")
         parts.append(
             F.struct(
                 F.lit(p).alias("predictor"),
@@ -259,17 +253,16 @@ def partial_regression(df: DataFrame, y: str, predictors: list[str], keep: list[
 def split_scores(
     train: DataFrame, test: DataFrame, y: str, models: dict[str, list[str]]
 ) -> DataFrame:
-    """Train and test error of linear models on several predictor lists: one row per model."""
-    out = None
+    """Train and test error of linear models on several predictor lists: one row per model, from one scan of each part.
+
+    A model uses the rows that are complete in y and its own predictors; a part without such rows has a null error.
+    """
+    columns = [y, *dict.fromkeys(p for predictors in models.values() for p in predictors)]
+    parts = [grams(part, columns) for part in (train, test)]
+    rows = []
     for name, predictors in models.items():
-        model = fit_multi(train, y, predictors)
-        scored = [
-            apply_multi(part.select(y, *predictors).na.drop(), model, predictors, "prediction").agg(
-                F.avg(F.pow(F.col(y) - F.col("prediction"), F.lit(2))).alias(f"{label}_mse")
-            )
-            for label, part in (("train", train), ("test", test))
-        ]
-        row = train.sparkSession.range(1).select(F.lit(name).alias("model"))
-        row = row.withColumn("train_mse", scored[0].scalar()).withColumn("test_mse", scored[1].scalar())
-        out = row if out is None else out.unionByName(row)
+        own = [part.of([y, *predictors]) for part in parts]
+        model = own[0].fit(y, predictors)
+        rows.append((name, *(part.mean_squared_error(model) for part in own)))
+    out = train.sparkSession.createDataFrame(rows, "model string, train_mse double, test_mse double")
     return out.withColumn("train_rmse", F.sqrt("train_mse")).withColumn("test_rmse", F.sqrt("test_mse"))

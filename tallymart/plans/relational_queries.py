@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymart.functions import scalar
 from tallymart.operators import relational as rel
 from tallymart.operators import retail, timeseries
-from tallymart.operators.ordering import top_per_group
+from tallymart.operators.ordering import lagged, top_per_group
 from tallymart.operators.relational import error_scores
 from tallymart.plans.registry import EV, RATINGS, REG, SERIES, TX, query
 from tallymart.sources import tables
@@ -653,8 +653,8 @@ def forward_fill(spark, folder):
     f"""WITH {SERIES} SELECT ticker, date, round(price - lag(price) OVER (PARTITION BY ticker ORDER BY date), 5) AS change FROM series""",
 )
 def lag_diff(spark, folder):
-    before = F.lag("price").over(Window.partitionBy("ticker").orderBy("date"))
-    return tables.series(spark, folder).select("ticker", "date", F.round(F.col("price") - before, 5).alias("change"))
+    rows = lagged(tables.series(spark, folder), [F.col("date")], within=("ticker",), before="price")
+    return rows.select("ticker", "date", F.round(F.col("price") - F.col("before"), 5).alias("change"))
 
 
 @query(

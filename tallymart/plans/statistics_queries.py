@@ -318,9 +318,37 @@ def ols_encoded(spark, folder):
     return reg.coefficient_table(coded, reg.fit_multi(coded, "y", predictors), predictors)
 
 
-@query("partial_regression")
+def _partial_sql(term: str, own: str, first: str, second: str, slope: str) -> str:
+    """Residuals of y and one predictor on the two others, by Cramer's rule on the centred products."""
+
+    def product(a: str, b: str) -> str:
+        return "".join(sorted((a, b))) if "y" not in (a, b) else (b if a == "y" else a) + "y"
+
+    def rest(z: str) -> str:
+        ff, ss, fs = product(first, first), product(second, second), product(first, second)
+        fz, sz = product(first, z), product(second, z)
+        return f"c.{z} - (({fz}*{ss} - {fs}*{sz}) * c.{first} + ({ff}*{sz} - {fs}*{fz}) * c.{second}) / ({ff}*{ss} - {fs}*{fs})"
+
+    whole = "c.y - b1*c.u - b2*c.v - b3*c.w"
+    return f"""SELECT {", ".join(ORDER[:4])}, '{term}' AS predictor, round({rest("y")}, 3) AS y_residual,
+      round({rest(own)}, 7) AS x_residual, round({slope} * c.{term} + {whole}, 3) AS component_plus_residual FROM keyed c, ss"""
+
+
+KEYED = """keyed AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, x1, x2, x3, y - avg(y) OVER () AS y,
+  x1 - avg(x1) OVER () AS u, x2 - avg(x2) OVER () AS v, x3 - avg(x3) OVER () AS w FROM reg)"""
+
+
+@query(
+    "partial_regression",
+    f"WITH {REG}, {MULTI}, {KEYED} "
+    + " UNION ALL ".join(
+        _partial_sql(*names)
+        for names in (("x1", "u", "v", "w", "b1"), ("x2", "v", "u", "w", "b2"), ("x3", "w", "u", "v", "b3"))
+    ),
+)
 def partial_regression(spark, folder):
-    return reg.partial_regression(_reg(spark, folder), "y", PREDICTORS, ORDER[:4])
+    parts = reg.partial_regression(_reg(spark, folder), "y", PREDICTORS, ORDER[:4])
+    return _rounded(_rounded(parts, 3, "y_residual", "component_plus_residual"), 7, "x_residual")
 
 
 @query(
@@ -336,8 +364,26 @@ def split_rmse(spark, folder):
     return _rounded(scores.select("model", "train_mse", "test_mse"), 2, "train_mse", "test_mse")
 
 
-@query("split_rmse_models")
+def _split_sql(model: str, weights: str) -> str:
+    """Errors of one model; ``weights`` gives its three coefficients."""
+    return f"""SELECT '{model}' AS model, avg(e * e) FILTER (part = 'train') AS train_mse, avg(e * e) FILTER (part = 'test') AS test_mse
+      FROM (SELECT part, y - my - b1 * (x1 - m1) - b2 * (x2 - m2) - b3 * (x3 - m3) AS e FROM parts,
+        (SELECT avg(y) AS my, avg(x1) AS m1, avg(x2) AS m2, avg(x3) AS m3 FROM reg) m, (SELECT {weights} FROM ss) b) r"""
+
+
+@query(
+    "split_rmse_models",
+    f"""WITH {REG.replace("reg AS", "every AS")},
+      parts AS (SELECT *, CASE WHEN l_orderkey % 4 <> 0 THEN 'train' ELSE 'test' END AS part FROM every),
+      reg AS (SELECT * FROM parts WHERE part = 'train'), {MULTI}, scored AS (
+        {_split_sql("all", "b1, b2, b3")} UNION ALL
+        {_split_sql("without_x3", "(uy*vv - uv*vy) / (uu*vv - uv*uv) AS b1, (uu*vy - uv*uy) / (uu*vv - uv*uv) AS b2, 0 AS b3")} UNION ALL
+        {_split_sql("one", "uy / uu AS b1, 0 AS b2, 0 AS b3")})
+    SELECT model, round(train_mse, 2) AS train_mse, round(test_mse, 2) AS test_mse, round(sqrt(train_mse), 5) AS train_rmse,
+      round(sqrt(test_mse), 5) AS test_rmse FROM scored""",
+)
 def split_rmse_models(spark, folder):
     """Train and test error with all predictors, without one, and with one only."""
     train, test = rel.modulus_split(_reg(spark, folder), F.col("l_orderkey"), 4, 1)
-    return reg.split_scores(train, test, "y", {"all": PREDICTORS, "without_x3": ["x1", "x2"], "one": ["x1"]})
+    scores = reg.split_scores(train, test, "y", {"all": PREDICTORS, "without_x3": ["x1", "x2"], "one": ["x1"]})
+    return _rounded(_rounded(scores, 2, "train_mse", "test_mse"), 5, "train_rmse", "test_rmse")
