@@ -3,14 +3,12 @@ undirected edge once."""
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import KMeans, PowerIterationClustering
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.clustering import PowerIterationClustering
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.operators.relational import dense_codes
-
-ROW_LIMIT = 20_000
+from tallymart.operators.skew import one_row, salted_join
+from tallymart.session import write_through
 
 
 def adjacency(edges: DataFrame) -> DataFrame:
@@ -24,29 +22,75 @@ def adjacency(edges: DataFrame) -> DataFrame:
     return edges.select(F.explode(cells).alias("c")).select("c.*").distinct()
 
 
-def adjacency_rows(edges: DataFrame) -> DataFrame:
-    """(node, features): one matrix row per node.
+def _nearest(cells: DataFrame, centres: DataFrame, degree: DataFrame, k: int) -> DataFrame:
+    """(node, cluster, gap): the centre nearest to every matrix row and the squared distance to it.
 
-    A row is as wide as the graph has nodes, so this form is for graphs of up to ``ROW_LIMIT`` nodes;
-    larger ones stay an edge list (``spectral_clusters``).
+    ``centres`` has one row for each matrix column that some centre fills: (dst, weights), an array over the centres.
+    |x - c|^2 = |x|^2 - 2 x.c + |c|^2, and x.c is a sum over the row's edges, so nothing dense is built. Ties go to the
+    smaller cluster.
     """
-    cells = adjacency(edges)
-    codes = dense_codes(cells, "src")
-    size = codes.count()
-    if size > ROW_LIMIT:
-        raise ValueError(f"{size} nodes are too many for matrix rows; use spectral_clusters")
-    placed = cells.join(codes.withColumnRenamed("src", "dst"), "dst")
-    on = placed.groupBy(F.col("src").alias("node")).agg(F.collect_set("code").alias("_on"))
-    flags = F.transform(
-        F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.array_contains("_on", i.cast("long")).cast("double")
+    length = one_row(centres.agg(*(F.sum(F.col("weights")[i] * F.col("weights")[i]).alias(f"c{i}") for i in range(k))))
+    # the matrix is symmetric: a node stands in as many rows as it has neighbours
+    sized = centres.join(degree.select(F.col("node").alias("dst"), F.col("ones").alias("_rows")), "dst")
+    met = salted_join(cells, sized, ["dst"], count="_rows")
+    dots = met.groupBy(F.col("src").alias("node")).agg(*(F.sum(F.col("weights")[i]).alias(f"x{i}") for i in range(k)))
+    placed = degree.join(dots, "node", "left").withColumn("_length", length)
+    gaps = [
+        F.struct(
+            F.greatest(F.col("ones") - 2 * F.coalesce(f"x{i}", F.lit(0.0)) + F.col("_length")[f"c{i}"], F.lit(0.0)).alias("gap"),
+            F.lit(i).alias("cluster"),
+        )
+        for i in range(k)
+    ]
+    best = F.least(*gaps) if k > 1 else gaps[0]
+    return placed.select("node", "ones", best.alias("b")).select("node", "ones", "b.cluster", "b.gap")
+
+
+def _weights(cells: DataFrame, assigned: DataFrame, k: int) -> DataFrame:
+    """Centres as the mean matrix row of each cluster: sums over the edges, divided by the sizes."""
+    sizes = one_row(assigned.agg(*(F.greatest(F.count_if(F.col("cluster") == i), F.lit(1)).alias(f"n{i}") for i in range(k))))
+    rows = assigned.select(F.col("node").alias("src"), "cluster", "ones")
+    sums = salted_join(cells, rows, ["src"], count="ones").groupBy("dst").agg(
+        F.array(*(F.count_if(F.col("cluster") == i) for i in range(k))).alias("sums")
     )
-    return on.select("node", array_to_vector(flags).alias("features"))
+    weights = F.array(*(F.col("sums")[i] / F.col("_n")[f"n{i}"] for i in range(k)))
+    return sums.withColumn("_n", sizes).select("dst", weights.alias("weights"))
 
 
-def kmeans_clusters(edges: DataFrame, k: int = 2, seed: int = 1) -> DataFrame:
-    rows = adjacency_rows(edges)
-    model = KMeans(k=k, seed=seed, maxIter=40).fit(rows)
-    return model.transform(rows).select("node", F.col("prediction").alias("cluster"))
+def kmeans_clusters(edges: DataFrame, k: int = 2, rounds: int = 40) -> DataFrame:
+    """(node, cluster): k-means over the rows of ``adjacency``, which stay an edge list.
+
+    The first centre is the node with most neighbours, each further one the node farthest from those before (ties: the
+    smaller node), so the result does not change between runs. A round costs two joins over the edges and stops when no
+    node moves, or after ``rounds``. With fewer distinct rows than ``k`` some clusters stay empty. The driver holds
+    the k nodes of the start; what grows with the graph is written to the shared folder.
+    """
+    cells = write_through(adjacency(edges), "cells")
+    degree = write_through(cells.groupBy(F.col("src").alias("node")).agg(F.count(F.lit(1)).alias("ones")), "degree")
+    first = degree.agg(F.max_by("node", F.struct("ones", -F.col("node")))).first()[0]
+    if first is None:
+        return degree.select("node", F.lit(0).alias("cluster"))
+    seeds = [first]
+    while True:
+        taken = cells.filter(F.col("src").isin(seeds))  # the rows of at most k nodes
+        flags = F.array(*(F.max((F.col("src") == s).cast("double")) for s in seeds))
+        start = _nearest(cells, taken.groupBy("dst").agg(flags.alias("weights")), degree, len(seeds))
+        if len(seeds) == k:
+            break
+        far = start.filter("gap > 0").agg(F.max_by("node", F.struct("gap", -F.col("node")))).first()[0]
+        if far is None:  # every row equals a centre
+            break
+        seeds.append(far)
+    k = len(seeds)
+    assigned = write_through(start, "assigned")
+    for _ in range(rounds):
+        moved = write_through(_nearest(cells, _weights(cells, assigned, k), degree, k), "assigned")
+        old = assigned.select("node", F.col("cluster").alias("before"))
+        still = moved.join(old, "node").filter("cluster <> before").isEmpty()
+        assigned = moved
+        if still:
+            break
+    return assigned.select("node", "cluster")
 
 
 def spectral_clusters(edges: DataFrame, k: int = 2, iterations: int = 20) -> DataFrame:

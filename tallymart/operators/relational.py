@@ -95,19 +95,15 @@ def exact_quantiles(df: DataFrame, column: str, fractions: dict[str, float], gro
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
 
-def _moments(df: DataFrame, columns: list[str], group: list[str]) -> DataFrame:
-    """count, mean, standard deviation, minimum and maximum of every column as one wide aggregate, then one row each."""
-    of = {c: F.col(c).cast("double") for c in columns}
-    wide = df.groupBy(*group).agg(
-        *(
-            F.struct(
-                F.lit(c).alias("column_name"), F.count(v).alias("n"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-                F.min(v).alias("min"), F.max(v).alias("max"),
-            ).alias(f"_m{i}")
-            for i, (c, v) in enumerate(of.items())
-        )
-    )
-    return wide.select(*group, F.inline(F.array(*(f"_m{i}" for i in range(len(columns))))))
+def _moments(columns: dict[str, Column]) -> list[Column]:
+    """count, mean, standard deviation, minimum and maximum of every column, a struct each."""
+    return [
+        F.struct(
+            F.lit(name).alias("column_name"), F.count(v).alias("n"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
+            F.min(v).alias("min"), F.max(v).alias("max"),
+        ).alias(f"_m{i}")
+        for i, (name, v) in enumerate(columns.items())
+    ]
 
 
 def narrowed_quantiles(
@@ -118,7 +114,8 @@ def narrowed_quantiles(
     The first scan sketches each column and gives a band of values around every quantile, about 6 / ``accuracy`` of the
     rows wide. The second counts what lies below and inside each band, which proves that the band holds the wanted
     positions; where it does not, the band becomes the whole column. Only values inside a band, already counted by
-    value, are put in order. ``accuracy`` changes the width of the bands, not the result.
+    value, are put in order. ``accuracy`` changes the width of the bands, not the result. The counting scan also gives
+    the moments of each column: ``n``, ``mean``, ``std``, ``min``, ``max``.
     """
     of = {c: F.col(c).cast("double") for c in columns}
     slack = 3 / accuracy
@@ -131,14 +128,14 @@ def narrowed_quantiles(
                 bands[c, name] = (sketch[i][2 * j], sketch[i][2 * j + 1])
     spans = {key: (of[key[0]] < low, of[key[0]].between(low, high)) for key, (low, high) in bands.items()}
     counted = df.agg(
-        F.count(F.lit(1)),
-        *(F.count(v) for v in of.values()),
+        *_moments(of),
         *(F.count_if(condition) for span in spans.values() for condition in span),
     ).first()
-    sizes = dict(zip(columns, counted[1:]))
+    told = [tuple(row) for row in counted[: len(columns)]]  # one row for each column
+    sizes = {row[0]: row[1] for row in told}
     places, kept = [], []
     for i, (c, name) in enumerate(spans):
-        below, inside = counted[1 + len(columns) + 2 * i : 3 + len(columns) + 2 * i]
+        below, inside = counted[len(columns) + 2 * i : len(columns) + 2 * i + 2]
         at = (sizes[c] - 1) * float(fractions[name]) + 1
         low, high = math.floor(at), math.ceil(at)
         held = spans[c, name][1]
@@ -149,9 +146,11 @@ def narrowed_quantiles(
     plan = df.sparkSession.createDataFrame(
         places, "_band int, column_name string, name string, low long, high long, share double"
     )
-    empty = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+    moments = df.sparkSession.createDataFrame(
+        told, "column_name string, n long, mean double, std double, min double, max double"
+    )
     if not kept:
-        return empty.select("column_name", *(F.lit(None).cast("double").alias(name) for name in fractions))
+        return moments.select("*", *(F.lit(None).cast("double").alias(name) for name in fractions))
     inside = df.select(F.explode(F.array_compact(F.array(*kept))).alias("_k")).select("_k.*")
     histogram = inside.groupBy("_band", "_v").agg(F.count(F.lit(1)).alias("_c"))
     ordered = running_totals(histogram, [F.col("_band"), F.col("_v")], _upto="_c")
@@ -165,7 +164,7 @@ def narrowed_quantiles(
     )
     value = F.col("a") + (F.col("b") - F.col("a")) * F.col("share")
     wide = found.groupBy("column_name").agg(*(F.max(F.when(F.col("name") == n, value)).alias(n) for n in fractions))
-    return empty.join(wide, "column_name", "left")
+    return moments.join(F.broadcast(wide), "column_name", "left")
 
 
 def describe(df: DataFrame, columns: list[str], group: list[str] | None = None) -> DataFrame:
@@ -173,11 +172,11 @@ def describe(df: DataFrame, columns: list[str], group: list[str] | None = None)
 
     Quartiles of whole columns come from narrowed bands, those of groups from a histogram of each group.
     """
-    group = group or []
-    keys = [*group, "column_name"]
-    moments = _moments(df, columns, group)
     if not group:
-        return moments.join(F.broadcast(narrowed_quantiles(df, columns, QUARTILES)), keys, "left")
+        return narrowed_quantiles(df, columns, QUARTILES)
+    keys = [*group, "column_name"]
+    structs = _moments({c: F.col(c).cast("double") for c in columns})
+    moments = df.groupBy(*group).agg(*structs).select(*group, F.inline(F.array(*(f"_m{i}" for i in range(len(structs))))))
     long = df.select(*group, *(F.col(c).cast("double").alias(c) for c in columns)).unpivot(
         group, columns, "column_name", "_value"
     )

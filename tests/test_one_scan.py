@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallymart.operators import ordering, regression, relational
+from tallymart.operators import graph, ordering, regression, relational
 from tallymart.operators.gram import grams
 
 Y, P = "y", ["a", "b", "c"]
@@ -149,3 +149,45 @@ def test_describe_of_nothing(spark):
     row = relational.describe(df, ["x"]).first()
     assert (row.column_name, row.n, row.mean, row.q50) == ("x", 0, None, None)
     assert relational.describe(df, ["x"], ["g"]).collect() == []
+
+
+def _kmeans(links, k):
+    """The same start and rounds on a dense matrix."""
+    nodes = sorted({n for link in links for n in link})
+    x = np.eye(len(nodes))
+    for a, b in links:
+        x[nodes.index(a), nodes.index(b)] = x[nodes.index(b), nodes.index(a)] = 1
+
+    def gaps(centres):
+        return np.round(((x[:, None] - centres[None]) ** 2).sum(axis=2), 9)
+
+    seeds = [int(x.sum(axis=1).argmax())]
+    while len(seeds) < k:
+        near = gaps(x[seeds]).min(axis=1)
+        if near.max() == 0:
+            break
+        seeds.append(int(near.argmax()))
+    now = gaps(x[seeds]).argmin(axis=1)
+    for _ in range(40):
+        centres = np.array([x[now == i].mean(axis=0) if (now == i).any() else 0 * x[0] for i in range(len(seeds))])
+        then, now = now, gaps(centres).argmin(axis=1)
+        if (then == now).all():
+            break
+    return dict(zip(nodes, now.tolist()))
+
+
+@pytest.mark.parametrize("k", [1, 2, 3])
+def test_kmeans_on_edges(spark, k):
+    draw = random.Random(k)
+    links = {(a, b) for a in range(0, 36) for b in range(a + 1, 36) if draw.random() < (0.7 if a // 12 == b // 12 else 0.05)}
+    links |= {(0, b) for b in range(1, 36)}  # one node meets all others
+    edges = spark.createDataFrame([(a, b, 1.0) for a, b in links], "src long, dst long, w double")
+    got = {r.node: r.cluster for r in graph.kmeans_clusters(edges, k).collect()}
+    assert got == _kmeans(links, k)
+
+
+def test_kmeans_of_few_rows(spark):
+    kind = "src long, dst long, w double"
+    assert graph.kmeans_clusters(spark.createDataFrame([], kind)).collect() == []
+    pair = spark.createDataFrame([(1, 2, 1.0), (1, 2, 1.0)], kind)
+    assert {r.node: r.cluster for r in graph.kmeans_clusters(pair, 5).collect()} == {1: 0, 2: 0}
