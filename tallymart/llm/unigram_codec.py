@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from tallymart.llm.pieces import MARK, MARK_BYTES, Edges, Vocabulary, read_vocabulary
 
 WAITING = 30_000  # unknown words that are searched together
-BLOCK_BYTES = 1 << 19  # bytes of words in one search
+HELD = 250_000  # words, known or not, of the texts that wait
+BLOCK_BYTES = 1 << 17  # bytes of words in one search
 LONG_WORD = 512  # longer words are searched alone: the steps of a joint search are as many as its longest word has bytes
 
 CHUNK = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -61,15 +62,16 @@ class Codec:
 
     def encode_all(self, texts: Iterable[str]) -> Iterator[bytes]:
         """Ids of every text, in order. The texts wait until they hold ``WAITING`` unknown words, which are then searched
-        together."""
-        held, new = [], set()
+        together, or ``HELD`` words in all."""
+        held, new, words = [], set(), 0
         for text in texts:
             parts = self._parts(text)
             held.append(parts)
             new.update(set(parts).difference(self.known))
-            if len(new) >= WAITING:
+            words += len(parts)
+            if len(new) >= WAITING or words >= HELD:
                 yield from self._placed(held, new)
-                held, new = [], set()
+                held, new, words = [], set(), 0
         yield from self._placed(held, new)
 
     def _parts(self, text: str) -> list[bytes | str]:
