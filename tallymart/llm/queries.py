@@ -105,8 +105,9 @@ def lattice_likelihood(spark: SparkSession, folder: str) -> DataFrame:
 def unigram_encoding(spark: SparkSession, folder: str) -> DataFrame:
     """The ids of every text, how many of them are single bytes, and whether they decode to the text."""
     docs = _documents(spark, folder)
-    coded = docs.select("doc_id", "text", unigram_codec.encode("text", PIECES).alias("ids"))
-    same = unigram_codec.decode("ids", PIECES) == F.replace(F.coalesce("text", F.lit("")), F.lit("▁"), F.lit(" "))
+    coded = docs.select("doc_id", "text", unigram_codec.recode("text", PIECES).alias("both"))
+    coded = coded.select("doc_id", "text", "both.ids", F.col("both.text").alias("back"))
+    same = F.col("back") == F.replace(F.coalesce("text", F.lit("")), F.lit("▁"), F.lit(" "))
     n_bytes = unigram_codec.byte_pieces("ids", PIECES).alias("n_bytes")
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_ids"), n_bytes, same.alias("round_trip"), "ids")
 

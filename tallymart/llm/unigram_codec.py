@@ -200,10 +200,8 @@ def encode(text: str | Column, model: str) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         coded = codec(model)
         for batch in batches:
-            rows = list(coded.encode_all(value.as_py() or "" for value in batch))
-            offsets = np.cumsum([0, *(len(row) // 4 for row in rows)]).astype(np.int32)
-            ids = np.frombuffer(b"".join(rows), "<i4")
-            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))
+            yield _encoded(coded, batch)
+            pa.default_memory_pool().release_unused()
 
     return run.asNondeterministic()(F.col(text) if isinstance(text, str) else text)
 
@@ -215,13 +213,40 @@ def decode(ids: str | Column, model: str) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         coded = codec(model)
         for batch in batches:
-            cuts, ids, gone = np.asarray(batch.offsets), np.asarray(batch.values), batch.is_null().to_pylist()
-            rows = zip(cuts, cuts[1:], gone)
-            yield pa.array([coded.decode([] if null else ids[low:high].tolist()) for low, high, null in rows], pa.string())
+            yield _decoded(coded, batch)
+            pa.default_memory_pool().release_unused()
 
     return run.asNondeterministic()(F.col(ids) if isinstance(ids, str) else ids)
 
 
+def recode(text: str | Column, model: str) -> Column:
+    """``encode`` and ``decode`` of its ids, as a struct of ``ids`` and ``text``, in one worker: two functions in a row
+    would keep two workers, each with its own vocabulary, beside every task."""
+
+    @F.arrow_udf("ids array<int>, text string")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        coded = codec(model)
+        for batch in batches:
+            ids = _encoded(coded, batch)
+            yield pa.StructArray.from_arrays([ids, _decoded(coded, ids)], ["ids", "text"])
+            pa.default_memory_pool().release_unused()
+
+    return run.asNondeterministic()(F.col(text) if isinstance(text, str) else text)
+
+
+def _encoded(coded: Codec, texts: pa.Array) -> pa.ListArray:
+    rows = list(coded.encode_all(value.as_py() or "" for value in texts))
+    offsets = np.cumsum([0, *(len(row) // 4 for row in rows)]).astype(np.int32)
+    ids = np.frombuffer(b"".join(rows), "<i4")
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))
+
+
+def _decoded(coded: Codec, lists: pa.ListArray) -> pa.Array:
+    cuts, ids, gone = np.asarray(lists.offsets), np.asarray(lists.values), lists.is_null().to_pylist()
+    rows = zip(cuts, cuts[1:], gone)
+    return pa.array([coded.decode([] if null else ids[low:high].tolist()) for low, high, null in rows], pa.string())
+
+
 def byte_pieces(ids: str | Column, model: str) -> Column:
     """How many of the ids are byte pieces."""
     low, high = min(read_vocabulary(model).bytes_), max(read_vocabulary(model).bytes_)

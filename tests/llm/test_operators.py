@@ -299,3 +299,11 @@ def test_clashing_names(spark, docs, tmp_path):
     parts = frame.select("*", F.lit(100).alias("length"))
     packed = vector_packing.pack(parts)
     assert packed.count() == frame.count() and packed.filter("_group = 'x'").count() == frame.count()
+
+
+def test_recode_is_encode_then_decode(docs):
+    ids = unigram_codec.encode("text", PIECES)
+    rows = docs.select(unigram_codec.recode("text", PIECES).alias("r"), ids.alias("ids")).select(
+        "r.*", F.col("ids").alias("apart"), unigram_codec.decode("ids", PIECES).alias("back")
+    )
+    assert all(r.ids == r.apart and r.text == r.back for r in rows.collect())
