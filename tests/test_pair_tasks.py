@@ -61,3 +61,11 @@ def test_ids_above_four_bytes(spark):
     big = 2**40
     rows = spark.createDataFrame([(1, big, 1.0), (1, 2, 2.0), (2, big, 3.0), (2, 2, 4.0)], "g long, m long, rating double")
     assert [(r.a, r.b, r.sxy) for r in pairs.pair_sums(rows, "g", "m").collect()] == [(2, big, 14.0)]
+
+
+@pytest.mark.parametrize("at_once", [3, 500_000])
+def test_listed_sums_keep_rows_without_a_member(spark, at_once):
+    own = spark.createDataFrame([(1, 7, 0.5), (1, 8, 2.0), (2, 8, 1.0)], "item long, near long, weight double")
+    rows = spark.createDataFrame([(None, 7, 4.0), (None, 8, 1.0), (5, 8, 3.0), (6, 9, 1.0)], "user long, near long, rating double")
+    got = pairs.listed_sums(own, "item", "near", "weight", rows, "user", "rating", block_rows=1, at_once=at_once)
+    assert {(r.item, r.user): r.top for r in got.collect()} == {(1, None): 4.0, (1, 5): 6.0, (2, None): 1.0, (2, 5): 3.0}
