@@ -245,3 +245,29 @@ def test_als_lists_and_errors(spark, low_rank):
     doubled = cells.unionByName(cells)
     both = {d: factorization.rmse_train_test(model, doubled, cells, d).filter("part = 'train'").first().n for d in (False, True)}
     assert both == {False: 720, True: 360}
+
+
+def test_als_blocks_do_not_follow_the_cluster_and_long_runs_free_their_files(spark, low_rank, monkeypatch):
+    _, cells = low_rank
+    seen, real = [], factorization.ALS
+    monkeypatch.setattr(factorization, "ALS", lambda **options: seen.append(options) or real(**options))
+    factorization.fit_als(cells, implicit=True, rank=3, maxIter=1)
+    assert (seen[0]["numUserBlocks"], seen[0]["numItemBlocks"]) == (10, 4)
+    factorization.learning_curve(cells, cells, [2], rank=3)
+    assert seen[1]["checkpointInterval"] < 8
+    fewer, more = (factorization.fit_als(cells, implicit=False, rank=3, numItemBlocks=n).userFactors for n in (4, 10))
+    pairs = fewer.join(more.withColumnRenamed("features", "other"), "id").collect()
+    assert len(pairs) == 30
+    assert all(abs(x - y) < 1e-4 for r in pairs for x, y in zip(r.features, r.other))
+
+
+def test_errors_over_all_and_distinct_rows_come_from_one_scoring(spark, low_rank):
+    _, cells = low_rank
+    model = factorization.fit_als(cells, implicit=False, rank=3, regParam=0.01)
+    train, test = cells.unionByName(cells.filter("user_id < 7")), cells.filter("item_id % 2 = 0")
+    found = {(r.part, r.rows_used): r for r in factorization.rmse_all_and_distinct(model, train, test).collect()}
+    for kind in ("all", "distinct"):
+        for r in factorization.rmse_train_test(model, train, test, kind == "distinct").collect():
+            one = found.pop((r.part, kind))
+            assert one.n == r.n and abs(one.rmse - r.rmse) < 1e-9 and abs(one.mse - r.mse) < 1e-9
+    assert not found
