@@ -271,3 +271,21 @@ def test_errors_over_all_and_distinct_rows_come_from_one_scoring(spark, low_rank
             one = found.pop((r.part, kind))
             assert one.n == r.n and abs(one.rmse - r.rmse) < 1e-9 and abs(one.mse - r.mse) < 1e-9
     assert not found
+
+
+def test_cross_validated_area_fits_each_fold_once(spark, monkeypatch):
+    import numpy as np
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    rows = spark.createDataFrame([(i, float(i * 37 % 101), float(i % 7), int(i * 37 % 101 + i % 5 * 20 > 90)) for i in range(300)], "no int, a double, b double, label int")
+    fits, real = [], classify.LogisticRegression._fit
+    monkeypatch.setattr(classify.LogisticRegression, "_fit", lambda self, df: fits.append(1) or real(self, df))
+    found = classify.cv_auc(rows, "label", ["a", "b"], ["no"], k=3).first()
+    assert len(fits) == 3
+    folds = classify.stratified_folds(rows, "label", ["no"], 3)
+    scorer = BinaryClassificationEvaluator(labelCol="label", numBins=0)
+    areas = []
+    for fold in (1, 2, 3):
+        train, test = (classify._features(folds.filter(which), ["a", "b"]) for which in (f"fold <> {fold}", f"fold = {fold}"))
+        areas.append(scorer.evaluate(classify.LogisticRegression(labelCol="label", maxIter=50).fit(train).transform(test)))
+    assert found.folds == 3 and abs(found.mean_auc - np.mean(areas)) < 1e-9 and abs(found.sd_auc - np.std(areas)) < 1e-9
