@@ -29,6 +29,7 @@ from tallymart.session import write_through
 
 # Cutting before a space that a non-space follows never cuts a token of the byte-level pattern.
 CUT = re.compile(r" (?=\S)")
+SPACE = "\u0120"  # how byte-level vocabularies write a space
 PIECES = "piece int, start long, length long, ids_crc32 long"
 
 
@@ -53,26 +54,47 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most, self.known = Tokenizer.from_file(path), most, {}
+        words = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.spaced = np.zeros(max(words.values(), default=-1) + 1, bool)  # ids of tokens that begin with a space
+        self.spaced[[i for word, i in words.items() if word.startswith((SPACE, " "))]] = True
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(one.ids, "<u4").tobytes() for one in found]
 
+    def _parts(self, parts: list[str]) -> list[bytes]:
+        """Ids of every part after a space. They are encoded as one text and told apart by the tokens that begin with a
+        space; where that does not give one for each part, or an added token is near, each part is encoded by itself."""
+        text = " " + " ".join(parts)
+        if not any(token in text for token in self.added):
+            ids = np.array(self._one(text), np.int64)
+            starts = np.flatnonzero(self.spaced[ids])
+            if len(starts) == len(parts) and starts[0] == 0:
+                data, edges = ids.astype("<u4").tobytes(), (4 * starts).tolist()
+                return [data[a:b] for a, b in zip(edges, [*edges[1:], len(data)])]
+        return self._ids([" " + part for part in parts])
+
+    def _one(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
     def encode(self, texts: list[str]) -> list[bytes]:
         known = self.known
         if len(known) > self.most:
             self.known = known = {part: ids for part, ids in known.items() if len(part) <= 6}
         cut = [text.split(" ") for text in texts]
-        new = list({part for parts in cut for part in set(parts[1:]).difference(known)})
+        later = [parts[1:] for parts in cut]
+        new = list(set().union(*later).difference(known))
         odd = {part for part in new if not part or part[0].isspace()}
         if odd:  # a space before white space is no place to cut
             cut = [CUT.split(text) if odd.intersection(parts[1:]) else parts for text, parts in zip(texts, cut)]
-            new = list({part for parts in cut for part in parts[1:] if part not in known})
-        for at in range(0, len(new), 20_000):
-            block = new[at : at + 20_000]
-            known.update(zip(block, self._ids([" " + part for part in block])))
+            later = [parts[1:] for parts in cut]
+            new = list(set().union(*later).difference(known))
+        for at in range(0, len(new), 1_000):
+            block = new[at : at + 1_000]
+            known.update(zip(block, self._parts(block)))
         firsts = self._ids([parts[0] for parts in cut])
-        return [first + b"".join(map(known.__getitem__, parts[1:])) for first, parts in zip(firsts, cut)]
+        return [first + b"".join(map(known.__getitem__, parts)) for first, parts in zip(firsts, later)]
 
 
 @lru_cache(maxsize=2)

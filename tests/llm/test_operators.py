@@ -307,3 +307,18 @@ def test_recode_is_encode_then_decode(docs):
         "r.*", F.col("ids").alias("apart"), unigram_codec.decode("ids", PIECES).alias("back")
     )
     assert all(r.ids == r.apart and r.text == r.back for r in rows.collect())
+
+
+def test_new_words_are_encoded_many_at_a_time():
+    import public_tokenizers
+
+    from tallymart.llm.vector_packing import Encoder
+
+    coder = Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    singly, real = [], coder._ids
+    coder._ids = lambda texts: singly.extend(texts) or real(texts)
+    texts = [" ".join(f"w{i}x{j} caf\u00e9{j}" for j in range(200)) for i in range(20)]
+    odd = ["a  b", " x ", "\n y\tz", "a<|endoftext|> b", "", "   ", "\u0120 a\u0120b c", "a\u00a0b \u3000c d"]
+    found = coder.encode(texts) + coder.encode(odd)
+    assert found == real(texts + odd)
+    assert len(singly) < 100
