@@ -15,8 +15,9 @@ Per bucket with several different sets:
 
 1. every set is compared with the smallest member of the buckets it shares most often, and the links
    found are contracted to components;
-2. buckets that still hold several components get an R-tree of their points; sets of different
-   components that pass the bound are verified and, where they link, merged at once.
+2. buckets that still hold several components get an R-tree of their points; pairs of different
+   components that pass the bound are verified, each once however many buckets it shares. Where a bucket has very many of
+   them, its texts are searched together and what links is merged at once.
 
 A pair inside one component needs no check, as it cannot change the classes. Hence a group of near copies
 costs about one comparison a member, and nothing is capped: what the first step leaves is searched by the second in full.
@@ -47,6 +48,8 @@ from tallymart.session import write_through
 BAND = Fraction(7, 5)  # sizes of a band differ by less than this factor
 BLOCK = 2048  # members of a bucket that one search task holds on either side
 LEAF = 16
+LOT = 20_000  # members of small buckets that one search task holds
+CROWD = 64  # pairs for each member of a bucket up to which they are verified one by one
 SPARE = 5  # one cell more for so many in which a link may differ
 
 
@@ -111,42 +114,105 @@ def count_vector(grams: np.ndarray, dims: int) -> bytes:
     return np.bincount(groups.astype(np.int64), minlength=dims).astype("<u4").tobytes()
 
 
+class PointTree:
+    """A packed R-tree of the points of ``members``: sorted by size and packed into leaves; the box of a leaf is its
+    largest count per coordinate and its range of sizes."""
+
+    def __init__(self, points: np.ndarray, size: np.ndarray, members: np.ndarray, sizes: Sizes):
+        self.points, self.size, self.sizes = points, size, sizes
+        self.order = members[np.argsort(size[members], kind="stable")]
+        self.starts = np.arange(0, len(self.order), LEAF)
+        self.top = np.maximum.reduceat(points[self.order], self.starts, axis=0)
+        self.least, self.most = size[self.order][self.starts], np.maximum.reduceat(size[self.order], self.starts)
+
+    def leaves(self, at: int, classes: np.ndarray) -> Iterator[np.ndarray]:
+        """The members whose bound with the set ``at`` allows the threshold and that are in another class when their
+        leaf is visited."""
+        n, points, t = int(self.size[at]), self.points, self.sizes.t
+        low, high = t.numerator, t.denominator
+        visit = (self.least * low <= n * high) & (self.most * high >= n * low)
+        visit &= np.minimum(self.top, points[at]).sum(1, dtype=np.int64) >= self.sizes.overlap(n, self.least)
+        for leaf in np.flatnonzero(visit):
+            near = self.order[self.starts[leaf] : self.starts[leaf] + LEAF]
+            near = near[classes[near] != classes[at]]
+            yield near[np.minimum(points[near], points[at]).sum(1, dtype=np.int64) >= self.sizes.overlap(n, self.size[near])]
+
+
 def linked_pairs(
     left: np.ndarray, right: np.ndarray, classes: np.ndarray, sets: list[np.ndarray], dims: int, sizes: Sizes
 ) -> list[tuple[int, int]]:
     """Links between different classes of the sets numbered ``left`` and ``right``, enough of them to join all classes
-    that any link joins; found by a packed R-tree of the count vectors of ``right``.
+    that any link joins; found by an R-tree of the count vectors of ``right``.
 
-    Points are sorted by size and packed into leaves; the box of a leaf is its largest count per coordinate and its
-    range of sizes. A set visits the leaves, then the points, whose bound allows the threshold, and is
-    compared with those that are in another class at that time. ``classes`` is merged along the way.
+    A set is compared with the near ones that are in another class at that time. ``classes`` is merged along the way.
     """
     points = np.array([np.frombuffer(count_vector(grams, dims), "<u4") for grams in sets], np.int64)
     size = np.array([len(grams) for grams in sets])
-    order = right[np.argsort(size[right], kind="stable")]
-    starts = np.arange(0, len(order), LEAF)
-    top = np.maximum.reduceat(points[order], starts, axis=0)
-    least, most = size[order][starts], np.maximum.reduceat(size[order], starts)
-    low, high = sizes.t.numerator, sizes.t.denominator
+    tree = PointTree(points, size, right, sizes)
     links = []
     for at in left:
-        n = int(size[at])
-        visit = (least * low <= n * high) & (most * high >= n * low)
-        visit &= np.minimum(top, points[at]).sum(1) >= sizes.overlap(n, least)
-        for leaf in np.flatnonzero(visit):
-            near = order[starts[leaf] : starts[leaf] + LEAF]
-            near = near[classes[near] != classes[at]]
-            near = near[np.minimum(points[near], points[at]).sum(1) >= sizes.overlap(n, size[near])]
+        for near in tree.leaves(at, classes):
             for other in near:
                 if classes[other] == classes[at]:
                     continue
                 shared = len(np.intersect1d(sets[at], sets[other], assume_unique=True))
-                if shared >= sizes.overlap(n, int(size[other])):
+                if shared >= sizes.overlap(int(size[at]), int(size[other])):
                     links.append((int(at), int(other)))
                     classes[classes == classes[other]] = classes[at]
     return links
 
 
+def near_pairs(
+    left: np.ndarray, right: np.ndarray, classes: np.ndarray, points: np.ndarray, size: np.ndarray, sizes: Sizes
+) -> np.ndarray | None:
+    """All pairs of different classes between ``left`` and ``right`` whose bound allows the threshold, as two columns;
+    None if there are more than ``CROWD`` for each member."""
+    tree, found, held = PointTree(points, size, right, sizes), [np.empty((0, 2), np.int64)], 0
+    for at in left:
+        for near in tree.leaves(at, classes):
+            held += len(near)
+            found.append(np.stack([np.full(len(near), at), near], axis=1))
+        if held > CROWD * (len(left) + len(right)):
+            return None
+    return np.concatenate(found)
+
+
+def leaf_pairs(
+    buckets: list[np.ndarray],
+    classes: np.ndarray,
+    points: np.ndarray,
+    size: np.ndarray,
+    sizes: Sizes,
+    names: np.ndarray | None = None,
+) -> np.ndarray:
+    """What ``near_pairs`` finds in buckets that fit into one leaf each, all of them at a time. ``names``: equal for rows
+    of the same set."""
+    found = [np.empty((0, 2), np.int64)]
+    for count in {len(bucket) for bucket in buckets}:
+        held = np.stack([bucket for bucket in buckets if len(bucket) == count])
+        one, other = np.triu_indices(count, 1)
+        found.append(np.stack([held[:, one].ravel(), held[:, other].ravel()], axis=1))
+    pairs = np.concatenate(found)
+    a, b = pairs[:, 0], pairs[:, 1]
+    if names is not None:  # a pair that shares several buckets is judged once
+        rank = np.unique(names, return_inverse=True)[1]
+        both = np.minimum(rank[a], rank[b]) * len(names) + np.maximum(rank[a], rank[b])
+        pairs = pairs[np.unique(both, return_index=True)[1]]
+        a, b = pairs[:, 0], pairs[:, 1]
+    low, high = sizes.t.numerator, sizes.t.denominator
+    pairs = pairs[
+        (classes[a] != classes[b])
+        & (np.minimum(size[a], size[b]) * high >= np.maximum(size[a], size[b]) * low)
+    ]
+    kept = [np.empty((0, 2), np.int64)]
+    for at in range(0, len(pairs), 16_384):
+        block = pairs[at : at + 16_384]
+        a, b = block[:, 0], block[:, 1]
+        bound = np.minimum(points[a], points[b]).sum(1, dtype=np.int64)
+        kept.append(block[bound >= sizes.overlap(size[a], size[b])])
+    return np.concatenate(kept)
+
+
 def _describe(docs: DataFrame, size: int) -> DataFrame:
     """Row key, id, set size, hash of the set."""
     id_kind = docs.schema["id"].dataType.simpleString()
@@ -235,9 +301,27 @@ def _verified(pairs: DataFrame, sets: DataFrame, size: int, percent: int) -> Dat
     return joined.select("high", "low", linked("high_data", "low_data").alias("ok")).filter("ok").select("high", "low")
 
 
+def _points(sets: DataFrame, size: int, dims: int) -> DataFrame:
+    """Size and count vector of every set; the counts' lowest bytes come first, then the next, as most are zero."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            held = [shingles(value.as_py(), size, hashes) for value in batch.column(1)]
+            points = [np.frombuffer(count_vector(grams, dims), "u1").reshape(dims, 4).T.tobytes() for grams in held]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([len(grams) for grams in held], pa.int64()), pa.array(points, pa.binary())],
+                names=["node", "n", "point"],
+            )
+
+    return sets.select("node", "data").mapInArrow(run, "node long, n long, point binary")
+
+
 def _crossing(shared: DataFrame, classes: DataFrame, sets: DataFrame, size: int, dims: int, percent: int) -> tuple:
-    """What the first step left: pairs (``high``, ``low``) that are alone in their buckets, still to be verified, and
-    verified links between components of larger buckets. Of buckets with the same members one is searched."""
+    """What the first step left: pairs (``high``, ``low``) whose bound allows the threshold, still to be verified, and
+    verified links of buckets with very many such pairs. Of buckets with the same members one is searched.
+
+    The search moves points, not texts; texts travel for the pairs that are left, and for crowded buckets."""
     placed = shared.join(classes, "node", "left").withColumn("class", F.coalesce("component", "node")).drop("component")
     # two numbers a bucket travel for all buckets, whole rows only for those that hold several components
     span = placed.groupBy("key").agg(F.min("class").alias("a"), F.max("class").alias("b"))
@@ -252,11 +336,49 @@ def _crossing(shared: DataFrame, classes: DataFrame, sets: DataFrame, size: int,
         .select("key", "members", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
     )
     members = write_through(members.join(open_, "key"), "searched")
-    twos = members.filter("members = 2").groupBy("key").agg(F.max("node").alias("high"), F.min("node").alias("low"))
+    points = write_through(_points(sets.join(members.select("node").distinct(), "node", "left_semi"), size, dims), "points")
+    lots = max(1, -(-members.count() // LOT))
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    dealt = members.filter("members > 2").withColumn("own", block)
+    dealt = members.withColumn("own", block)
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.withColumn("x", F.least("own", "other")).withColumn("y", F.greatest("own", "other"))
+    dealt = dealt.select("key", "x", "y", "own", "node", "class")
+    small = F.col("members") <= BLOCK // 8
+    lot = F.when(small, F.pmod(F.xxhash64("key"), F.lit(lots)))
+    lots_of = members.select("key", "members").distinct().select("key", lot.alias("lot"), F.when(~small, F.col("key")).alias("alone"))
+
+    def near(table: pa.Table) -> pa.Table:
+        key, node = table.column("key").to_numpy(), table.column("node").to_numpy()
+        own, classes = table.column("own").to_numpy(), table.column("class").to_numpy()
+        count, x, y = table.column("n").to_numpy(), table.column("x")[0].as_py(), table.column("y")[0].as_py()
+        flat = np.frombuffer(b"".join(table.column("point").to_pylist()), "u1").reshape(len(node), 4, dims)
+        points = flat[:, 0]
+        if flat[:, 1:].any():
+            points = np.ascontiguousarray(flat.transpose(0, 2, 1)).view("<u4")[:, :, 0]
+        sizes, order = Sizes(percent), np.argsort(key, kind="stable")
+        buckets = np.split(order, np.flatnonzero(np.diff(key[order])) + 1)
+        found = [leaf_pairs([held for held in buckets if len(held) <= LEAF], classes, points, count, sizes, node)]
+        crowded = []
+        for held in buckets:
+            if len(held) > LEAF:
+                left, right = (held, held) if x == y else (held[own[held] == x], held[own[held] != x])
+                if not len(left) or not len(right):
+                    continue
+                pairs = near_pairs(left, right, classes, points, count, sizes)
+                if pairs is None:
+                    crowded.append(key[held[0]])
+                else:
+                    found.append(pairs)
+        a, b = node[np.concatenate(found)].T
+        pairs = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)], axis=1), axis=0)
+        none, crowds = pa.nulls(len(pairs), pa.int64()), pa.nulls(len(crowded), pa.int64())
+        high, low = (pa.concat_arrays([pa.array(pairs[:, i], pa.int64()), crowds]) for i in (0, 1))
+        keys = pa.concat_arrays([none, pa.array(crowded, pa.int64())])
+        places = [pa.array([v] * len(keys), pa.int32()) for v in (x, y)]
+        return pa.table([keys, *places, high, low], names=["key", "x", "y", "high", "low"])
+
+    pointed = dealt.join(lots_of, "key").join(points, "node").groupBy("lot", "alone", "x", "y")
+    found = write_through(pointed.applyInArrow(near, "key long, x int, y int, high long, low long"), "near")
 
     def search(table: pa.Table) -> pa.Table:
         hashes = WordHashes()
@@ -269,8 +391,9 @@ def _crossing(shared: DataFrame, classes: DataFrame, sets: DataFrame, size: int,
         a, b = node[[i for i, _ in links]], node[[j for _, j in links]]
         return pa.table({"high": np.maximum(a, b).astype(np.int64), "low": np.minimum(a, b).astype(np.int64)})
 
-    found = dealt.select("key", "x", "y", "own", "node", "class").join(sets, "node").groupBy("key", "x", "y")
-    return twos.select("high", "low").distinct(), found.applyInArrow(search, "high long, low long").distinct()
+    crowds = dealt.join(found.filter("key IS NOT NULL").select("key", "x", "y"), ["key", "x", "y"])
+    links = crowds.join(sets, "node").groupBy("key", "x", "y").applyInArrow(search, "high long, low long")
+    return found.filter("key IS NULL").select("high", "low").distinct(), links.distinct()
 
 
 def near_duplicates(
