@@ -29,15 +29,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.llm.rows import ROW_KEY, WordHashes, as_bytes, ngram_hashes, with_row_key
+from tallymart.llm.rows import ROW_KEY, as_bytes, mixed, ngram_hashes, slices, with_row_key, word_codes
 from tallymart.session import write_through
 
 HOT = 2000  # documents with one seed above which its segments are cut into windows
 SEEN = 1_000_000  # segments that a task remembers to have written the words of
+_STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
 def window_seeds(hashes: np.ndarray, size: int, seed: int) -> np.ndarray:
@@ -90,7 +90,7 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
         after = np.zeros(len(rank), np.int64)
         after[: len(rank) - done] = rank[done:] + 1
         pair = rank * (int(after.max()) + 1) + after
-        order = np.argsort(pair, kind="stable")
+        order = np.argsort(pair)
         ranked = pair[order]
         rank = np.empty(len(pair), np.int64)
         rank[order] = np.concatenate([[0], np.cumsum(ranked[1:] != ranked[:-1])])
@@ -100,8 +100,13 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
 
 def smallest_owners(segments: list[np.ndarray], owners: np.ndarray, size: int) -> list[np.ndarray]:
     """For every window of every segment the smallest owner of a segment that contains it."""
-    words, ranks = np.unique(np.concatenate(segments), return_inverse=True)
     lengths = np.array([len(s) for s in segments])
+    return np.split(owners_of_windows(np.concatenate(segments), lengths, owners, size), np.cumsum(lengths - size + 1)[:-1])
+
+
+def owners_of_windows(codes: np.ndarray, lengths: np.ndarray, owners: np.ndarray, size: int) -> np.ndarray:
+    """The same for segments and results one after the other."""
+    words, ranks = np.unique(codes, return_inverse=True)
     text = np.zeros(lengths.sum() + len(lengths), np.int64)  # 0 ends a segment
     starts = np.cumsum(lengths + 1) - lengths - 1
     inside = np.ones(len(text), bool)
@@ -112,7 +117,7 @@ def smallest_owners(segments: list[np.ndarray], owners: np.ndarray, size: int) -
     levels = max(1, int(len(words)).bit_length())
     matrix = WaveletMatrix(text[order - 1], levels)
     before = np.searchsorted(np.sort(text), np.arange(len(words) + 2))
-    places = np.concatenate([np.arange(a, a + n - size + 1) for a, n in zip(starts, lengths)])
+    places = _runs(starts, lengths - size + 1)
     before = before.astype(np.int32)
     least, open_ = owner[places], np.arange(len(places))
     last = text[places + size - 1]
@@ -128,22 +133,42 @@ def smallest_owners(segments: list[np.ndarray], owners: np.ndarray, size: int) -
         edges = np.stack([first, high[one]], axis=1).ravel()
         owned = np.append(owner[order], owner.max())
         least[open_] = np.minimum.reduceat(owned, edges)[::2][which]
-    return np.split(least, np.cumsum(lengths - size + 1)[:-1])
+    return least
+
+
+def _runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """``start``, ``start + 1``, ... of every run, one after the other."""
+    return np.repeat(starts - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+
+
+def _windows(counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Among the words of texts with ``counts`` words: where each text starts; the text and the place of every window."""
+    starts, held = np.cumsum(counts) - counts, np.maximum(counts - size + 1, 0)
+    return starts, np.repeat(np.arange(len(counts)), held), _runs(starts, held)
+
+
+def _new(*columns: np.ndarray) -> np.ndarray:
+    """Where a row differs from the one before."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.logical_or.reduce([column[1:] != column[:-1] for column in columns])
+    return new
 
 
 def _seeds(docs: DataFrame, size: int, seed: int) -> DataFrame:
     """The distinct seeds of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            found = [window_seeds(hashes.of(v.as_py().split()), size, seed) for v in batch.column(3)]
-            found = [np.unique(one[np.append(True, one[1:] != one[:-1])[: len(one)]]) for one in found]
-            rows = pa.array(np.repeat(np.arange(len(found)), [len(one) for one in found]))
-            seeds = pa.array(np.concatenate(found).astype(np.int64))
-            arrays = [*(batch.column(i).take(rows) for i in range(3)), seeds]
+        for batch in slices(batches, 3):
+            codes, counts, *_ = word_codes(batch.column(3))
+            _, row, place = _windows(counts, size)
+            own = window_seeds(codes, size, seed)[place]
+            first = _new(row, own)
+            row, own = row[first], own[first]
+            order = np.lexsort((own, row))
+            row, own = row[order], own[order]
+            first = _new(row, own)
+            rows = pa.array(row[first])
+            arrays = [*(batch.column(i).take(rows) for i in range(3)), pa.array(own[first].astype(np.int64))]
             yield pa.RecordBatch.from_arrays(arrays, names=[*ROW_KEY, "id", "seed"])
 
     return docs.mapInArrow(run, f"{ROW_KEY[0]} long, {ROW_KEY[1]} long, id long, seed long")
@@ -155,39 +180,49 @@ def _segments(docs: DataFrame, size: int, seed: int) -> DataFrame:
     schema = f"{ROW_KEY[0]} long, {ROW_KEY[1]} long, id long, start int, seed long, segment long, words binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen = WordHashes(), set()
-        for batch in batches:
-            out: list[tuple] = []
-            for row in range(batch.num_rows):
-                marks = {m["seed"]: m["hot"] for m in batch.column(4)[row].as_py()}
-                words = batch.column(3)[row].as_py().split()
-                codes = hashes.of(words)
-                own = window_seeds(codes, size, seed).astype(np.int64)
-                edges = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1], [True]]))
-                for start, stop in zip(edges[:-1].tolist(), edges[1:].tolist()):
-                    one = int(own[start])
-                    if one not in marks:
-                        continue
-                    spans = [(start, stop, one)]
-                    if marks[one]:
-                        whole = ngram_hashes(codes[start : stop + size - 1], size).astype(np.int64).tolist()
-                        spans = [(place, place + 1, name) for place, name in enumerate(whole, start)]
-                    for first, last, name in spans:
-                        segment = xxhash.xxh3_64_intdigest(codes[first : last + size - 1].tobytes())
-                        new = (name, segment) not in seen
-                        if new:
-                            if len(seen) >= SEEN:
-                                seen.clear()
-                            seen.add((name, segment))
-                        data = b" ".join(words[first : last + size - 1]) if new else None
-                        out.append((row, first, name, segment, data))
-            rows, starts, seeds, segments, data = zip(*out) if out else ((),) * 5
-            rows = pa.array(rows, pa.int64())
+        seen: set[tuple] = set()
+        for batch in slices(batches, 3):
+            codes, counts, opens, closes, text = word_codes(batch.column(3))
+            starts, row, place = _windows(counts, size)
+            text = text.tobytes()
+            own = window_seeds(codes, size, seed)[place].astype(np.int64)
+            marks = batch.column(4).flatten()  # a seed has the same mark in every document
+            shared, one = np.unique(marks.field("seed").to_numpy(), return_index=True)
+            hot = marks.field("hot").to_numpy(zero_copy_only=False)[one]
+            first = np.flatnonzero(_new(row, own))
+            count = np.diff(np.append(first, len(own)))
+            at = np.searchsorted(shared, own[first])
+            at[at == len(shared)] = 0
+            known = shared[at] == own[first] if len(shared) else np.zeros(len(first), bool)
+            first, count, at = first[known], count[known], at[known]
+            cut = hot[at] if len(at) else np.zeros(0, bool)
+            whole = ngram_hashes(codes, size)
+            alone = _runs(first[cut], count[cut])
+            name = np.concatenate([own[first[~cut]], whole[place[alone]].astype(np.int64)])
+            first, count = np.concatenate([first[~cut], alone]), np.concatenate([count[~cut], np.ones(len(alone), np.int64)])
+            order = np.argsort(first)
+            first, count, name = first[order], count[order], name[order]
+            step = _runs(np.zeros(len(first), np.int64), count).astype(np.uint64)
+            parts = mixed(whole[place[_runs(first, count)]] + mixed((step + np.uint64(1)) * _STEP))
+            ends = np.cumsum(count)
+            segment = mixed(np.add.reduceat(parts, ends - count) if len(count) else parts).astype(np.int64)
+            data: list[bytes | None] = []
+            begin = place[first]
+            spans = opens[begin].tolist(), closes[begin + count + size - 2].tolist()
+            for both, a, b in zip(zip(name.tolist(), segment.tolist()), *spans):
+                if both in seen:
+                    data.append(None)
+                    continue
+                if len(seen) >= SEEN:
+                    seen.clear()
+                seen.add(both)
+                data.append(text[a:b])
+            rows = pa.array(row[first])
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(i).take(rows) for i in range(3)),
-                    pa.array(starts, pa.int32()), pa.array(seeds, pa.int64()),
-                    pa.array(np.array(segments, np.uint64).astype(np.int64)), pa.array(data, pa.binary()),
+                    pa.array((begin - starts[row[first]]).astype(np.int32)), pa.array(name), pa.array(segment),
+                    pa.array(data, pa.binary()),
                 ],
                 names=[*ROW_KEY, "id", "start", "seed", "segment", "words"],
             )
@@ -195,6 +230,10 @@ def _segments(docs: DataFrame, size: int, seed: int) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
+def _order(rows: pa.Table) -> np.ndarray:
+    return np.lexsort((rows.column("segment").to_numpy(), rows.column("seed").to_numpy()))
+
+
 def repeated_words(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -220,13 +259,14 @@ def repeated_words(
     owners = held.groupBy("seed", "segment").agg(F.min("id").alias("owner")).select(shard, "*")
 
     def index(owned: pa.Table, written: pa.Table) -> pa.Table:
-        hashes = WordHashes()
-        names = zip(written.column("seed").to_pylist(), written.column("segment").to_pylist())
-        words = dict(zip(names, written.column("words").to_pylist()))
-        own = zip(owned.column("seed").to_pylist(), owned.column("segment").to_pylist())
-        codes = [hashes.of(words[name].split()) for name in own]
-        least = smallest_owners(codes, owned.column("owner").to_numpy(), size)
-        return owned.select(["seed", "segment"]).append_column("least", pa.array(least, pa.list_(pa.int64())))
+        owned = owned.take(_order(owned))
+        order = _order(written)
+        names = [written.column(name).to_numpy()[order] for name in ("seed", "segment")]
+        words = written.column("words").take(order[_new(*names)])  # those of every owned segment, in its order
+        codes, lengths, *_ = word_codes(words.combine_chunks())
+        least = owners_of_windows(codes, lengths, owned.column("owner").to_numpy(), size)
+        edges = np.concatenate([[0], np.cumsum(lengths - size + 1)]).astype(np.int32)
+        return owned.select(["seed", "segment"]).append_column("least", pa.ListArray.from_arrays(edges, pa.array(least)))
 
     both = owners.groupBy("shard").cogroup(texts.select(shard, "*").groupBy("shard"))
     found = write_through(both.applyInArrow(index, "seed long, segment long, least array<long>"), "found")
