@@ -15,12 +15,14 @@ Per bucket with several different sets:
 
 1. every set is compared with the smallest member of the buckets it shares most often, and the links
    found are contracted to components;
-2. buckets that still hold several components get an R-tree of their points; pairs of different
-   components that pass the bound are verified, each once however many buckets it shares. Where a bucket has very many of
-   them, its texts are searched together and what links is merged at once.
+2. buckets that still hold several components get an R-tree of their points; pairs of different components that pass the
+   bound join sets to families. Of these pairs only as many are kept as join the family, fewer than it has
+   members, however many there are. Two sets that link and are not in one component yet are in one family;
+3. the texts of a family meet, each travelling once, or once for every block of a large family. An R-tree finds its pairs of
+   different components that pass the bound; they are verified, and what links is merged at once.
 
 A pair inside one component needs no check, as it cannot change the classes. Hence a group of near copies
-costs about one comparison a member, and nothing is capped: what the first step leaves is searched by the second in full.
+costs about one comparison a member, and nothing is capped: what the first step leaves is searched by the others in full.
 Verification intersects the n-gram sets of the two whole texts.
 
 Sets are told apart by 64-bit hashes of n-grams and of whole sets.
@@ -31,14 +33,14 @@ than ``size`` make one n-gram; equal rows share a class; a null id never names a
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from fractions import Fraction
 from math import floor
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymart.llm.components import components
@@ -47,9 +49,12 @@ from tallymart.session import write_through
 
 BAND = Fraction(7, 5)  # sizes of a band differ by less than this factor
 BLOCK = 2048  # members of a bucket that one search task holds on either side
+KIN = 512  # members of a family that one search task holds on either side
 LEAF = 16
+FEW = 8  # pairs of a set below which their n-grams are compared pair by pair
 LOT = 20_000  # members of small buckets that one search task holds
-CROWD = 64  # pairs for each member of a bucket up to which they are verified one by one
+TEXTS = 1_000  # members of small families that one search task holds
+CROWD = 64  # pairs for each member up to which all of them are held
 SPARE = 5  # one cell more for so many in which a link may differ
 
 
@@ -125,58 +130,94 @@ class PointTree:
         self.top = np.maximum.reduceat(points[self.order], self.starts, axis=0)
         self.least, self.most = size[self.order][self.starts], np.maximum.reduceat(size[self.order], self.starts)
 
-    def leaves(self, at: int, classes: np.ndarray) -> Iterator[np.ndarray]:
-        """The members whose bound with the set ``at`` allows the threshold and that are in another class when their
-        leaf is visited."""
+    def near(self, at: int, *apart: np.ndarray) -> np.ndarray:
+        """The members whose bound with the set ``at`` allows the threshold and whose number in each of ``apart`` (class,
+        family) is another one than that of ``at``."""
         n, points, t = int(self.size[at]), self.points, self.sizes.t
         low, high = t.numerator, t.denominator
         visit = (self.least * low <= n * high) & (self.most * high >= n * low)
         visit &= np.minimum(self.top, points[at]).sum(1, dtype=np.int64) >= self.sizes.overlap(n, self.least)
-        for leaf in np.flatnonzero(visit):
-            near = self.order[self.starts[leaf] : self.starts[leaf] + LEAF]
-            near = near[classes[near] != classes[at]]
-            yield near[np.minimum(points[near], points[at]).sum(1, dtype=np.int64) >= self.sizes.overlap(n, self.size[near])]
+        near = self.order[np.repeat(visit, LEAF)[: len(self.order)]]
+        for numbers in apart:
+            near = near[numbers[near] != numbers[at]]
+        return near[np.minimum(points[near], points[at]).sum(1, dtype=np.int64) >= self.sizes.overlap(n, self.size[near])]
+
+
+class SharedCounts:
+    """How many n-grams a set shares with each of the others."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sets, self.size = sets, np.array([len(grams) for grams in sets])
+        self.owner = None
+
+    def _index(self):
+        grams, codes, counts = np.unique(np.concatenate(self.sets), return_inverse=True, return_counts=True)
+        self.owner = np.repeat(np.arange(len(self.sets)), self.size)[np.argsort(codes, kind="stable")]
+        self.counts, self.first = counts, np.cumsum(counts) - counts
+        self.codes = np.split(codes, np.cumsum(self.size)[:-1])
+
+    def of(self, at: int, others: np.ndarray) -> np.ndarray:
+        if len(others) < FEW:
+            return np.array([len(np.intersect1d(self.sets[at], self.sets[i], assume_unique=True)) for i in others], np.int64)
+        if self.owner is None:
+            self._index()
+        codes = self.codes[at]
+        counts = self.counts[codes]
+        place = np.repeat(self.first[codes] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+        return np.bincount(self.owner[place], minlength=len(self.sets))[others]
 
 
 def linked_pairs(
     left: np.ndarray, right: np.ndarray, classes: np.ndarray, sets: list[np.ndarray], dims: int, sizes: Sizes
-) -> list[tuple[int, int]]:
+) -> np.ndarray:
     """Links between different classes of the sets numbered ``left`` and ``right``, enough of them to join all classes
     that any link joins; found by an R-tree of the count vectors of ``right``.
 
     A set is compared with the near ones that are in another class at that time. ``classes`` is merged along the way.
     """
     points = np.array([np.frombuffer(count_vector(grams, dims), "<u4") for grams in sets], np.int64)
-    size = np.array([len(grams) for grams in sets])
-    tree = PointTree(points, size, right, sizes)
-    links = []
+    shared = SharedCounts(sets)
+    tree, links = PointTree(points, shared.size, right, sizes), [np.empty((0, 2), np.int64)]
     for at in left:
-        for near in tree.leaves(at, classes):
-            for other in near:
-                if classes[other] == classes[at]:
-                    continue
-                shared = len(np.intersect1d(sets[at], sets[other], assume_unique=True))
-                if shared >= sizes.overlap(int(size[at]), int(size[other])):
-                    links.append((int(at), int(other)))
-                    classes[classes == classes[other]] = classes[at]
-    return links
+        near = tree.near(at, classes)
+        near = near[shared.of(at, near) >= sizes.overlap(int(shared.size[at]), shared.size[near])]
+        links.append(joined(np.stack([np.full(len(near), at), near], axis=1), classes))
+    return np.concatenate(links)
 
 
 def near_pairs(
-    left: np.ndarray, right: np.ndarray, classes: np.ndarray, points: np.ndarray, size: np.ndarray, sizes: Sizes
+    left: np.ndarray,
+    right: np.ndarray,
+    classes: np.ndarray,
+    points: np.ndarray,
+    size: np.ndarray,
+    sizes: Sizes,
+    family: np.ndarray | None = None,
 ) -> np.ndarray | None:
     """All pairs of different classes between ``left`` and ``right`` whose bound allows the threshold, as two columns;
-    None if there are more than ``CROWD`` for each member."""
+    None if there are more than ``CROWD`` for each member. With ``family``, which is merged along the way, only as many of
+    them as join all families that any of them joins."""
     tree, found, held = PointTree(points, size, right, sizes), [np.empty((0, 2), np.int64)], 0
     for at in left:
-        for near in tree.leaves(at, classes):
-            held += len(near)
-            found.append(np.stack([np.full(len(near), at), near], axis=1))
-        if held > CROWD * (len(left) + len(right)):
+        near = tree.near(at, classes) if family is None else tree.near(at, classes, family)
+        pairs = np.stack([np.full(len(near), at), near], axis=1)
+        found.append(pairs if family is None else joined(pairs, family))
+        held += len(found[-1])
+        if family is None and held > CROWD * (len(left) + len(right)):
             return None
     return np.concatenate(found)
 
 
+def joined(pairs: np.ndarray, family: np.ndarray) -> np.ndarray:
+    """Those of the pairs that join two families at their turn; ``family`` is merged along the way."""
+    found = []
+    for a, b in pairs:
+        if family[a] != family[b]:
+            family[family == family[b]] = family[a]
+            found.append((a, b))
+    return np.array(found, np.int64).reshape(-1, 2)
+
+
 def leaf_pairs(
     buckets: list[np.ndarray],
     classes: np.ndarray,
@@ -317,15 +358,23 @@ def _points(sets: DataFrame, size: int, dims: int) -> DataFrame:
     return sets.select("node", "data").mapInArrow(run, "node long, n long, point binary")
 
 
-def _crossing(shared: DataFrame, classes: DataFrame, sets: DataFrame, size: int, dims: int, percent: int) -> tuple:
-    """What the first step left: pairs (``high``, ``low``) whose bound allows the threshold, still to be verified, and
-    verified links of buckets with very many such pairs. Of buckets with the same members one is searched.
+def _in_blocks(groups: DataFrame, key: str, lot: Column, block: int) -> DataFrame:
+    """Members of groups (``key``, ``node``, ``members``) dealt out to search tasks: groups of one block by ``lot``, each of
+    the others ``alone``, in pairs of its blocks ``x`` and ``y``; ``own`` is the member's block."""
+    small, blocks = F.col("members") <= block, F.ceil(F.col("members") / block).cast("int")
+    dealt = groups.withColumn("lot", F.when(small, lot)).withColumn("alone", F.when(~small, F.col(key)))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    return dealt.withColumn("x", F.least("own", "other")).withColumn("y", F.greatest("own", "other")).drop("other")
+
 
-    The search moves points, not texts; texts travel for the pairs that are left, and for crowded buckets."""
+def _open_buckets(shared: DataFrame, classes: DataFrame) -> DataFrame:
+    """``key``, ``node``, ``class``, ``members`` and ``least`` (its smallest class) of the buckets that hold several components. Of
+    buckets with the same members there is one."""
     placed = shared.join(classes, "node", "left").withColumn("class", F.coalesce("component", "node")).drop("component")
     # two numbers a bucket travel for all buckets, whole rows only for those that hold several components
-    span = placed.groupBy("key").agg(F.min("class").alias("a"), F.max("class").alias("b"))
-    span = write_through(span.filter("a < b").select("key"), "open")
+    span = placed.groupBy("key").agg(F.min("class").alias("least"), F.max("class").alias("b"))
+    span = write_through(span.filter("least < b").select("key", "least"), "open")
     members = write_through(placed.join(span, "key"), "members")
     held = (F.count(F.lit(1)), F.sum(F.xxhash64("node").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("node", F.lit(1))))
     open_ = (
@@ -333,67 +382,83 @@ def _crossing(shared: DataFrame, classes: DataFrame, sets: DataFrame, size: int,
         .agg(*(column.alias(name) for column, name in zip(held, ("members", "total", "folded"))))
         .groupBy("members", "total", "folded")
         .agg(F.min("key").alias("key"))
-        .select("key", "members", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
+        .select("key", "members")
     )
-    members = write_through(members.join(open_, "key"), "searched")
+    return write_through(members.join(open_, "key"), "searched")
+
+
+def _families(members: DataFrame, sets: DataFrame, size: int, dims: int, percent: int) -> DataFrame:
+    """Pairs (``high``, ``low``) of sets whose bound allows the threshold, enough of them to join all that such pairs of
+    different components of a bucket join. The search moves points, not texts.
+
+    Small buckets with the same smallest class are searched by one task, if they are not too many for it: they are those that
+    have most sets in common, and a pair that shares many buckets is then met and written once."""
     points = write_through(_points(sets.join(members.select("node").distinct(), "node", "left_semi"), size, dims), "points")
+    load = members.filter(F.col("members") <= BLOCK).groupBy("least").agg(F.count(F.lit(1)).alias("load"))
     lots = max(1, -(-members.count() // LOT))
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    dealt = members.withColumn("own", block)
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.withColumn("x", F.least("own", "other")).withColumn("y", F.greatest("own", "other"))
-    dealt = dealt.select("key", "x", "y", "own", "node", "class")
-    small = F.col("members") <= BLOCK // 8
-    lot = F.when(small, F.pmod(F.xxhash64("key"), F.lit(lots)))
-    lots_of = members.select("key", "members").distinct().select("key", lot.alias("lot"), F.when(~small, F.col("key")).alias("alone"))
+    parts = F.ceil(F.col("load") / LOT)
+    lot = F.when(parts > 1, F.xxhash64("least", F.pmod(F.xxhash64("key"), parts))).otherwise(F.pmod(F.xxhash64("least"), F.lit(lots)))
+    dealt = _in_blocks(members.join(load, "least", "left"), "key", lot, BLOCK)
 
     def near(table: pa.Table) -> pa.Table:
-        key, node = table.column("key").to_numpy(), table.column("node").to_numpy()
-        own, classes = table.column("own").to_numpy(), table.column("class").to_numpy()
-        count, x, y = table.column("n").to_numpy(), table.column("x")[0].as_py(), table.column("y")[0].as_py()
-        flat = np.frombuffer(b"".join(table.column("point").to_pylist()), "u1").reshape(len(node), 4, dims)
+        x, y = table.column("x")[0].as_py(), table.column("y")[0].as_py()
+        node, first, row = np.unique(table.column("node").to_numpy(), return_index=True, return_inverse=True)
+        own, classes, count = (table.column(name).to_numpy()[first] for name in ("own", "class", "n"))
+        flat = np.frombuffer(b"".join(table.column("point").take(pa.array(first)).to_pylist()), "u1").reshape(len(node), 4, dims)
         points = flat[:, 0]
         if flat[:, 1:].any():
             points = np.ascontiguousarray(flat.transpose(0, 2, 1)).view("<u4")[:, :, 0]
-        sizes, order = Sizes(percent), np.argsort(key, kind="stable")
-        buckets = np.split(order, np.flatnonzero(np.diff(key[order])) + 1)
-        found = [leaf_pairs([held for held in buckets if len(held) <= LEAF], classes, points, count, sizes, node)]
-        crowded = []
+        key, sizes, family = table.column("key").to_numpy(), Sizes(percent), np.arange(len(node))
+        order = np.argsort(key, kind="stable")
+        buckets = np.split(row[order], np.flatnonzero(np.diff(key[order])) + 1)
+        few = [held for held in buckets if len(held) <= LEAF and x == y]
+        found = [joined(leaf_pairs(few, classes, points, count, sizes, np.arange(len(node))), family)]
         for held in buckets:
-            if len(held) > LEAF:
+            if len(held) > LEAF or x < y:
                 left, right = (held, held) if x == y else (held[own[held] == x], held[own[held] != x])
-                if not len(left) or not len(right):
+                if not len(left) or not len(right) or (family[held] == family[held[0]]).all():
                     continue
-                pairs = near_pairs(left, right, classes, points, count, sizes)
-                if pairs is None:
-                    crowded.append(key[held[0]])
-                else:
-                    found.append(pairs)
+                found.append(near_pairs(left, right, classes, points, count, sizes, family))
         a, b = node[np.concatenate(found)].T
-        pairs = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)], axis=1), axis=0)
-        none, crowds = pa.nulls(len(pairs), pa.int64()), pa.nulls(len(crowded), pa.int64())
-        high, low = (pa.concat_arrays([pa.array(pairs[:, i], pa.int64()), crowds]) for i in (0, 1))
-        keys = pa.concat_arrays([none, pa.array(crowded, pa.int64())])
-        places = [pa.array([v] * len(keys), pa.int32()) for v in (x, y)]
-        return pa.table([keys, *places, high, low], names=["key", "x", "y", "high", "low"])
-
-    pointed = dealt.join(lots_of, "key").join(points, "node").groupBy("lot", "alone", "x", "y")
-    found = write_through(pointed.applyInArrow(near, "key long, x int, y int, high long, low long"), "near")
+        return pa.table({"high": np.maximum(a, b), "low": np.minimum(a, b)})
+
+    names = ["key", "x", "y", "own", "node", "class", "lot", "alone"]
+    pointed = dealt.select(names).join(points, "node").groupBy("lot", "alone", "x", "y")
+    return pointed.applyInArrow(near, "high long, low long")
+
+
+def _crossing(shared: DataFrame, classes: DataFrame, sets: DataFrame, size: int, dims: int, percent: int) -> DataFrame:
+    """What the first step left: links (``high``, ``low``) between different components, enough of them to join all
+    components that any link joins."""
+    members = _open_buckets(shared, classes)
+    families = write_through(components(_families(members, sets, size, dims, percent)), "families")
+    kin = families.unionByName(families.select(F.col("component").alias("node"), "component").distinct())
+    kin = kin.withColumnRenamed("component", "family")
+    count = families.groupBy("component").agg((F.count(F.lit(1)) + 1).alias("members"))
+    kin = kin.join(count.withColumnRenamed("component", "family"), "family")
+    kin = kin.join(classes, "node", "left").withColumn("class", F.coalesce("component", "node")).drop("component")
+    kin = write_through(kin, "kin")
+    lots = max(1, -(-kin.count() // TEXTS))
+    dealt = _in_blocks(kin, "family", F.pmod(F.xxhash64("family"), F.lit(lots)), KIN)
 
     def search(table: pa.Table) -> pa.Table:
-        hashes = WordHashes()
-        node, own = table.column("node").to_numpy(), table.column("own").to_numpy()
-        found = [shingles(value.as_py(), size, hashes) for value in table.column("data")]
+        hashes, sizes = WordHashes(), Sizes(percent)
+        node, family, own, classes = (table.column(name).to_numpy() for name in ("node", "family", "own", "class"))
+        grams = [shingles(value.as_py(), size, hashes) for value in table.column("data")]
         x, y = table.column("x")[0].as_py(), table.column("y")[0].as_py()
-        every = np.arange(len(node))
-        left, right = (every, every) if x == y else (np.flatnonzero(own == x), np.flatnonzero(own != x))
-        links = linked_pairs(left, right, table.column("class").to_numpy().copy(), found, dims, Sizes(percent))
-        a, b = node[[i for i, _ in links]], node[[j for _, j in links]]
-        return pa.table({"high": np.maximum(a, b).astype(np.int64), "low": np.minimum(a, b).astype(np.int64)})
+        order, links = np.argsort(family, kind="stable"), [np.empty((0, 2), np.int64)]
+        for held in np.split(order, np.flatnonzero(np.diff(family[order])) + 1):
+            every = np.arange(len(held))
+            left, right = (every, every) if x == y else (np.flatnonzero(own[held] == x), np.flatnonzero(own[held] != x))
+            if len(left) and len(right):
+                found = linked_pairs(left, right, classes[held].copy(), [grams[at] for at in held], dims, sizes)
+                links.append(held[found])
+        a, b = node[np.concatenate(links)].T
+        return pa.table({"high": np.maximum(a, b), "low": np.minimum(a, b)})
 
-    crowds = dealt.join(found.filter("key IS NOT NULL").select("key", "x", "y"), ["key", "x", "y"])
-    links = crowds.join(sets, "node").groupBy("key", "x", "y").applyInArrow(search, "high long, low long")
-    return found.filter("key IS NULL").select("high", "low").distinct(), links.distinct()
+    names = ["family", "x", "y", "own", "node", "class", "lot", "alone"]
+    texts = dealt.select(names).join(sets, "node").groupBy("lot", "alone", "x", "y")
+    return texts.applyInArrow(search, "high long, low long")
 
 
 def near_duplicates(
@@ -422,8 +487,7 @@ def near_duplicates(
     star = star.groupBy("node").agg(F.max_by("low", F.struct("count", "low")).alias("low"))
     star = write_through(star.withColumnRenamed("node", "high"), "star")
     classes = components(_verified(star, sets, size, percent))
-    pairs, links = _crossing(shared, classes, sets, size, dims, percent)
-    rest = _verified(pairs.join(star, ["high", "low"], "left_anti"), sets, size, percent).unionByName(links)
+    rest = _crossing(shared, classes, sets, size, dims, percent)
     found = classes.select(F.col("node").alias("high"), F.col("component").alias("low"))
     classes = components(found.unionByName(rest))
 
